@@ -104,12 +104,20 @@ def _read_off(values: DataFrame, brackets: dict[int, _Bracket]) -> dict[int, flo
     )
     upto = W.partitionBy("bracket").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = counts.withColumn("through", F.sum("rows").over(upto))
-    picks = []
+    at_rank = F.lit(False)
     for rank, b in rest.items():
-        hit = (F.col("bracket") == distinct.index(b)) & (F.col("through") > rank - b.below)
-        picks.append(F.min(F.when(hit, v)).alias(f"r{rank}"))
-    row = ranked.agg(*picks).first()
-    answers.update({rank: row[f"r{rank}"] for rank in rest})
+        inside_rank = rank - b.below
+        at_rank = at_rank | (
+            (F.col("bracket") == distinct.index(b))
+            & (F.col("through") > inside_rank)
+            & (F.col("through") - F.col("rows") <= inside_rank)
+        )
+    # One row per wanted rank, or fewer when a value covers several.
+    for row in ranked.where(at_rank).collect():
+        for rank, b in rest.items():
+            inside_rank = rank - b.below
+            if row["bracket"] == distinct.index(b) and row["through"] - row["rows"] <= inside_rank < row["through"]:
+                answers[rank] = row["v"]
     return answers
 
 

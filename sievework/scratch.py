@@ -32,9 +32,13 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+def written_path(df: DataFrame, label: str) -> str:
+    """Write ``df`` to a fresh scratch table and return its path."""
+    path = f"{scratch_root(df.sparkSession)}/sievework/{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh scratch table and return a scan of it."""
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/sievework/{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written_path(df, label))

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Call-site capture on every column expression slows down building large plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

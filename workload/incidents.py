@@ -8,12 +8,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from sievework.operators.clean import Box
 from sievework.plans.presets import BUSY_PLACES, FIRST_DAY
 from sievework.plans.spec import CleaningSpec, FeatureSpec
+from sievework.scratch import written_path
 
 COLUMNS = ["id", "case_no", "ts_txt", "type", "lat", "lon", "arrest", "ward", "loc"]
 
@@ -64,59 +64,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _dec6(n: Column) -> Column:
-    """Millionths as decimal text."""
-    whole = F.floor(n / 1_000_000).cast("string")
-    return F.concat(whole, F.lit("."), F.lpad((n % 1_000_000).cast("string"), 6, "0"))
-
-
-def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    i, k = F.col("event_id"), F.col("k")
-    east = F.when(k.isin(3, 4), 300_000).when(k == 6, 400_000).otherwise(0)
-    copies = F.when(i % 500 == 1, 2).otherwise(1)
+_NUMBERED = "CAST(translate(props, '{}\": k', '') AS bigint) AS k"
+
+_TEXT = [
+    "CAST(event_id AS string) AS id",
+    "CASE WHEN event_id % 97 <> 0 THEN concat('C', user_id, '-', date_format(ts, 'yyyyMMdd')) END AS case_no",
+    """CASE WHEN event_id % 251 = 0 THEN '13/45/2024 01:00:00 PM'
+            WHEN event_id % 211 = 0 THEN NULL
+            ELSE date_format(ts, 'MM/dd/yyyy hh:mm:ss a') END AS ts_txt""",
+    """CASE WHEN event_id % 101 = 0 THEN NULL
+            WHEN event_id < 30 THEN concat(' Rare', event_id % 3, ' ')
+            ELSE concat(' ', event_type) END AS type""",
+    """CASE WHEN event_id % 89 <> 0
+            THEN concat(lat_n div 1000000, '.', lpad(CAST(lat_n % 1000000 AS string), 6, '0')) END AS lat""",
+    "concat('-', lon_n div 1000000, '.', lpad(CAST(lon_n % 1000000 AS string), 6, '0')) AS lon",
+    "CASE k % 4 WHEN 0 THEN 'true' WHEN 1 THEN ' FALSE ' WHEN 2 THEN 'False' ELSE 'maybe' END AS arrest",
+    "CASE WHEN k % 12 = 0 THEN NULL WHEN k = 5 THEN 'x' ELSE concat(k % 50, '.0') END AS ward",
+    """CASE WHEN k % 10 = 0 THEN NULL WHEN k % 5 = 0 THEN 'Street' WHEN k % 5 = 1 THEN 'Apartment'
+            WHEN k % 5 = 2 THEN 'small retail restaurant ' ELSE 'RESIDENCE' END AS loc""",
+]
+
+#: Landed fixture per application and scale: the input of the queries, like a landed file.
+_landed: dict[tuple[str, str], str] = {}
+
+
+def derive_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incident table as a query over ``events``; copies are whole rows, made last."""
     return (
-        events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-        .select(
-            i.cast("string").alias("id"),
-            F.when(
-                i % 97 != 0,
-                F.concat(F.lit("C"), F.col("user_id"), F.lit("-"), F.date_format("ts", "yyyyMMdd")),
-            ).alias("case_no"),
-            F.when(i % 251 == 0, F.lit("13/45/2024 01:00:00 PM"))
-            .when(i % 211 != 0, F.date_format("ts", "MM/dd/yyyy hh:mm:ss a"))
-            .alias("ts_txt"),
-            F.when(i % 101 == 0, F.lit(None))
-            .when(i < 30, F.concat(F.lit(" Rare"), i % 3, F.lit(" ")))
-            .otherwise(F.concat(F.lit(" "), F.col("event_type")))
-            .alias("type"),
-            F.when(
-                i % 89 != 0,
-                _dec6(F.lit(41_590_000) + F.round(F.col("value") * 100).cast("bigint") * 10),
-            ).alias("lat"),
-            F.concat(
-                F.lit("-"), _dec6(F.lit(87_650_000) + (F.col("user_id") % 150) * 200 + east)
-            ).alias("lon"),
-            F.when(k % 4 == 0, F.lit("true"))
-            .when(k % 4 == 1, F.lit(" FALSE "))
-            .when(k % 4 == 2, F.lit("False"))
-            .otherwise(F.lit("maybe"))
-            .alias("arrest"),
-            F.when(k % 12 == 0, F.lit(None))
-            .when(k == 5, F.lit("x"))
-            .otherwise(F.concat(k % 50, F.lit(".0")))
-            .alias("ward"),
-            F.when(k % 10 == 0, F.lit(None))
-            .when(k % 5 == 0, F.lit("Street"))
-            .when(k % 5 == 1, F.lit("Apartment"))
-            .when(k % 5 == 2, F.lit("small retail restaurant "))
-            .otherwise(F.lit("RESIDENCE"))
-            .alias("loc"),
+        table(spark, sf_dir, "events")
+        .selectExpr("*", _NUMBERED)
+        .selectExpr(
+            "*",
+            "41590000 + CAST(round(value * 100) AS bigint) * 10 AS lat_n",
+            """87650000 + (user_id % 150) * 200
+               + CASE WHEN k IN (3, 4) THEN 300000 WHEN k = 6 THEN 400000 ELSE 0 END AS lon_n""",
+            "explode(sequence(1, CASE WHEN event_id % 500 = 1 THEN 2 ELSE 1 END)) AS copy",
         )
+        .selectExpr(*_TEXT)
     )
 
 
+def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed incident table; it is landed once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    derived = derive_incidents(spark, sf_dir)
+    if key not in _landed:
+        _landed[key] = written_path(derived, "raw-incidents")
+    return spark.read.schema(derived.schema).parquet(_landed[key])
+
+
 _RAW = r"""
 keyed AS (
   SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events
