@@ -42,7 +42,7 @@ def first_rows(raw: DataFrame, spec: CleaningSpec) -> DataFrame:
     Copies of a row share its key, so this also removes exact duplicates; removing those
     in a step of their own would shuffle the whole table once more for the same result.
     """
-    return clean.dedup_keep_first(raw, spec.key, [F.expr(o) if " " in o else o for o in spec.order_by])
+    return clean.dedup_keep_first(raw, spec.key, [F.expr(o).asc_nulls_last() for o in spec.order_by])
 
 
 def typed(df: DataFrame, spec: CleaningSpec) -> DataFrame:

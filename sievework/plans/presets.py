@@ -112,7 +112,7 @@ def incident_cleaning(as_of: dt.date) -> CleaningSpec:
     """
     return CleaningSpec(
         key=("Case Number",),
-        order_by=("try_cast(ID AS bigint) ASC NULLS LAST", "ID"),
+        order_by=("try_cast(ID AS bigint)", "ID"),
         critical=("Date", "Primary Type", "Latitude", "Longitude"),
         timestamp="Date",
         latitude="Latitude",

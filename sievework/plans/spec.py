@@ -12,7 +12,8 @@ from sievework.operators.clean import Box
 class CleaningSpec:
     """Binding of the cleaning sequence to a raw, all-text table.
 
-    ``order_by`` holds SQL expressions that put the rows of a key in order of arrival.
+    ``order_by`` holds SQL expressions that put the rows of a key in order of arrival,
+    missing values last.
     """
 
     key: tuple[str, ...]
