@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _surplus(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
@@ -28,21 +29,26 @@ def duplicate_key_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _surplus(df, keys, "duplicate_keys")
 
 
-def _field(column: str) -> Column:
-    """Text of one field with its length, so that field borders cannot be confused."""
+def _field(df: DataFrame, column: str) -> Column:
+    """Text of one field.  Free text carries its length, so that it cannot run over a border."""
     text = F.col(f"`{column}`").cast("string")
-    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+    if isinstance(df.schema[column].dataType, T.StringType):
+        text = F.concat(F.length(text).cast("string"), F.lit(":"), text)
+    return F.coalesce(text, F.lit("-"))
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: row count and an order-independent sum over row hashes.
 
-    The sum is a 38-digit decimal, which 10^28 rows cannot overflow, returned as text.
-    Use integer, text or date columns; the text form of a double is engine-specific.
+    Each hash is summed in two 16-bit halves, which as 64-bit numbers hold 10^14 rows; the
+    halves are put together as a decimal and returned as text.  Use integer, text or date
+    columns; the text form of a double is engine-specific.
     """
-    row_hash = F.md5(F.concat_ws("|", *[_field(c) for c in columns]))
-    head = F.conv(F.substring(row_hash, 1, 8), 16, 10).cast("decimal(38,0)")
-    return df.agg(
+    row_hash = F.md5(F.concat_ws("|", *[_field(df, c) for c in columns]))
+    hashed = df.select(F.conv(F.substring(row_hash, 1, 8), 16, 10).cast("bigint").alias("h"))
+    total = lambda half: F.coalesce(F.sum(half), F.lit(0)).cast("decimal(38,0)")
+    high, low = F.shiftright("h", 16), F.col("h").bitwiseAND(F.lit(65535))
+    return hashed.agg(
         F.count("*").alias("row_count"),
-        F.coalesce(F.sum(head), F.lit(0)).cast("string").alias("fingerprint"),
+        (total(high) * F.lit(65536) + total(low)).cast("decimal(38,0)").cast("string").alias("fingerprint"),
     )

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from sievework.functions.info import digamma
 from sievework.functions.text import as_column
-from sievework.operators.lookup import lookup_join
 from sievework.operators.ordering import number_rows, running_total
+from sievework.scratch import written
 
 #: Relative size of the noise that separates equal values of a continuous feature.
 NOISE = 1e-10
 #: Rows of one neighbour window.
-BLOCK_ROWS = 100_000
+BLOCK_ROWS = 20_000
 
 
 def _long(df: DataFrame, features: Sequence[str], label: str, value, *extra: Column) -> DataFrame:
@@ -96,23 +96,29 @@ def _radii(points: DataFrame, k: int, block_rows: int) -> DataFrame:
     blocks = F.array_distinct(F.array(block_of(place - k), block_of(place), block_of(place + k)))
     spread = numbered.withColumn("block", F.explode(blocks))
     nearby = W.partitionBy("block").orderBy("position")
+    point = F.struct("feature", "y", "x")
     distances = []
     for step in range(1, k + 1):
         for shift in (F.lag, F.lead):
-            same = (shift("feature", step).over(nearby) == F.col("feature")) & (
-                shift("y", step).over(nearby) == F.col("y")
-            )
-            distances.append(F.when(same, F.abs(shift("x", step).over(nearby) - F.col("x"))))
-    nearest = F.array_sort(F.filter(F.array(*distances), lambda d: d.isNotNull()))
+            other = shift(point, step).over(nearby)
+            same = (other["feature"] == F.col("feature")) & (other["y"] == F.col("y"))
+            distances.append(F.when(same, F.abs(other["x"] - F.col("x"))))
     return (
-        spread.withColumn("_nearest", nearest)
-        .where(F.col("block") == block_of(place))
-        .withColumn("k_i", F.least(F.lit(k), F.col("n_c") - 1).cast("int"))
-        .withColumn("radius", F.get("_nearest", F.col("k_i") - 1))
-        .select("feature", "key", "x", "n_c", "k_i", "radius")
+        spread.select("feature", "key", "x", "n_c", "block", place.alias("place"), F.array(*distances).alias("near"))
+        .where(F.col("block") == block_of(F.col("place")))
+        .select("feature", "key", "x", F.get(_sorted_present("near"), _rank_of_neighbour(k) - 1).alias("radius"))
     )
 
 
+def _sorted_present(distances: str) -> Column:
+    return F.array_sort(F.filter(F.col(distances), lambda d: d.isNotNull()))
+
+
+def _rank_of_neighbour(k: int) -> Column:
+    """k, or the last neighbour there is in a small class."""
+    return F.least(F.lit(k), F.col("n_c") - 1).cast("int")
+
+
 def _neighbour_counts(radii: DataFrame) -> DataFrame:
     """Per point: how many points of all classes lie strictly within its radius, itself included.
 
@@ -123,32 +129,27 @@ def _neighbour_counts(radii: DataFrame) -> DataFrame:
     """
     x, zero = F.col("x"), F.col("radius") == 0
     reach = F.col("radius") * F.lit(1 - 1e-12)
-    event = lambda at, turn, sign, weight: F.struct(
-        at.alias("at"), turn.alias("turn"), F.lit(sign).alias("sign"), F.lit(weight).alias("weight")
+    event = lambda at, turn, sign: F.struct(
+        at.alias("at"), turn.cast("byte").alias("turn"), F.lit(sign).cast("byte").alias("sign")
     )
     events = radii.select(
         "feature",
         "key",
-        "n_c",
-        "k_i",
         F.inline(
             F.array(
-                event(x + reach, F.when(zero, F.lit(2)).otherwise(F.lit(0)), 1, 0),
-                event(x, F.lit(1), 0, 1),
-                event(x - reach, F.when(zero, F.lit(0)).otherwise(F.lit(2)), -1, 0),
+                event(x + reach, F.when(zero, F.lit(2)).otherwise(F.lit(0)), 1),
+                event(x, F.lit(1), 0),
+                event(x - reach, F.when(zero, F.lit(0)).otherwise(F.lit(2)), -1),
             )
         ),
     )
     order = [F.col(c) for c in ("feature", "at", "turn", "key")]
-    totals = running_total(events, order, F.col("weight"), "through")
+    is_point = (F.col("sign") == 0).cast("bigint")
+    totals = running_total(events, order, is_point, "through")
     return (
         totals.where(F.col("sign") != 0)
         .groupBy("feature", "key")
-        .agg(
-            F.sum(F.col("sign") * F.col("through")).alias("m_i"),
-            F.max("n_c").alias("n_c"),
-            F.max("k_i").alias("k_i"),
-        )
+        .agg(F.sum(F.col("sign") * F.col("through")).alias("m_i"))
     )
 
 
@@ -166,21 +167,21 @@ def mi_knn(
     no pair of points is ever formed.  Classes with a single row are left out.  ``key``
     identifies a row.
     """
-    classes = (
+    classes = written(
         df.where(as_column(label).isNotNull())
         .groupBy(as_column(label).alias("y"))
         .agg(F.count("*").alias("n_c"))
-        .where(F.col("n_c") > 1)
+        .where(F.col("n_c") > 1),
+        "classes",
     )
-    points = lookup_join(_jittered(df, features, label, key), classes, "y", "inner")
+    points = _jittered(df, features, label, key).join(classes, "y")
     counts = _neighbour_counts(_radii(points, k, block_rows))
-    means = counts.groupBy("feature").agg(
-        F.count("*").alias("n"),
-        F.avg(digamma(F.col("k_i"))).alias("psi_k"),
-        F.avg(digamma(F.col("n_c"))).alias("psi_c"),
-        F.avg(digamma(F.col("m_i"))).alias("psi_m"),
-    )
-    mi = digamma(F.col("n")) + F.col("psi_k") - F.col("psi_c") - F.col("psi_m")
+    # What depends on class sizes alone is the same for every feature.
+    rows = F.sum("n_c")
+    by_class = F.sum(F.col("n_c") * (digamma(_rank_of_neighbour(k)) - digamma(F.col("n_c"))))
+    base = classes.agg((digamma(rows) + by_class / rows).alias("base")).scalar()
+    mi = base - F.col("psi_m")
+    means = counts.groupBy("feature").agg(F.avg(digamma(F.col("m_i"))).alias("psi_m"))
     return means.select("feature", F.greatest(mi, F.lit(0.0)).alias("mi"))
 
 

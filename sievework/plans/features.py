@@ -56,8 +56,8 @@ def run_features(cleaned: DataFrame, spec: FeatureSpec) -> Features:
 
     Every column has a code map of its own.
     """
-    label_map = written(label_mapping(cleaned, spec.category), "labels")
-    area_map = written(label_mapping(cleaned, as_column(spec.area).cast("string")), "areas")
+    label_map = label_mapping(cleaned, spec.category)
+    area_map = label_mapping(cleaned, as_column(spec.area).cast("string"))
     derived = derive(cleaned, spec, label_map, area_map)
     scores = score(derived, spec)
     names = selected_names(scores, spec.candidates, spec.threshold)

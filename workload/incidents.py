@@ -109,7 +109,9 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     derived = derive_incidents(spark, sf_dir)
     if key not in _landed:
-        _landed[key] = written_path(derived, "raw-incidents")
+        # Several files, as a raw zone has; the rows of a case end up in different ones.
+        files = derived.repartition(spark.sparkContext.defaultParallelism)
+        _landed[key] = written_path(files, "raw-incidents")
     return spark.read.schema(derived.schema).parquet(_landed[key])
 
 
