@@ -76,11 +76,11 @@ def distinct_count(df: DataFrame, column: str, approx: bool = False) -> DataFram
     return df.agg(counter(as_column(column)).alias("distinct_count"))
 
 
-def value_counts(df: DataFrame, column: str, k: int | None = None, sort: str = "count") -> DataFrame:
-    """Rows per non-null value, most frequent first (ties by value) or in value order.
+def value_counts(df: DataFrame, column: str, k: int | None = None, sort: str | None = None) -> DataFrame:
+    """Rows per non-null value.
 
-    ``k`` makes it a top-k report; without it the whole table comes back, unsorted,
-    since sorting the output of an intermediate result helps nobody.
+    ``k`` makes it a top-k report.  ``sort`` puts the most frequent first (``count``, ties
+    by value; the default of a report) or the values in order (``key``).
     """
     counts = (
         df.select(as_column(column).alias("value"))
@@ -88,10 +88,11 @@ def value_counts(df: DataFrame, column: str, k: int | None = None, sort: str = "
         .groupBy("value")
         .agg(F.count("*").alias("row_count"))
     )
-    if k is None:
-        return counts
-    order = [F.desc("row_count"), F.asc("value")] if sort == "count" else [F.asc("value")]
-    return counts.orderBy(*order).limit(k)
+    sort = sort or ("count" if k is not None else None)
+    if sort is not None:
+        order = {"count": [F.desc("row_count"), F.asc("value")], "key": [F.asc("value")]}[sort]
+        counts = counts.orderBy(*order)
+    return counts if k is None else counts.limit(k)
 
 
 def sample_values(df: DataFrame, column: str, n: int, order_by: Sequence[str]) -> DataFrame:

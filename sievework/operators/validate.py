@@ -87,14 +87,13 @@ def zones_complete(presence: DataFrame) -> DataFrame:
     )
 
 
-def check_documents(counts: DataFrame, minimum: dict[str, int], name: str) -> DataFrame:
-    """One result from ``document_counts``: how many lists are shorter than they must be."""
-    short = sum(
-        (F.count_if(F.coalesce(F.col(field), F.lit(0)) < at_least) for field, at_least in minimum.items()),
-        F.lit(0),
-    )
-    return counts.agg(short.cast("bigint").alias("failures")).select(
-        F.lit(name).alias("rule"), "failures", (F.col("failures") == 0).alias("passed")
+def check_documents(documents: DataFrame) -> DataFrame:
+    """One result per document of ``document_check``: it has entries and all are readable."""
+    failures = F.col("broken") + (F.col("entries") == 0).cast("bigint")
+    return documents.select(
+        F.concat(F.lit("document:"), F.col("document")).alias("rule"),
+        failures.alias("failures"),
+        (failures == 0).alias("passed"),
     )
 
 

@@ -61,5 +61,7 @@ def run_catalog(
     for name, table in documents.items():
         write_json_document(table, f"{catalog_zone.rstrip('/')}/{name}")
     documents["zone_registry"] = file_inventory(spark, zones)
-    write_json_document(documents["zone_registry"], f"{catalog_zone.rstrip('/')}/zone_registry")
+    write_json_document(
+        documents["zone_registry"], f"{catalog_zone.rstrip('/')}/zone_registry", single_file=False
+    )
     return documents

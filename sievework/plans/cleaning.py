@@ -22,6 +22,8 @@ from sievework.operators import audit, clean
 from sievework.operators.profile import table_shape
 from sievework.plans.spec import CleaningSpec
 from sievework.scratch import written
+from sievework.sources.documents import write_json_document
+from sievework.sources.tables import write_processed
 
 _COMPLETE = "_complete"
 
@@ -113,3 +115,13 @@ def run_cleaning(raw: DataFrame, spec: CleaningSpec) -> Cleaned:
         rare=clean.rare_categories(kept, spec.category, spec.rare_threshold),
         fences=tuple(fences),
     )
+
+
+def save_cleaning(result: Cleaned, processed_path: str, catalog_zone: str) -> None:
+    """Write the cleaned table, its audit with totals, and the list of merged classes."""
+    write_processed(result.table, processed_path)
+    zone = catalog_zone.rstrip("/")
+    audited = written(result.audit, "audit")
+    write_json_document(audited, f"{zone}/etl_report")
+    write_json_document(audit.audit_totals(audited), f"{zone}/etl_totals")
+    write_json_document(result.rare, f"{zone}/class_merges", single_file=False)

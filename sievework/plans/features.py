@@ -14,6 +14,8 @@ from sievework.operators.sampling import fixed_sample
 from sievework.operators.selection import mi_knn, mi_plugin, selected_names
 from sievework.plans.spec import FeatureSpec
 from sievework.scratch import written
+from sievework.sources.documents import write_json_document
+from sievework.sources.tables import write_features
 
 
 @dataclass(frozen=True)
@@ -68,3 +70,12 @@ def run_features(cleaned: DataFrame, spec: FeatureSpec) -> Features:
         scores=scores,
         selected=tuple(names),
     )
+
+
+def save_features(result: Features, path: str, catalog_zone: str) -> None:
+    """Write the matrix, one code map per encoded column, and the scores."""
+    write_features(result.matrix, path)
+    zone = catalog_zone.rstrip("/")
+    write_json_document(result.label_map, f"{zone}/label_encoding", single_file=False)
+    write_json_document(result.area_map, f"{zone}/area_encoding", single_file=False)
+    write_json_document(result.scores, f"{zone}/feature_scores")

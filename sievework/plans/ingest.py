@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions.text import as_column
-from sievework.operators.integrity import duplicate_key_count, duplicate_row_count
+from sievework.operators.integrity import duplicate_key_count, duplicate_row_count, table_fingerprint
 from sievework.operators.profile import (
     distinct_count,
     null_summary,
@@ -20,8 +20,8 @@ from sievework.operators.profile import (
     value_counts,
 )
 from sievework.sources.delimited import bad_line_count, header_columns, read_delimited
-from sievework.sources.documents import write_json_document
-from sievework.sources.inventory import file_checksums
+from sievework.sources.documents import read_json_document, write_json_document
+from sievework.sources.inventory import CHECKSUM_SCHEMA, MEGABYTE, file_checksums
 from sievework.sources.paths import path_exists
 from sievework.sources.tables import land_raw
 
@@ -50,13 +50,19 @@ class Landed:
 def ingestion_manifest(
     df: DataFrame, dataset: Dataset, raw_path: str, ingest_date: dt.date, checksums: DataFrame
 ) -> DataFrame:
-    """One row that describes a landed version.  ``checksums`` has one row per source file."""
+    """One row that describes a landed version.
+
+    ``checksums`` has one row per source file.  A single file is described by its MD5, a set
+    of files by a fingerprint over names and sums.
+    """
     files = checksums.agg(
         F.struct(
-            F.round(F.sum("size_bytes") / (1024 * 1024), 2).alias("size_mb"),
-            F.array_sort(F.collect_list(F.struct("filename", "md5"))).alias("checksums"),
+            F.count("*").alias("files"),
+            F.round(F.sum("size_bytes") / MEGABYTE, 2).alias("size_mb"),
+            F.max("md5").alias("md5"),
         )
     ).scalar()
+    over_files = table_fingerprint(checksums, ["filename", "md5"]).select("fingerprint").scalar()
     return table_shape(df).select(
         F.lit(dataset.name).alias("dataset_name"),
         F.lit(dataset.version).alias("version"),
@@ -64,11 +70,12 @@ def ingestion_manifest(
         F.lit("batch").alias("ingestion_mode"),
         F.lit(dataset.source).alias("source"),
         F.lit(raw_path).alias("raw_path"),
+        files["files"].alias("file_count"),
         files["size_mb"].alias("file_size_mb"),
+        F.when(files["files"] == 1, files["md5"]).otherwise(over_files).alias("checksum"),
         "row_count",
         "column_count",
         F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
-        files["checksums"].alias("checksums"),
         F.lit("new version on demand").alias("refresh_strategy"),
         F.struct(
             F.lit(dataset.raw_zone).alias("raw_zone"),
@@ -109,6 +116,9 @@ def run_ingest(
     }
     if year_column in table.columns:
         reports["years"] = value_counts(table.select(as_column(year_column)), year_column)
-    manifest = ingestion_manifest(table, dataset, path, ingest_date, file_checksums(spark, dataset.source))
-    write_json_document(manifest, f"{dataset.catalog_zone.rstrip('/')}/ingestion_manifest")
+    catalog_zone = dataset.catalog_zone.rstrip("/")
+    write_json_document(file_checksums(spark, dataset.source), f"{catalog_zone}/file_checksums", single_file=False)
+    reports["file_checksums"] = read_json_document(spark, f"{catalog_zone}/file_checksums", CHECKSUM_SCHEMA)
+    manifest = ingestion_manifest(table, dataset, path, ingest_date, reports["file_checksums"])
+    write_json_document(manifest, f"{catalog_zone}/ingestion_manifest")
     return Landed(table, path, reports)

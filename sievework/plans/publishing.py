@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from sievework.operators.validate import (
     RowRule,
     check_class_count,
+    check_documents,
     check_rows,
     check_schema,
     expected_present,
     validation_report,
     zones_complete,
 )
+from sievework.sources.documents import document_check
 from sievework.sources.inventory import file_inventory
 from sievework.sources.tables import publish, read_processed
 
@@ -43,8 +45,10 @@ def validate_published(
     rules: Sequence[RowRule],
     expected_files: Sequence[tuple[str, str]] = (),
     zones: dict[str, str] | None = None,
+    catalog_zone: str | None = None,
+    documents: Sequence[str] = (),
 ) -> DataFrame:
-    """Rule results for published tables and, optionally, for files expected in zones."""
+    """Rule results for published tables and, optionally, expected files and documents."""
     cleaned = read_processed(spark, places["cleaned"])
     features = read_processed(spark, places["features"])
     results = [
@@ -56,4 +60,6 @@ def validate_published(
     if expected_files:
         presence = expected_present(file_inventory(spark, zones or {}), expected_files)
         results.append(zones_complete(presence))
+    if documents:
+        results.append(check_documents(document_check(spark, catalog_zone, documents)))
     return validation_report(results)

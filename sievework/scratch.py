@@ -33,8 +33,13 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def written_path(df: DataFrame, label: str) -> str:
-    """Write ``df`` to a fresh scratch table and return its path."""
-    path = f"{scratch_root(df.sparkSession)}/sievework/{label}-{uuid.uuid4().hex}"
+    """Write ``df`` to a fresh scratch table and return its path.
+
+    Tables of one application share a folder, which can be removed when it has ended.
+    """
+    spark = df.sparkSession
+    folder = f"{scratch_root(spark)}/sievework/{spark.sparkContext.applicationId}"
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return path
 

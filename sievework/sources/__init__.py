@@ -1,7 +1,7 @@
 """Readers and writers."""
 
 from sievework.sources.delimited import bad_line_count, header_columns, read_delimited
-from sievework.sources.documents import document_counts, read_json_document, write_json_document
+from sievework.sources.documents import document_check, document_counts, read_json_document, write_json_document
 from sievework.sources.inventory import file_checksums, file_inventory
 from sievework.sources.tables import (
     head_sample,
@@ -16,6 +16,7 @@ from sievework.sources.tables import (
 
 __all__ = [
     "bad_line_count",
+    "document_check",
     "document_counts",
     "file_checksums",
     "file_inventory",

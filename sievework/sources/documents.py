@@ -2,24 +2,56 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievework.sources.paths import path_exists
+
 
-def read_json_document(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Read JSON documents as rows; fields a document lacks are NULL."""
-    reader = spark.read.option("multiLine", True)
+def read_json_document(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """Read JSON documents as rows; fields a document lacks are NULL.
+
+    Reports written by :func:`write_json_document` hold one entry per line; a file with one
+    object spread over lines is read with ``multi_line``.
+    """
+    reader = spark.read.option("multiLine", multi_line)
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
-def write_json_document(df: DataFrame, path: str) -> None:
-    """Write a small report as JSON.
+def write_json_document(df: DataFrame, path: str, single_file: bool = True) -> None:
+    """Write a report as JSON lines, one entry per line.
+
+    One file suits manifests, audits and catalogues, whose rows do not grow with the data;
+    for results that may grow (file listings, code maps) leave the number of files to Spark.
+    """
+    rows = df.coalesce(1) if single_file else df
+    rows.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def document_check(spark: SparkSession, zone: str, names: Sequence[str]) -> DataFrame:
+    """Per document of a catalogue zone: entries read and entries that are not valid JSON.
 
-    Only for reports: manifests, audits, catalogues and other results whose rows do not
-    grow with the data.
+    A document that is not there has no entries.
     """
-    df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    checks = []
+    for name in names:
+        path = f"{zone.rstrip('/')}/{name}"
+        if path_exists(spark, path):
+            lines = spark.read.text(path).select(F.try_parse_json("value").isNull().alias("broken"))
+            found = lines.agg(F.count("*").alias("entries"), F.count_if("broken").alias("broken"))
+        else:
+            found = spark.range(1).select(F.lit(0).cast("bigint").alias("entries"), F.lit(0).cast("bigint").alias("broken"))
+        checks.append(found.select(F.lit(name).alias("document"), "entries", "broken"))
+    return reduce(DataFrame.unionByName, checks)
 
 
 def document_counts(documents: DataFrame) -> DataFrame:

@@ -5,33 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.sources.paths import path_exists
+from sievework.sources.paths import path_exists, qualified
 
 MEGABYTE = 1024 * 1024
+CHECKSUM_SCHEMA = "filename string, size_bytes bigint, md5 string"
 _EMPTY_INVENTORY = "zone string, filename string, size_bytes bigint, size_mb double, modified timestamp"
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path)
+    """All files below a path; sub-folders may be tables of any partitioning."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
 
 
-def file_inventory(spark: SparkSession, zones: dict[str, str]) -> DataFrame:
-    """Regular files directly in each zone folder; a zone that does not exist has none.
+def file_inventory(spark: SparkSession, zones: dict[str, str], recursive: bool = False) -> DataFrame:
+    """Regular files of each zone folder; a zone that does not exist has none.
 
-    ``content`` is never selected, so only the listing is read.
+    Only files that lie directly in the folder, unless ``recursive``.  ``content`` is never
+    selected, so only the listing is read.
     """
     inventory = spark.createDataFrame([], _EMPTY_INVENTORY)
     for zone, path in zones.items():
         if not path_exists(spark, path):
             continue
-        files = _files(spark, path).select(
+        files = _files(spark, path)
+        if not recursive:
+            folder = F.regexp_replace("path", "/[^/]+$", "")
+            files = files.where(folder == qualified(spark, path).rstrip("/"))
+        listed = files.select(
             F.lit(zone).alias("zone"),
             F.element_at(F.split("path", "/"), -1).alias("filename"),
             F.col("length").alias("size_bytes"),
             F.round(F.col("length") / MEGABYTE, 2).alias("size_mb"),
             F.col("modificationTime").alias("modified"),
         )
-        inventory = inventory.unionByName(files)
+        inventory = inventory.unionByName(listed)
     return inventory
 
 

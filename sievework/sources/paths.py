@@ -15,6 +15,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, as Spark spells it in file listings."""
+    files, target = _hadoop(spark, path)
+    return files.makeQualified(target).toString()
+
+
 def write_committed(spark: SparkSession, path: str) -> bool:
     """True once a Spark write to ``path`` has been committed."""
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")

@@ -42,6 +42,7 @@ def test_frequencies_leave_null_out_and_break_ties_by_value(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,), (None,), (None,)], "v string")
     assert [tuple(r) for r in profile.value_counts(df, "v", 2).collect()] == [("c", 2), ("a", 1)]
     assert [tuple(r) for r in profile.value_counts(df, "v", 9, sort="key").collect()] == [("a", 1), ("b", 1), ("c", 2)]
+    assert [tuple(r) for r in profile.value_counts(df, "v", sort="count").collect()][0] == ("c", 2)
     assert profile.distinct_count(df, "v").first()[0] == 3
     assert sorted(r["v"] for r in explore.filter_top_k(df, "v", 2).collect()) == ["a", "c", "c"]
 
@@ -111,5 +112,7 @@ def test_validation(spark, rows):
     presence = validate.expected_present(inventory, [("z", "f"), ("z", "g"), ("y", "h")])
     assert rows(presence.select("zone", "filename", "status")) == [("y", "h", "missing"), ("z", "f", "ok"), ("z", "g", "missing")]
     assert rows(validate.zones_complete(presence)) == [("files:y", 1, False), ("files:z", 1, False)]
-    counts = spark.createDataFrame([(6, 17)], "stages_count int, categories_total int")
-    assert tuple(validate.check_documents(counts, {"stages_count": 6, "categories_total": 18}, "doc").first()) == ("doc", 1, False)
+    documents = spark.createDataFrame([("a", 3, 0), ("b", 3, 1), ("c", 0, 0)], "document string, entries bigint, broken bigint")
+    assert rows(validate.check_documents(documents)) == [
+        ("document:a", 0, True), ("document:b", 1, False), ("document:c", 1, False),
+    ]

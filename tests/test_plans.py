@@ -1,12 +1,13 @@
 """The flows end to end on a small incident file."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from sievework.operators import audit, clean, validate
-from sievework.plans import catalog, cleaning, features, ingest, presets, publishing
+from sievework.plans import catalog, cleaning, exploration, features, ingest, presets, publishing
 from sievework.plans.spec import FeatureSpec
 from sievework.sources import read_json_document
 
@@ -60,7 +61,7 @@ def test_ingest_reports(flow, spark):
     assert reports["date_samples"].count() == 5
     manifest = read_json_document(spark, f"{dataset.catalog_zone}/ingestion_manifest").first()
     assert (manifest["row_count"], manifest["column_count"], len(manifest["columns"])) == (406, 22, 22)
-    assert len(manifest["checksums"][0]["md5"]) == 32
+    assert manifest["checksum"] == hashlib.md5((root / "incidents.csv").read_bytes()).hexdigest()
 
 
 def test_cleaning_audit_balances(flow):
@@ -103,7 +104,7 @@ def test_skipping_the_exact_duplicate_step_changes_nothing(flow):
 def test_features_catalogue_and_publication(flow, spark, tmp_path):
     root, dataset, landed, spec, result = flow
     cleaned_path = str(root / "processed" / "cleaned")
-    result.table.write.mode("overwrite").parquet(cleaned_path)
+    cleaning.save_cleaning(result, cleaned_path, dataset.catalog_zone)
     cleaned = spark.read.parquet(cleaned_path)
 
     built = features.run_features(cleaned, presets.incident_features())
@@ -116,6 +117,8 @@ def test_features_catalogue_and_publication(flow, spark, tmp_path):
     assert sorted(r["value"] for r in built.label_map.collect()) == ["BATTERY", "NARCOTICS", "OTHER", "THEFT"]
     assert built.area_map.orderBy("code").first()["value"] == "0"
 
+    features.save_features(built, str(root / "processed" / "features"), dataset.catalog_zone)
+
     totals = audit.audit_totals(result.audit)
     stages = [
         audit.stage(1, "raw", dataset.source, landed.path, totals.select(F.col("rows_raw").alias("row_count"))),
@@ -139,6 +142,12 @@ def test_features_catalogue_and_publication(flow, spark, tmp_path):
     roles = {r["role"]: r["columns"] for r in documents["column_roles"].collect()}
     assert roles["excluded"] == "Arrest"
 
+    rules = [
+        validate.null_rule("Date"),
+        validate.null_rule("Primary Type"),
+        validate.range_rule("Latitude", presets.CITY_BOX.lat_min, presets.CITY_BOX.lat_max),
+        validate.range_rule("Longitude", presets.CITY_BOX.lon_min, presets.CITY_BOX.lon_max),
+    ]
     report = publishing.publish_and_validate(
         spark,
         cleaned,
@@ -147,15 +156,38 @@ def test_features_catalogue_and_publication(flow, spark, tmp_path):
         presets.INCIDENT_COLUMNS,
         built.selected,
         "crime_type_label",
-        [
-            validate.null_rule("Date"),
-            validate.null_rule("Primary Type"),
-            validate.range_rule("Latitude", presets.CITY_BOX.lat_min, presets.CITY_BOX.lat_max),
-            validate.range_rule("Longitude", presets.CITY_BOX.lon_min, presets.CITY_BOX.lon_max),
-        ],
+        rules,
     )
     assert validate.verdict(report).first()["passed"]
 
+    names = ["ingestion_manifest", "etl_report", "etl_totals", "data_catalog", "lineage", "assumptions",
+             "zone_registry", "class_merges", "label_encoding", "area_encoding"]
+    report = publishing.validate_published(
+        spark,
+        {"cleaned": str(tmp_path / "published" / "cleaned"), "features": str(tmp_path / "published" / "features")},
+        presets.INCIDENT_COLUMNS,
+        [*built.selected, "no_such_feature"],
+        "crime_type_label",
+        rules,
+        expected_files=[("source", "incidents.csv"), ("source", "gone.csv")],
+        zones={"source": str(root)},
+        catalog_zone=dataset.catalog_zone,
+        documents=names,
+    )
+    failed = sorted(r["rule"] for r in report.where(~F.col("passed")).collect())
+    assert failed == ["files:source", "schema:features"]
+
+
+def test_exploration_tables(flow):
+    _, _, _, spec, result = flow
+    tables = exploration.run_exploration(result.table, spec)
+    n = result.table.count()
+    for name in ("hourly", "weekly", "monthly", "yearly", "class_balance", "spatial"):
+        assert tables[name].agg(F.sum("row_count")).first()[0] == n, name
+    assert tables["top_classes"].count() == 4
+    assert tables["correlation"].count() == 25
+    assert tables["coordinate_boxes"].count() == 2
+
 
 def test_mixed_scoring_uses_both_estimators(flow, spark):
     result = flow[4]

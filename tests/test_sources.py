@@ -59,8 +59,11 @@ def test_inventory_and_checksums(spark, tmp_path, rows):
     (tmp_path / "two.bin").write_bytes(b"x" * 2_000_000)
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "three").write_text("no")
+    (tmp_path / "day=1").mkdir()
     inventory = sources.file_inventory(spark, {"z": str(tmp_path), "gone": str(tmp_path / "gone")})
     assert rows(inventory.select("zone", "filename", "size_mb")) == [("z", "one.json", 0.0), ("z", "two.bin", 1.91)]
+    everything = sources.file_inventory(spark, {"z": str(tmp_path)}, recursive=True)
+    assert {r["filename"] for r in everything.collect()} == {"one.json", "two.bin", "three"}
     sums = {r["filename"]: r["md5"] for r in sources.file_checksums(spark, str(tmp_path)).collect()}
     assert sums["two.bin"] == hashlib.md5(b"x" * 2_000_000).hexdigest()
 
@@ -88,10 +91,14 @@ def test_documents(spark, tmp_path):
     path = tmp_path / "doc.json"
     path.write_text('{"stages": [1, 2], "categories": {"x": [{"id": 1}], "y": [{"id": 2}, {"id": 3}]}}')
     schema = "stages array<int>, categories map<string, array<struct<id:int>>>, columns array<string>"
-    counts = sources.document_counts(sources.read_json_document(spark, str(path), schema)).first().asDict()
+    counts = sources.document_counts(sources.read_json_document(spark, str(path), schema, multi_line=True)).first().asDict()
     assert counts == {"stages_count": 2, "categories_count": 2, "categories_total": 3, "columns_count": 0}
     sources.write_json_document(spark.range(2), str(tmp_path / "r"))
     assert spark.read.json(str(tmp_path / "r")).count() == 2
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.json").write_text('{"a": 1}\n{"a": \n')
+    checked = {r["document"]: (r["entries"], r["broken"]) for r in sources.document_check(spark, str(tmp_path), ["r", "broken", "gone"]).collect()}
+    assert checked == {"r": (2, 0), "broken": (2, 1), "gone": (0, 0)}
 
 
 @pytest.mark.parametrize("n", [3, 1500, 5000])

@@ -102,7 +102,7 @@ def head_of_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 def year_counts(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"))
-    return profile.value_counts(orders, "year")
+    return profile.value_counts(orders, "year", sort="key")
 
 
 def topk_types(spark: SparkSession, sf: str) -> DataFrame:
