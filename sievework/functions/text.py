@@ -42,9 +42,17 @@ def null_if_missing(column: Column | str, tokens: Sequence[str] = DEFAULT_MISSIN
     return F.when(text.isin(list(tokens)), F.lit(None)).otherwise(text)
 
 
+# The characters that count as whitespace in Unicode text.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(column: Column | str) -> Column:
-    """Remove leading and trailing whitespace of any kind (``trim`` only removes blanks)."""
-    return F.regexp_replace(as_column(column), r"^\s+|\s+$", "")
+    """Remove leading and trailing whitespace of any kind (plain ``trim`` only removes blanks)."""
+    return F.trim(as_column(column), F.lit(WHITESPACE))
 
 
 def standardize(column: Column | str) -> Column:

@@ -175,7 +175,9 @@ def mi_knn(
         "classes",
     )
     points = _jittered(df, features, label, key).join(classes, "y")
-    counts = _neighbour_counts(_radii(points, k, block_rows))
+    # Written, because range partitioning reads its input twice: for bounds and for rows.
+    radii = written(_radii(points, k, block_rows), "radii")
+    counts = _neighbour_counts(radii)
     # What depends on class sizes alone is the same for every feature.
     rows = F.sum("n_c")
     by_class = F.sum(F.col("n_c") * (digamma(_rank_of_neighbour(k)) - digamma(F.col("n_c"))))

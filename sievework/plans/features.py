@@ -37,13 +37,16 @@ def derive(cleaned: DataFrame, spec: FeatureSpec, label_map: DataFrame, area_map
     return label_encode(table, as_column(spec.area).cast("string"), spec.area_code, area_map)
 
 
-def score(derived: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Mutual information of every candidate with the label, on a sample of fixed size."""
+def score(cleaned: DataFrame, spec: FeatureSpec, label_map: DataFrame, area_map: DataFrame) -> DataFrame:
+    """Mutual information of every candidate with the label, on a sample of fixed size.
+
+    Rows are sampled before features are derived; the choice only reads the key column.
+    """
+    sample = fixed_sample(cleaned, spec.sample_rows, spec.seed, spec.key)
+    derived = derive(sample, spec, label_map, area_map)
     columns = [*dict.fromkeys([spec.key, spec.label, *spec.candidates])]
-    sample = fixed_sample(
-        derived.select(*[as_column(c) for c in columns]), spec.sample_rows, spec.seed, spec.key
-    )
-    filled = written(sample.fillna(0, subset=list(spec.candidates)), "sample")
+    filled = derived.select(*[as_column(c) for c in columns]).fillna(0, subset=list(spec.candidates))
+    filled = written(filled, "sample")
     continuous = [c for c in spec.candidates if c not in spec.discrete]
     scores = []
     if continuous:
@@ -61,7 +64,7 @@ def run_features(cleaned: DataFrame, spec: FeatureSpec) -> Features:
     label_map = label_mapping(cleaned, spec.category)
     area_map = label_mapping(cleaned, as_column(spec.area).cast("string"))
     derived = derive(cleaned, spec, label_map, area_map)
-    scores = score(derived, spec)
+    scores = score(cleaned, spec, label_map, area_map)
     names = selected_names(scores, spec.candidates, spec.threshold)
     return Features(
         matrix=derived.select(*[as_column(c) for c in names], F.col(spec.label)),

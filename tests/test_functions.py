@@ -14,7 +14,8 @@ def values(spark, texts, expression):
 
 
 def test_strip_removes_every_kind_of_whitespace(spark):
-    assert values(spark, ["\t a b \n", None, "  "], fn.strip("t")) == ["a b", None, ""]
+    texts = ["\t a b \n", None, "  ", "\u3000x\xa0", "a\tb"]
+    assert values(spark, texts, fn.strip("t")) == ["a b", None, "", "x", "a\tb"]
     assert values(spark, [" theft\t"], fn.standardize("t")) == ["THEFT"]
 
 
