@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from sievework.functions.text import as_column
 
-#: Hash digits that decide the cut; 16 ** 5 possible heads bound the histogram.
-_HEAD_DIGITS = 5
+#: Hash digits per histogram; 16 ** 4 possible heads bound its size.
+_DIGITS = 4
 
 
 def sample_hash(key: Column | str, seed: int) -> Column:
@@ -17,21 +17,31 @@ def sample_hash(key: Column | str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), as_column(key).cast("string")))
 
 
+def _cut(df: DataFrame, digits: Column, wanted: Column) -> Column:
+    """Smallest head at which so many rows are reached, and the rows before it."""
+    heads = df.groupBy(digits.alias("head")).agg(F.count("*").alias("rows"))
+    upto = W.orderBy("head").rowsBetween(W.unboundedPreceding, W.currentRow)
+    reached = heads.withColumn("through", F.sum("rows").over(upto)).where(F.col("through") >= wanted)
+    found = F.struct("head", (F.col("through") - F.col("rows")).alias("before"))
+    return reached.agg(F.min(found)).scalar()
+
+
 def fixed_sample(df: DataFrame, n: int, seed: int, key: Column | str) -> DataFrame:
     """``min(n, rows)`` rows without replacement, always the same ones for a seed.
 
     The sample is the ``n`` smallest hashes of a unique key.  A histogram over the first
-    hash digits finds where the n-th lies, so only little more than ``n`` rows are sorted
-    in the end, not ``n`` rows of every task.
+    hash digits finds where the n-th lies, a second one refines that place, and only the
+    rows up to it, little more than ``n``, are sorted in the end.
     """
-    digits = F.substring(sample_hash(key, seed), 1, _HEAD_DIGITS)
-    heads = df.groupBy(digits.alias("head")).agg(F.count("*").alias("rows"))
-    upto = W.orderBy("head").rowsBetween(W.unboundedPreceding, W.currentRow)
-    reached = heads.withColumn("through", F.sum("rows").over(upto)).where(F.col("through") >= n)
-    cut = reached.agg(F.coalesce(F.min("head"), F.lit("g"))).scalar()
+    hashed = sample_hash(key, seed)
+    first = _cut(df, F.substring(hashed, 1, _DIGITS), F.lit(n))
+    there = df.where(F.substring(hashed, 1, _DIGITS) == first["head"])
+    second = _cut(there, F.substring(hashed, _DIGITS + 1, _DIGITS), F.lit(n) - first["before"])
+    # "g" sorts after every hash: fewer than n rows, so all are taken.
+    cut = F.coalesce(F.concat(first["head"], second["head"]), F.lit("g"))
     return (
-        df.withColumn("_hash", sample_hash(key, seed))
-        .where(F.substring("_hash", 1, _HEAD_DIGITS) <= cut)
+        df.withColumn("_hash", hashed)
+        .where(F.substring("_hash", 1, 2 * _DIGITS) <= cut)
         .orderBy("_hash", as_column(key))
         .limit(n)
         .drop("_hash")

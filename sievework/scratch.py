@@ -10,26 +10,31 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+@lru_cache(maxsize=None)
+def _local_root(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="sievework-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may run without the setting (tests); a cluster must name a
-    folder every executor can reach.
+    Only a local master may run without one (tests); a cluster must name a folder every
+    executor can reach.
     """
-    configured = spark.conf.get(CHECKPOINT_SETTING, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="sievework-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    return _local_root(context.applicationId)
 
 
 def written_path(df: DataFrame, label: str) -> str:
