@@ -16,8 +16,7 @@ from sievework.functions.casts import parse_timestamp as timestamp_of
 from sievework.functions.casts import to_bool as bool_of
 from sievework.functions.casts import to_double as double_of
 from sievework.functions.casts import to_long as long_of
-from sievework.functions.text import as_column
-from sievework.functions.text import standardize
+from sievework.functions.text import DEFAULT_MISSING_TOKENS, as_column, null_if_missing, standardize
 from sievework.operators.lookup import lookup_join
 from sievework.operators.quantiles import approximate_quantiles, exact_quantiles
 
@@ -74,6 +73,13 @@ def fill_missing(df: DataFrame, columns: Sequence[str], value: str | int | float
     return df.withColumns({c: F.coalesce(as_column(c), F.lit(value)) for c in _present(df, columns)})
 
 
+def normalize_missing(
+    df: DataFrame, columns: Sequence[str], tokens: Sequence[str] = DEFAULT_MISSING_TOKENS
+) -> DataFrame:
+    """NULL where the text of a column is one of the missing-value tokens."""
+    return df.withColumns({c: null_if_missing(c, tokens) for c in _present(df, columns)})
+
+
 def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: how many values :func:`fill_missing` would fill, per column."""
     return df.agg(*[F.count_if(as_column(c).isNull()).alias(c) for c in _present(df, columns)])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sievework.operators.validate import (
     RowRule,
@@ -18,6 +19,7 @@ from sievework.operators.validate import (
 )
 from sievework.sources.documents import document_check
 from sievework.sources.inventory import file_inventory
+from sievework.sources.paths import path_exists
 from sievework.sources.tables import publish, read_processed
 
 
@@ -36,6 +38,13 @@ def publish_and_validate(
     return validate_published(spark, places, expected_columns, expected_features, label, rules)
 
 
+def check_zones(spark: SparkSession, zones: dict[str, str]) -> DataFrame:
+    """One result per zone: its folder or container exists."""
+    found = [(f"zone:{name}", 0 if path_exists(spark, path) else 1) for name, path in zones.items()]
+    results = spark.createDataFrame(found, "rule string, failures bigint")
+    return results.withColumn("passed", F.col("failures") == 0)
+
+
 def validate_published(
     spark: SparkSession,
     places: dict[str, str],
@@ -48,7 +57,7 @@ def validate_published(
     catalog_zone: str | None = None,
     documents: Sequence[str] = (),
 ) -> DataFrame:
-    """Rule results for published tables and, optionally, expected files and documents."""
+    """Rule results for published tables and, optionally, for zones, files and documents."""
     cleaned = read_processed(spark, places["cleaned"])
     features = read_processed(spark, places["features"])
     results = [
@@ -57,6 +66,8 @@ def validate_published(
         check_rows(cleaned, rules),
         check_class_count(features, label),
     ]
+    if zones:
+        results.append(check_zones(spark, zones))
     if expected_files:
         presence = expected_present(file_inventory(spark, zones or {}), expected_files)
         results.append(zones_complete(presence))

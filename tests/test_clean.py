@@ -44,6 +44,7 @@ def test_fill_and_drop(spark, rows):
     filled = clean.fill_missing(clean.fill_missing(df, ["t", "absent"], "UNKNOWN"), ["n"], 0)
     assert rows(filled) == [("UNKNOWN", 0.0, 1), ("t", 2.0, None)]
     assert rows(clean.drop_missing(df, ["t", "n"])) == [("t", 2.0, None)]
+    assert rows(clean.normalize_missing(df.select("t"), ["t", "absent"], ["t"])) == [(None,), (None,)]
     assert rows(clean.missing_counts(df, ["t", "m", "absent"])) == [(1, 1)]
 
 

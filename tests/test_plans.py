@@ -170,12 +170,12 @@ def test_features_catalogue_and_publication(flow, spark, tmp_path):
         "crime_type_label",
         rules,
         expected_files=[("source", "incidents.csv"), ("source", "gone.csv")],
-        zones={"source": str(root)},
+        zones={"source": str(root), "lost": str(root / "lost")},
         catalog_zone=dataset.catalog_zone,
         documents=names,
     )
     failed = sorted(r["rule"] for r in report.where(~F.col("passed")).collect())
-    assert failed == ["files:source", "schema:features"]
+    assert failed == ["files:source", "schema:features", "zone:lost"]
 
 
 def test_exploration_tables(flow):

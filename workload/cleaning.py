@@ -122,6 +122,11 @@ def fill_missing(spark: SparkSession, sf: str) -> DataFrame:
     return clean.fill_missing(filled, ["quality", "toxic"], 0)
 
 
+def normalize_missing(spark: SparkSession, sf: str) -> DataFrame:
+    rows = raw_incidents(spark, sf).select("id", "arrest", "ward")
+    return clean.normalize_missing(rows, ["arrest", "ward"], [*clean.DEFAULT_MISSING_TOKENS, "maybe", "x"])
+
+
 def fill_counts(spark: SparkSession, sf: str) -> DataFrame:
     return clean.missing_counts(_labelled(spark, sf), ["grade", "quality", "no_such_column"])
 
@@ -341,6 +346,10 @@ FROM counts WHERE null_count > 0""",
         + """ SELECT doc_id, lang, coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic,
   coalesce(grade, 'UNKNOWN') AS grade FROM labelled""",
     ),
+    "normalize_missing": (
+        normalize_missing,
+        WITH_RAW + "SELECT id, nullif(arrest, 'maybe') AS arrest, nullif(ward, 'x') AS ward FROM raw_incidents",
+    ),
     "fill_counts": (
         fill_counts,
         _LABELLED

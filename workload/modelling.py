@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions.text import as_column
-from sievework.operators import encode, features, sampling, selection, validate
+from sievework.operators import encode, features, profile, sampling, selection, validate
 from sievework.plans.features import derive
+from sievework.plans.ingest import Dataset, ingestion_manifest
 from sievework.scratch import scratch_root, written, written_path
 from sievework.sources.delimited import read_delimited
+from sievework.sources.documents import read_json_document, write_json_document
 from sievework.sources.inventory import file_checksums, file_inventory
-from sievework.sources.tables import land_raw, read_latest, write_processed
+from sievework.sources.tables import land_raw, publish, read_latest, read_processed, write_processed
 from workload.cleaning import _cleaned
 from workload.incidents import COLUMNS, FEATURES, WITH_CLEANED, WITH_RAW, raw_incidents, table
+from workload.profiling import LINEITEM_PROFILE
 
 
 def calendar_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,6 +165,49 @@ def latest_landed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def published_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and customers published, replaced, and read back from where they were put."""
+    uri = written_path(spark.range(1), "published")
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("key"), F.col("o_totalprice").alias("amount"))
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("amount"))
+    publish({"orders": customers, "customers": customers}, uri)
+    places = publish({"orders": orders, "customers": customers}, uri)
+    sums = [
+        read_processed(spark, place)
+        .agg(F.count("*").alias("row_count"), F.round(F.sum("amount"), 2).alias("total"))
+        .withColumn("name", F.lit(name))
+        for name, place in places.items()
+    ]
+    return sums[0].unionByName(sums[1])
+
+
+def document_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """A profile written as a JSON document and read back."""
+    profiled = profile.profile_columns(table(spark, sf, "lineitem")).drop("inferred_type")
+    path = written_path(spark.range(1), "catalog") + "/profile"
+    write_json_document(profiled, path)
+    return read_json_document(spark, path, profiled.schema)
+
+
+def manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Manifest of the orders table; the sums of all files of the folder stand for the source."""
+    dataset = Dataset("orders", "v1.0", sf, "raw", "processed", "catalog")
+    described = ingestion_manifest(
+        table(spark, sf, "orders"), dataset, "raw/orders", dt.date(2026, 1, 2), file_checksums(spark, sf)
+    )
+    return described.select(
+        "dataset_name",
+        "version",
+        "ingestion_date",
+        "ingestion_mode",
+        "raw_path",
+        "row_count",
+        "column_count",
+        F.array_join("columns", ",").alias("columns"),
+        F.col("storage_layout.raw_zone").alias("raw_zone"),
+    )
+
+
 def zone_inventory(spark: SparkSession, sf: str) -> DataFrame:
     return file_inventory(spark, {"data": sf, "nowhere": f"{scratch_root(spark)}/no-such-zone"})
 
@@ -379,6 +427,19 @@ SELECT count(*) AS rules, count(*) FILTER (failures > 0) AS failed, bool_and(fai
         latest_landed,
         """SELECT o_orderstatus, count(*) AS row_count, round(sum(o_totalprice), 2) AS total
 FROM orders GROUP BY o_orderstatus""",
+    ),
+    "published_tables": (
+        published_tables,
+        """SELECT 'orders' AS name, count(*) AS row_count, round(sum(o_totalprice), 2) AS total FROM orders
+UNION ALL SELECT 'customers', count(*), round(sum(c_acctbal), 2) FROM customer""",
+    ),
+    "document_round_trip": (document_round_trip, LINEITEM_PROFILE),
+    "manifest": (
+        manifest,
+        """SELECT 'orders' AS dataset_name, 'v1.0' AS version, '2026-01-02' AS ingestion_date,
+  'batch' AS ingestion_mode, 'raw/orders' AS raw_path, (SELECT count(*) FROM orders) AS row_count,
+  count(*) AS column_count, string_agg(column_name, ',') AS columns, 'raw' AS raw_zone
+FROM (DESCRIBE orders)""",
     ),
     "zone_inventory": (zone_inventory, None),
     "zone_checksums": (zone_checksums, None),

@@ -172,7 +172,7 @@ def _profile_sql(name: str, columns: dict[str, bool]) -> str:
     return " UNION ALL ".join(parts)
 
 
-_LINEITEM_PROFILE = _profile_sql(
+LINEITEM_PROFILE = _profile_sql(
     "lineitem",
     {
         "l_orderkey": True,
@@ -195,7 +195,7 @@ _NOTES_VALUES = ", ".join(
 )
 
 _CATALOG_SQL = f"""
-WITH profiled AS ({_LINEITEM_PROFILE}),
+WITH profiled AS ({LINEITEM_PROFILE}),
 notes(column_name, declared_type, nullable, zone, role, notes) AS (VALUES {_NOTES_VALUES}),
 catalog AS (
   SELECT n.*, p.null_count, p.distinct_count, p.min_value, p.max_value
@@ -231,7 +231,7 @@ SELECT coalesce(p.column_name, e.column_name) AS column_name,
 FROM present p FULL JOIN expected e ON p.column_name = e.column_name
 LEFT JOIN filled f ON f.column_name = coalesce(p.column_name, e.column_name)""",
     ),
-    "profile_columns": (profile_columns, _LINEITEM_PROFILE),
+    "profile_columns": (profile_columns, LINEITEM_PROFILE),
     "profile_booleans": (
         profile_booleans,
         """SELECT 'is_large' AS column_name, 0::BIGINT AS null_count,
