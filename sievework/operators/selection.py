@@ -111,7 +111,7 @@ def _radii(points: DataFrame, k: int, block_rows: int) -> DataFrame:
 
 
 def _sorted_present(distances: str) -> Column:
-    return F.array_sort(F.filter(F.col(distances), lambda d: d.isNotNull()))
+    return F.sort_array(F.array_compact(F.col(distances)))
 
 
 def _rank_of_neighbour(k: int) -> Column:
