@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe
+from sievework.llm import bpe, simhash
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -28,5 +28,11 @@ def op1_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_byte_bpe": op1_byte_bpe}
+def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+QUERIES = {"op8_simhash": op8_simhash, "op1_byte_bpe": op1_byte_bpe}
 ORACLES: dict[str, str] = {}
