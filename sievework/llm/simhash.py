@@ -25,8 +25,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.buffers import chunks, ragged, word_spans
+from sievework.llm.buffers import chunks
 from sievework.llm.graph import components
+from sievework.llm.words import joined_words
 from sievework.scratch import written
 
 SEED = 42
@@ -38,16 +39,6 @@ FRONTIER = 400_000
 BUCKET_ROWS = 1_000
 
 
-def joined_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of all documents, each followed by one space: bytes, starts, ends, words per document."""
-    starts, ends, docs = word_spans(data, offsets)
-    lengths = ends - starts
-    first = np.cumsum(lengths + 1) - lengths - 1
-    out = np.full(int(lengths.sum()) + len(lengths), 32, np.uint8)
-    out[np.arange(int(lengths.sum())) + np.repeat(np.arange(len(lengths)), lengths)] = ragged(data, starts, lengths)
-    return out, first, first + lengths, np.bincount(docs, minlength=len(offsets) - 1)
-
-
 def chunk_fingerprints(data: np.ndarray, offsets: np.ndarray, words: int) -> np.ndarray:
     lower = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
     text, starts, ends, counts = joined_words(lower, offsets)
