@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, simhash, superkmer
+from sievework.llm import bpe, simhash, suffix_dedup, superkmer
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -28,6 +28,12 @@ def op1_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_suffix_array(spark: SparkSession, sf: str) -> DataFrame:
+    """What stays of every document once strings of 50 bytes seen in an earlier one are gone."""
+    found = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_super_kmers(spark: SparkSession, sf: str) -> DataFrame:
     """What stays of every document once windows of 13 words seen in an earlier one are gone."""
     found = superkmer.remove_repeats(table(spark, sf, "documents"))
@@ -40,5 +46,5 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op7_super_kmers": op7_super_kmers, "op8_simhash": op8_simhash, "op1_byte_bpe": op1_byte_bpe}
+QUERIES = {"op3_suffix_array": op3_suffix_array, "op7_super_kmers": op7_super_kmers, "op8_simhash": op8_simhash, "op1_byte_bpe": op1_byte_bpe}
 ORACLES: dict[str, str] = {}

@@ -11,12 +11,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.buffers import binary_array
+from sievework.llm.buffers import binary_array, mixed
 
-#: Rows between tasks: a packed block of records for a bucket (no key), or finished spans of a row.
-ROUTED = "bucket int, key long, tag long, block binary"
-FOUND = "key long, tag long, block binary"
-NAMES = ["bucket", "key", "tag", "block"]
+#: Rows between tasks: a packed block of records for a bucket, or finished spans on their way to ``dest``.
+ROUTED = "bucket int, dest int, block binary"
+FOUND = "dest int, block binary"
+SPANS = ["key", "tag", "low", "high"]
+#: Buckets for each shuffle partition.
+BUCKETS_EACH = 4
+#: Finished spans a task holds before it sends them on; no effect on results.
+HELD_SPANS = 200_000
 
 
 def tagged(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -49,14 +53,26 @@ def runs_of(*columns: np.ndarray) -> np.ndarray:
     return fresh
 
 
-def rows_of_spans(key: np.ndarray, tag: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[pa.Array]:
-    """One row per document with all of its spans as pairs of 32-bit numbers."""
-    order = np.lexsort((low, tag, key))
-    key, tag = key[order], tag[order]
-    first = np.flatnonzero(runs_of(key, tag))
-    counts = np.diff(np.append(first, len(key)))
-    pairs = np.stack((low[order], high[order]), axis=1).astype(np.int32)
-    return [pa.array(key[first]), pa.array(tag[first]), binary_array(pairs.reshape(-1).view(np.uint8), counts * 8)]
+def blocks_of_spans(spans: list[tuple[np.ndarray, ...]], dests: int) -> tuple[list[int], list[bytes]]:
+    """Spans as one block for each destination."""
+    key, tag, low, high = (np.concatenate(x) for x in zip(*spans))
+    dest = (mixed(key.astype(np.int64).view(np.uint64)) % np.uint64(dests)).astype(np.int64)
+    order = np.lexsort((low, tag, key, dest))
+    cuts = np.append(np.flatnonzero(runs_of(dest[order])), len(order))
+    cut = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+    return dest[order[cuts[:-1]]].tolist(), [pack({"key": key[r], "tag": tag[r], "low": low[r].astype(np.int32), "high": high[r].astype(np.int32)}) for r in cut]
+
+
+def settled_batch(spans: list[tuple[np.ndarray, ...]], dests: int) -> pa.RecordBatch:
+    """Spans that need no bucket, in the form of routed rows."""
+    dest, blocks = blocks_of_spans(spans, dests)
+    dest = pa.array(dest, pa.int32())
+    return pa.RecordBatch.from_arrays([dest, dest, pa.array(blocks, pa.binary())], names=["bucket", "dest", "block"])
+
+
+def routed_batch(buckets: np.ndarray, blocks: list[bytes]) -> pa.RecordBatch:
+    """Blocks of records for buckets."""
+    return pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int32)), pa.nulls(len(blocks), pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "dest", "block"])
 
 
 def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -70,45 +86,89 @@ def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: np.ndarr
     return same
 
 
-def by_bucket(routed: DataFrame, work: Callable[[list[bytes]], Iterator[list[pa.Array]]]) -> DataFrame:
-    """``work`` on the blocks of every bucket; finished rows pass through.
+def by_bucket(routed: DataFrame, work: Callable[[list[bytes]], Iterator[tuple[np.ndarray, ...]]], dests: int) -> DataFrame:
+    """One row for each document with its spans: those settled before and those ``work`` finds in a bucket.
 
     Buckets stream through a task one after the other, so its memory is that of one bucket.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, bucket = [], None
-        for batch in batches:
-            sent = batch.column(1).is_null()
-            done = batch.filter(pc.invert(sent))
-            if len(done):
-                yield pa.RecordBatch.from_arrays(done.columns[1:], names=NAMES[1:])
-            rows = batch.filter(sent)
-            for b, block in zip(rows.column(0).to_pylist(), rows.column(3)):
+        held, bucket, spans, size = [], None, [], 0
+
+        def sent() -> pa.RecordBatch:
+            dest, blocks = blocks_of_spans(spans, dests)
+            return pa.RecordBatch.from_arrays([pa.array(dest, pa.int32()), pa.array(blocks, pa.binary())], names=["dest", "block"])
+
+        for batch in _with_end(batches):
+            rows = []
+            if batch is not None:
+                open_ = batch.column(1).is_null()
+                done = batch.filter(pc.invert(open_))
+                if len(done):
+                    yield pa.RecordBatch.from_arrays(done.columns[1:], names=["dest", "block"])
+                todo = batch.filter(open_)
+                rows = zip(todo.column(0).to_pylist(), todo.column(2))
+            for b, block in [*rows, *([(None, None)] if batch is None else [])]:
                 if b != bucket and held:
-                    yield from (pa.RecordBatch.from_arrays(x, names=NAMES[1:]) for x in work(held))
+                    for found in work(held):
+                        spans.append(found)
+                        size += len(found[0])
                     held = []
+                    if size > HELD_SPANS:
+                        yield sent()
+                        spans, size = [], 0
                 bucket = b
-                held.append(block.as_py())
-        if held:
-            yield from (pa.RecordBatch.from_arrays(x, names=NAMES[1:]) for x in work(held))
+                if block is not None:
+                    held.append(block.as_py())
+        if size:
+            yield sent()
+
+    def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, dest = [], None
+        for batch in _with_end(batches):
+            rows = [(None, None)] if batch is None else zip(batch.column(0).to_pylist(), batch.column(1))
+            for d, block in rows:
+                if d != dest and held:
+                    yield _rows_of_spans(held)
+                    held = []
+                dest = d
+                if block is not None:
+                    held.append(unpack(block.as_py(), SPANS))
 
-    return routed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
+    found = routed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
+    return found.repartition("dest").sortWithinPartitions("dest").mapInArrow(gathered, "key long, tag long, spans binary")
+
+
+def _rows_of_spans(blocks: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
+    """One row for each document with all of its spans as pairs of 32-bit numbers."""
+    key, tag, low, high = (np.concatenate([b[f] for b in blocks]) for f in SPANS)
+    order = np.lexsort((low, tag, key))
+    key, tag = key[order], tag[order]
+    first = np.flatnonzero(runs_of(key, tag))
+    counts = np.diff(np.append(first, len(key)))
+    pairs = np.stack((low[order], high[order]), axis=1).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(tag[first]), binary_array(pairs.reshape(-1).view(np.uint8), counts * 8)], names=["key", "tag", "spans"])
+
+
+def _with_end(batches: Iterable) -> Iterator:
+    yield from batches
+    yield None
 
 
 def with_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Tagged rows with ``blocks``, the spans found for them (null: none)."""
-    gathered = found.groupBy("key", "tag").agg(F.collect_list("block").alias("blocks"))
-    return rows.join(gathered, ["key", "tag"], "left")
+    """Tagged rows with ``spans``, those found for them (null: none)."""
+    return rows.join(found, ["key", "tag"], "left")
 
 
-def spans_of(blocks: pa.Array) -> Iterator[np.ndarray | None]:
-    """Pairs of every row of a ``blocks`` column."""
-    for row in blocks:
-        row = row.as_py()
-        yield np.frombuffer(b"".join(row), np.int32).reshape(-1, 2) if row else None
+def spans_of(column: pa.Array) -> list[np.ndarray | None]:
+    """Pairs of every row of a ``spans`` column."""
+    return [np.frombuffer(x, np.int32).reshape(-1, 2) if x else None for x in column.to_pylist()]
 
 
 def bucket_count(df: DataFrame) -> int:
     """Several buckets for each shuffle partition, so that partitions come out even."""
-    return 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return BUCKETS_EACH * destinations(df)
+
+
+def destinations(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -21,14 +21,15 @@ from pyspark.sql import functions as F
 
 from sievework.llm.buffers import PrefixHash, binary_array, chunks, covered, mixed, ragged, word_spans
 from sievework.llm.spans import (
-    NAMES,
     ROUTED,
     bucket_count,
     by_bucket,
+    destinations,
     pack,
-    rows_of_spans,
+    routed_batch,
     runs_of,
     same_bytes,
+    settled_batch,
     spans_of,
     tagged,
     unpack,
@@ -64,10 +65,10 @@ def minimiser_runs(kmer_hash: np.ndarray, windows: np.ndarray, width: int) -> tu
     return starts[first], starts[np.append(first[1:], len(starts)) - 1] + 1 if len(first) else starts, at[first]
 
 
-def route(buckets: int, window: int, kmer: int):
+def route(buckets: int, dests: int, window: int, kmer: int):
     """Task that turns documents into packed super-k-mers and settles copies inside a chunk."""
 
-    def work(key: np.ndarray, tag: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> Iterator[list[pa.Array]]:
+    def work(key: np.ndarray, tag: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> Iterator[pa.RecordBatch]:
         text, starts, ends, counts = joined_words(data, offsets)
         n = len(starts)
         if n < window:
@@ -98,8 +99,7 @@ def route(buckets: int, window: int, kmer: int):
         copy[copy] &= same_bytes(text, low[order[copy]], low[leader[copy]], (high - low)[order[copy]])
         gone = order[copy]
         if len(gone):
-            settled = rows_of_spans(ids[gone], tag[owner[gone]], inside[gone], inside[gone] + words[gone])
-            yield [pa.array((np.abs(settled[1].to_numpy()) % buckets).astype(np.int32)), *settled]
+            yield settled_batch([(ids[gone], tag[owner[gone]], inside[gone], inside[gone] + words[gone])], dests)
         stay = np.ones(len(first), bool)
         stay[gone] = False
         target = (several[at] >> np.uint64(32)) % np.uint64(buckets)
@@ -124,14 +124,13 @@ def route(buckets: int, window: int, kmer: int):
                     }
                 )
             )
-        empty = pa.nulls(len(blocks), pa.int64())
-        yield [pa.array(target[sent[cuts[:-1]]].astype(np.int32)), empty, empty, pa.array(blocks, pa.binary())]
+        yield routed_batch(target[sent[cuts[:-1]]], blocks)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, tag = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for low, high, data, offsets in chunks(batch.column(2)):
-                yield from (pa.RecordBatch.from_arrays(x, names=NAMES) for x in work(key[low:high], tag[low:high], data, offsets))
+                yield from work(key[low:high], tag[low:high], data, offsets)
 
     return run
 
@@ -139,7 +138,7 @@ def route(buckets: int, window: int, kmer: int):
 def settle(window: int):
     """Work of a bucket: sort, then read off the smallest document of every window."""
 
-    def work(blocks: list[bytes]) -> Iterator[list[pa.Array]]:
+    def work(blocks: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         parts = [unpack(b, FIELDS) for b in blocks]
         key = np.concatenate([p["key"][p["doc"]] for p in parts])
         tag = np.concatenate([p["tag"][p["doc"]] for p in parts])
@@ -155,7 +154,7 @@ def settle(window: int):
         copy[copy] &= same_bytes(text, at[order[copy]], at[leader[copy]], sizes[order[copy]])
         gone = order[copy]
         if len(gone):
-            yield rows_of_spans(key[gone], tag[gone], low[gone], low[gone] + words[gone])
+            yield key[gone], tag[gone], low[gone], low[gone] + words[gone]
         # Different super-k-mers of one minimiser may still share windows: sort those one by one.
         group = np.cumsum(runs_of(minimiser[order])) - 1
         several = np.bincount(group, fresh)[group] > 1
@@ -177,7 +176,7 @@ def settle(window: int):
         copy[copy] &= same_bytes(some, begin[order[copy]], begin[leader[copy]], (end - begin)[order[copy]])
         gone = order[copy]
         if len(gone):
-            yield rows_of_spans(key[mine[gone]], tag[mine[gone]], place[gone], place[gone] + window)
+            yield key[mine[gone]], tag[mine[gone]], place[gone], place[gone] + window
 
     return work
 
@@ -189,7 +188,7 @@ def _kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text, starts, ends, counts = joined_words(data, offsets)
             begin = np.cumsum(counts) - counts
             keep, removed = np.ones(len(starts), bool), np.zeros(len(counts), np.int64)
-            for i, pairs in zip(range(high - low), spans):
+            for i, pairs in enumerate(spans[low:high]):
                 if pairs is not None:
                     gone = covered(pairs[:, 0], pairs[:, 1], int(counts[i]))
                     keep[begin[i] : begin[i] + counts[i]] = ~gone
@@ -213,9 +212,8 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
     key.  Null, empty and short texts lose nothing.  Rows of one key and text are one document and get the
     same result each; rows with a null key lose nothing and make others lose nothing.
     """
-    rows = tagged(df, key, text)
-    buckets = bucket_count(df)
-    routed = rows.filter("key IS NOT NULL").mapInArrow(route(buckets, window, kmer), ROUTED)
-    found = by_bucket(routed, settle(window))
-    joined = with_spans(rows, found).select("key", "text", "blocks")
+    rows, dests = tagged(df, key, text), destinations(df)
+    routed = rows.filter("key IS NOT NULL").mapInArrow(route(bucket_count(df), dests, window, kmer), ROUTED)
+    found = by_bucket(routed, settle(window), dests)
+    joined = with_spans(rows, found).select("key", "text", "spans")
     return joined.mapInArrow(_kept, "key long, n_words long, n_removed long, kept string").withColumnRenamed("key", key)
