@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, simhash, suffix_dedup, superkmer
+from sievework.llm import bpe, line_quality, simhash, suffix_dedup, superkmer
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -28,6 +28,12 @@ def op1_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_line_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts and verdict of every document; the line model is fitted on the labelled ones."""
+    docs = table(spark, sf, "documents")
+    return line_quality.assess(docs, line_quality.fit_on_labels(docs, table(spark, sf, "labels")))
+
+
 def op3_suffix_array(spark: SparkSession, sf: str) -> DataFrame:
     """What stays of every document once strings of 50 bytes seen in an earlier one are gone."""
     found = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
@@ -46,5 +52,5 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op3_suffix_array": op3_suffix_array, "op7_super_kmers": op7_super_kmers, "op8_simhash": op8_simhash, "op1_byte_bpe": op1_byte_bpe}
+QUERIES = {"op2_line_rules": op2_line_rules, "op3_suffix_array": op3_suffix_array, "op7_super_kmers": op7_super_kmers, "op8_simhash": op8_simhash, "op1_byte_bpe": op1_byte_bpe}
 ORACLES: dict[str, str] = {}
