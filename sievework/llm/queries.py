@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, line_quality, simhash, suffix_dedup, superkmer
+from sievework.llm import bpe, byte_cnn, line_quality, simhash, suffix_dedup, superkmer, weak_labels
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -40,6 +40,20 @@ def op3_suffix_array(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_weak_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Posterior, score and verdict of every document; no given label is read."""
+    return weak_labels.classify(table(spark, sf, "documents"))
+
+
+def op6_byte_cnn(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document; a quarter of the documents is never learned from."""
+    docs = table(spark, sf, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    network = byte_cnn.train(docs, ~held_out)
+    found = byte_cnn.identify(docs, network)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op7_super_kmers(spark: SparkSession, sf: str) -> DataFrame:
     """What stays of every document once windows of 13 words seen in an earlier one are gone."""
     found = superkmer.remove_repeats(table(spark, sf, "documents"))
@@ -52,5 +66,5 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op2_line_rules": op2_line_rules, "op3_suffix_array": op3_suffix_array, "op7_super_kmers": op7_super_kmers, "op8_simhash": op8_simhash, "op1_byte_bpe": op1_byte_bpe}
+QUERIES = {"op4_weak_labels": op4_weak_labels, "op6_byte_cnn": op6_byte_cnn, "op2_line_rules": op2_line_rules, "op3_suffix_array": op3_suffix_array, "op7_super_kmers": op7_super_kmers, "op8_simhash": op8_simhash, "op1_byte_bpe": op1_byte_bpe}
 ORACLES: dict[str, str] = {}
