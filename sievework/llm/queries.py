@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, byte_cnn, line_quality, simhash, suffix_dedup, superkmer, weak_labels
+from sievework.llm import bpe, byte_cnn, chat, html_text, line_quality, simhash, suffix_dedup, superkmer, weak_labels
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,6 +17,12 @@ def tokens() -> list[bytes]:
     return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op9_block_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.extract(table(spark, sf, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op1_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document and what they decode to, as digests."""
     found = bpe.encode(table(spark, sf, "documents"), tokens(), public_tokenizers.PATTERN)
@@ -45,6 +51,25 @@ def op4_weak_labels(spark: SparkSession, sf: str) -> DataFrame:
     return weak_labels.classify(table(spark, sf, "documents"))
 
 
+def op5_chat_masks(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations and one that quotes the template, formatted and read back, as digests."""
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    quoted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        formatted = chat.format_conversations(rows.unionByName(quoted), file.read())
+    read = chat.read_back(formatted)
+    turns = F.transform(F.arrays_zip("roles", "texts"), lambda t: F.concat(t["roles"], F.lit("\n"), t["texts"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("roles").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op6_byte_cnn(spark: SparkSession, sf: str) -> DataFrame:
     """Language of every document; a quarter of the documents is never learned from."""
     docs = table(spark, sf, "documents")
@@ -66,5 +91,16 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op4_weak_labels": op4_weak_labels, "op6_byte_cnn": op6_byte_cnn, "op2_line_rules": op2_line_rules, "op3_suffix_array": op3_suffix_array, "op7_super_kmers": op7_super_kmers, "op8_simhash": op8_simhash, "op1_byte_bpe": op1_byte_bpe}
+QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op2_line_rules": op2_line_rules,
+    "op3_suffix_array": op3_suffix_array,
+    "op4_weak_labels": op4_weak_labels,
+    "op5_chat_masks": op5_chat_masks,
+    "op6_byte_cnn": op6_byte_cnn,
+    "op7_super_kmers": op7_super_kmers,
+    "op8_simhash": op8_simhash,
+    "op9_block_rules": op9_block_rules,
+}
+#: None of these methods has a SQL form; tests hold them against brute force.
 ORACLES: dict[str, str] = {}
