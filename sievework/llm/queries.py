@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, byte_cnn, chat, html_text, line_quality, simhash, suffix_dedup, superkmer, weak_labels
+from sievework.llm import bpe, byte_cnn, chat, decontam, html_text, line_quality, simhash, suffix_dedup, superkmer, weak_labels
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -91,6 +91,11 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_hamming_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold a benchmark item, which, where and how similar."""
+    return decontam.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_line_rules": op2_line_rules,
@@ -101,6 +106,7 @@ QUERIES = {
     "op7_super_kmers": op7_super_kmers,
     "op8_simhash": op8_simhash,
     "op9_block_rules": op9_block_rules,
+    "op10_hamming_windows": op10_hamming_windows,
 }
 #: None of these methods has a SQL form; tests hold them against brute force.
 ORACLES: dict[str, str] = {}
