@@ -1,4 +1,9 @@
-"""What the two span-removing operators share: tagged rows, packed records, joined results."""
+"""What the two span-removing operators share: routing of packed records, and spans brought to texts.
+
+Records travel as compressed blocks of many rows.  Texts travel once, packed as well, to the task
+that also gets the spans found in them.  Bucket numbers are chosen so that Spark's hash
+partitioning deals them out evenly.
+"""
 
 from __future__ import annotations
 
@@ -11,28 +16,47 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.buffers import binary_array, mixed
+from sievework.llm.buffers import chunks, mixed, ragged
 
 #: Rows between tasks: a packed block of records for a bucket, or finished spans on their way to ``dest``.
 ROUTED = "bucket int, dest int, block binary"
 FOUND = "dest int, block binary"
-SPANS = ["key", "tag", "low", "high"]
+#: Spans of documents: each document once, its number of spans, then all spans.
+SPANS = ["key", "tag", "counts", "low", "size"]
+TEXTS = ["key", "tag", "nulls", "sizes", "text"]
 #: Buckets for each shuffle partition.
-BUCKETS_EACH = 4
-#: Finished spans a task holds before it sends them on; no effect on results.
+BUCKETS_EACH = 2
+#: Finished spans a task holds, and bytes of text it packs or works on at once; no effect on results.
 HELD_SPANS = 200_000
+PACKED_BYTES = 4 << 20
+WORKED_BYTES = 3 << 20
+LEVEL = 2
+
+Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def tagged(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key``, ``tag`` (hash of the text) and ``text``; rows of one key and text are one document."""
-    return df.select(F.col(key).cast("long").alias("key"), F.xxhash64(F.col(text).cast("string")).alias("tag"), F.col(text).cast("string").alias("text"))
+    """``key``, ``tag`` (hash of the text) and ``text``; rows of one key and tag are one document."""
+    whole = F.col(text).cast("string")
+    return df.select(F.col(key).cast("long").alias("key"), F.hash(whole).alias("tag"), whole.alias("text"))
+
+
+def even_buckets(df: DataFrame, each: int) -> np.ndarray:
+    """Bucket numbers, ``each`` for every shuffle partition, that hash partitioning sends there."""
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = F.pmod(F.hash(F.col("id").cast("int")), F.lit(partitions))
+    tried = spark.range(partitions * (16 + 4 * each)).select(F.col("id").cast("int").alias("id"), place.alias("place")).toPandas()
+    tried["rank"] = tried.groupby("place").cumcount()
+    chosen = tried[tried["rank"] < each].sort_values(["rank", "place"])["id"].to_numpy(np.int32)
+    return chosen if len(chosen) == partitions * each else np.arange(partitions * each, dtype=np.int32)
 
 
 def pack(columns: dict[str, np.ndarray]) -> bytes:
     """Arrays of any kinds and lengths as one compressed block."""
     head = np.array([[ord(a.dtype.kind), a.dtype.itemsize, len(a)] for a in columns.values()], np.int64)
     body = head.tobytes() + b"".join(np.ascontiguousarray(a).tobytes() for a in columns.values())
-    return zstandard.ZstdCompressor(level=1).compress(body)
+    return zstandard.ZstdCompressor(level=LEVEL).compress(body)
 
 
 def unpack(block: bytes, names: list[str]) -> dict[str, np.ndarray]:
@@ -45,6 +69,12 @@ def unpack(block: bytes, names: list[str]) -> dict[str, np.ndarray]:
     return out
 
 
+def small(values: np.ndarray) -> np.ndarray:
+    """The same numbers in the narrowest unsigned kind."""
+    top = int(values.max()) if len(values) else 0
+    return values.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32)
+
+
 def runs_of(*columns: np.ndarray) -> np.ndarray:
     """True where a sorted table starts a new combination of values."""
     fresh = np.ones(len(columns[0]), bool)
@@ -53,41 +83,72 @@ def runs_of(*columns: np.ndarray) -> np.ndarray:
     return fresh
 
 
-def blocks_of_spans(spans: list[tuple[np.ndarray, ...]], dests: int) -> tuple[list[int], list[bytes]]:
-    """Spans as one block for each destination."""
-    key, tag, low, high = (np.concatenate(x) for x in zip(*spans))
-    dest = (mixed(key.astype(np.int64).view(np.uint64)) % np.uint64(dests)).astype(np.int64)
-    order = np.lexsort((low, tag, key, dest))
-    cuts = np.append(np.flatnonzero(runs_of(dest[order])), len(order))
-    cut = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-    return dest[order[cuts[:-1]]].tolist(), [pack({"key": key[r], "tag": tag[r], "low": low[r].astype(np.int32), "high": high[r].astype(np.int32)}) for r in cut]
-
-
-def settled_batch(spans: list[tuple[np.ndarray, ...]], dests: int) -> pa.RecordBatch:
-    """Spans that need no bucket, in the form of routed rows."""
-    dest, blocks = blocks_of_spans(spans, dests)
-    dest = pa.array(dest, pa.int32())
-    return pa.RecordBatch.from_arrays([dest, dest, pa.array(blocks, pa.binary())], names=["bucket", "dest", "block"])
+def cuts_of(sorted_: np.ndarray) -> Iterator[slice]:
+    """Runs of equal values."""
+    edges = np.append(np.flatnonzero(runs_of(sorted_)), len(sorted_)).tolist()
+    return (slice(a, b) for a, b in zip(edges[:-1], edges[1:]))
 
 
-def routed_batch(buckets: np.ndarray, blocks: list[bytes]) -> pa.RecordBatch:
-    """Blocks of records for buckets."""
-    return pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int32)), pa.nulls(len(blocks), pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "dest", "block"])
+def pieces(group: np.ndarray, weight: np.ndarray, limit: int) -> Iterator[slice]:
+    """Runs of whole groups (sorted) of about ``limit`` in weight."""
+    low, size = 0, 0
+    edges = np.append(np.flatnonzero(runs_of(group)), len(group))
+    sums = np.concatenate(([0], np.cumsum(weight)))[edges]
+    while low < len(edges) - 1:
+        high = max(int(np.searchsorted(sums, sums[low] + limit, "right")) - 1, low + 1)
+        yield slice(int(edges[low]), int(edges[high]))
+        low = high
 
 
 def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Whether the ranges at ``a`` and ``b`` hold the same bytes."""
     same = np.ones(len(a), bool)
-    for low in range(0, len(a), 1 << 16):
-        n = lengths[low : low + (1 << 16)]
+    for low in range(0, len(a), 1 << 14):
+        n = lengths[low : low + (1 << 14)]
         at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         differ = data[at + np.repeat(a[low : low + len(n)], n)] != data[at + np.repeat(b[low : low + len(n)], n)]
         same[low + np.repeat(np.arange(len(n)), n)[differ]] = False
     return same
 
 
-def by_bucket(routed: DataFrame, work: Callable[[list[bytes]], Iterator[tuple[np.ndarray, ...]]], dests: int) -> DataFrame:
-    """One row for each document with its spans: those settled before and those ``work`` finds in a bucket.
+def dest_of(key: np.ndarray, dests: int) -> np.ndarray:
+    return (mixed(key.astype(np.int64).view(np.uint64)) % np.uint64(dests)).astype(np.int64)
+
+
+def blocks_of_spans(spans: list[Found], dests: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Spans (key, tag, low, high) as one block for each destination."""
+    key, tag, low, high = (np.concatenate(x) for x in zip(*spans))
+    dest = dest_of(key, len(dests))
+    order = np.lexsort((low, tag, key, dest))
+    key, tag, low, size, dest = key[order], tag[order], low[order], (high - low)[order], dest[order]
+    goes, blocks = [], []
+    for r in cuts_of(dest):
+        first = np.flatnonzero(runs_of(key[r], tag[r]))
+        counts = np.diff(np.append(first, r.stop - r.start))
+        blocks.append(pack({"key": key[r][first], "tag": tag[r][first], "counts": small(counts), "low": small(low[r]), "size": small(size[r])}))
+        goes.append(dest[r.start])
+    return dests[goes], blocks
+
+
+def settled_batch(spans: list[Found], dests: np.ndarray) -> pa.RecordBatch:
+    """Spans that need no bucket, in the form of routed rows."""
+    goes, blocks = blocks_of_spans(spans, dests)
+    return pa.RecordBatch.from_arrays([pa.array(goes), pa.array(goes), pa.array(blocks, pa.binary())], names=["bucket", "dest", "block"])
+
+
+def routed_batch(buckets: np.ndarray, blocks: list[bytes]) -> pa.RecordBatch:
+    """Blocks of records for buckets."""
+    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.nulls(len(blocks), pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "dest", "block"])
+
+
+def owners(r: np.ndarray, owner: np.ndarray, key: np.ndarray, tag: np.ndarray) -> dict[str, np.ndarray]:
+    """Documents of records ``r``, each once, and the place of each record's document among them."""
+    some, local = np.unique(owner[r], return_inverse=True)
+    return {"key": key[some], "tag": tag[some], "doc": small(local)}
+
+
+def by_bucket(routed: DataFrame, work: Callable[[list[bytes]], Iterator[Found]], dests: np.ndarray) -> DataFrame:
+    """Blocks of spans: those settled before, and those ``work`` finds in the blocks of a bucket.
 
     Buckets stream through a task one after the other, so its memory is that of one bucket.
     """
@@ -96,11 +157,11 @@ def by_bucket(routed: DataFrame, work: Callable[[list[bytes]], Iterator[tuple[np
         held, bucket, spans, size = [], None, [], 0
 
         def sent() -> pa.RecordBatch:
-            dest, blocks = blocks_of_spans(spans, dests)
-            return pa.RecordBatch.from_arrays([pa.array(dest, pa.int32()), pa.array(blocks, pa.binary())], names=["dest", "block"])
+            goes, blocks = blocks_of_spans(spans, dests)
+            return pa.RecordBatch.from_arrays([pa.array(goes), pa.array(blocks, pa.binary())], names=["dest", "block"])
 
-        for batch in _with_end(batches):
-            rows = []
+        for batch in with_end(batches):
+            rows = [(None, None)]
             if batch is not None:
                 open_ = batch.column(1).is_null()
                 done = batch.filter(pc.invert(open_))
@@ -108,67 +169,87 @@ def by_bucket(routed: DataFrame, work: Callable[[list[bytes]], Iterator[tuple[np
                     yield pa.RecordBatch.from_arrays(done.columns[1:], names=["dest", "block"])
                 todo = batch.filter(open_)
                 rows = zip(todo.column(0).to_pylist(), todo.column(2))
-            for b, block in [*rows, *([(None, None)] if batch is None else [])]:
+            for b, block in rows:
                 if b != bucket and held:
                     for found in work(held):
                         spans.append(found)
                         size += len(found[0])
+                        if size > HELD_SPANS:
+                            yield sent()
+                            spans, size = [], 0
                     held = []
-                    if size > HELD_SPANS:
-                        yield sent()
-                        spans, size = [], 0
                 bucket = b
                 if block is not None:
                     held.append(block.as_py())
         if size:
             yield sent()
 
-    def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, dest = [], None
-        for batch in _with_end(batches):
-            rows = [(None, None)] if batch is None else zip(batch.column(0).to_pylist(), batch.column(1))
-            for d, block in rows:
-                if d != dest and held:
-                    yield _rows_of_spans(held)
-                    held = []
-                dest = d
-                if block is not None:
-                    held.append(unpack(block.as_py(), SPANS))
+    return routed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
 
-    found = routed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
-    return found.repartition("dest").sortWithinPartitions("dest").mapInArrow(gathered, "key long, tag long, spans binary")
 
-
-def _rows_of_spans(blocks: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
-    """One row for each document with all of its spans as pairs of 32-bit numbers."""
-    key, tag, low, high = (np.concatenate([b[f] for b in blocks]) for f in SPANS)
-    order = np.lexsort((low, tag, key))
-    key, tag = key[order], tag[order]
-    first = np.flatnonzero(runs_of(key, tag))
-    counts = np.diff(np.append(first, len(key)))
-    pairs = np.stack((low[order], high[order]), axis=1).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(tag[first]), binary_array(pairs.reshape(-1).view(np.uint8), counts * 8)], names=["key", "tag", "spans"])
-
-
-def _with_end(batches: Iterable) -> Iterator:
+def with_end(batches: Iterable) -> Iterator:
     yield from batches
     yield None
 
 
-def with_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Tagged rows with ``spans``, those found for them (null: none)."""
-    return rows.join(found, ["key", "tag"], "left")
-
-
-def spans_of(column: pa.Array) -> list[np.ndarray | None]:
-    """Pairs of every row of a ``spans`` column."""
-    return [np.frombuffer(x, np.int32).reshape(-1, 2) if x else None for x in column.to_pylist()]
-
+def with_spans(rows: DataFrame, found: DataFrame, dests: np.ndarray, use: Callable[..., Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``use`` on chunks of tagged rows with the spans found in them.
 
-def bucket_count(df: DataFrame) -> int:
-    """Several buckets for each shuffle partition, so that partitions come out even."""
-    return BUCKETS_EACH * destinations(df)
+    ``use`` gets keys (an Arrow column), tags, bytes, offsets and, for each row, its spans as pairs (or None).
+    Spans come before the texts of their destination; texts stream.
+    """
 
+    def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).fill_null(0).to_numpy()
+            nulls, tags = batch.column(0).is_null().to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
+            for low, high, data, offsets in chunks(batch.column(2), PACKED_BYTES):
+                key, tag, sizes = keys[low:high], tags[low:high], np.diff(offsets)
+                # Rows without a key have no spans; their texts spread them.
+                dest = dest_of(np.where(nulls[low:high], tag, key), len(dests))
+                order = np.argsort(dest, kind="stable")
+                goes, blocks = [], []
+                for r in cuts_of(dest[order]):
+                    i = order[r]
+                    text = ragged(data, offsets[i], sizes[i])
+                    blocks.append(pack({"key": key[i], "tag": tag[i], "nulls": nulls[low:high][i], "sizes": small(sizes[i]), "text": text}))
+                    goes.append(dest[i[0]])
+                yield pa.RecordBatch.from_arrays([pa.array(dests[goes]), pa.array(np.ones(len(goes), np.int32)), pa.array(blocks, pa.binary())], names=["dest", "kind", "block"])
 
-def destinations(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dest, held, spans = None, [], {}
+        for batch in batches:
+            for d, kind, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if d != dest:
+                    dest, held, spans = d, [], None
+                if kind == 0:
+                    held.append(unpack(block.as_py(), SPANS))
+                    continue
+                if spans is None:
+                    spans = _by_document(held)
+                    held = []
+                t = unpack(block.as_py(), TEXTS)
+                key = pa.array(t["key"], mask=t["nulls"])
+                mine = [None if null else spans.get(k) for k, null in zip(zip(t["key"].tolist(), t["tag"].tolist()), t["nulls"].tolist())]
+                offsets = np.concatenate(([0], np.cumsum(t["sizes"], dtype=np.int64)))
+                low, n = 0, len(mine)
+                while low < n:
+                    high = min(max(int(np.searchsorted(offsets, offsets[low] + WORKED_BYTES, "right")) - 1, low + 1), n)
+                    yield from use(key.slice(low, high - low), t["tag"][low:high], t["text"][offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], mine[low:high])
+                    low = high
+
+    texts = rows.mapInArrow(packed, "dest int, kind int, block binary")
+    both = found.select("dest", F.lit(0).alias("kind"), "block").unionByName(texts)
+    return both.repartition("dest").sortWithinPartitions("dest", "kind").mapInArrow(run, schema)
+
+
+def _by_document(blocks: list[dict[str, np.ndarray]]) -> dict[tuple[int, int], np.ndarray]:
+    """Spans of each document as sorted pairs."""
+    if not blocks:
+        return {}
+    key, tag = (np.concatenate([np.repeat(b[f], b["counts"]) for b in blocks]) for f in ("key", "tag"))
+    low, size = (np.concatenate([b[f] for b in blocks]).astype(np.int64) for f in ("low", "size"))
+    order = np.lexsort((low, tag, key))
+    key, tag, pairs = key[order], tag[order], np.stack((low, low + size), axis=1)[order]
+    edges = np.append(np.flatnonzero(runs_of(key, tag)), len(key)).tolist()
+    return {(int(key[a]), int(tag[a])): pairs[a:b] for a, b in zip(edges[:-1], edges[1:])}

@@ -6,8 +6,8 @@ one place in eighteen) are enough to find every repeated string.  A suffix recor
 around its anchor that the strings with this anchor reach: to the right the suffix itself, to
 the left what precedes it.
 
-1. Anchors whose hash occurs in one document only are left out: 32-bit hashes travel, places
-   of shared ones come back.  False hits only cost time.
+1. Anchors whose hash occurs in one document only are left out: hashes of 24 bits and the bucket
+   travel, numbers of shared ones come back.  False hits only cost time.
 2. Splitters sampled from the leading tokens (8 bytes) of suffixes cut their order into ranges;
    records travel to the range that they fall in.
 3. A bucket sorts its suffixes by multikey quicksort, a token of 8 bytes at a time, where only
@@ -31,33 +31,38 @@ from pyspark.sql import DataFrame
 
 from sievework.llm.buffers import PrefixHash, binary_array, chunks, covered, ragged
 from sievework.llm.spans import (
+    BUCKETS_EACH,
     ROUTED,
-    bucket_count,
+    Found,
     by_bucket,
-    destinations,
+    cuts_of,
+    even_buckets,
+    owners,
     pack,
+    pieces,
     routed_batch,
     runs_of,
-    same_bytes,
     settled_batch,
-    spans_of,
+    small,
     tagged,
     unpack,
     with_spans,
 )
-from sievework.llm.superkmer import minimiser_runs
+from sievework.llm.superkmer import first_holders, minimiser_runs
 
 #: Documents, and suffixes of each, whose leading tokens are sampled for the splitters; they only
 #: steer how even the ranges are.
 SAMPLE_DOCUMENTS = 2_000
 SAMPLE_SUFFIXES = 32
 TOKEN = 8
-#: Records expanded at once; no effect on results.
+#: Records sorted, and expanded into strings, at once; no effect on results.
+SORTED = 40_000
 EXPANDED = 10_000
+#: Bits of an anchor hash that travel, beside those that choose the bucket.
+HASH_BITS = 24
 
-HASH_FIELDS = ["key", "tag", "doc", "low", "hash"]
+HASH_FIELDS = ["key", "tag", "doc", "nobody", "low", "high_bits", "low_bits"]
 TEXT_FIELDS = ["key", "tag", "doc", "low", "anchor", "sizes", "text"]
-NOBODY = 2**32 - 1
 
 
 class Anchors:
@@ -142,7 +147,7 @@ def best_with_any(columns: np.ndarray, group: np.ndarray) -> np.ndarray:
     return best
 
 
-def route_hashes(buckets: int, dests: int, window: int, kmer: int):
+def route_hashes(buckets: np.ndarray, dests: np.ndarray, window: int, kmer: int):
     """Task that sends anchor hashes; an anchor that several documents of a chunk share is settled."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,37 +168,33 @@ def route_hashes(buckets: int, dests: int, window: int, kmer: int):
                 sent = np.sort(np.concatenate((order[~several], order[several & fresh])))
                 nobody = np.zeros(len(a.first), bool)
                 nobody[order[several]] = True
-                target = ((a.hash >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+                target = ((a.hash >> np.uint64(32)) % np.uint64(len(buckets))).astype(np.int64)
                 sent = sent[np.argsort(target[sent], kind="stable")]
-                cuts = np.append(np.flatnonzero(runs_of(target[sent])), len(sent))
-                blocks = []
-                for x, y in zip(cuts[:-1], cuts[1:]):
-                    r = sent[x:y]
-                    some, local = np.unique(a.doc[r], return_inverse=True)
-                    blocks.append(
-                        pack(
-                            {
-                                "key": key[some],
-                                "tag": tag[some],
-                                "doc": np.where(nobody[r], NOBODY, local).astype(np.uint32),
-                                "low": a.number[r].astype(np.uint32),
-                                "hash": a.hash[r].astype(np.uint32),
-                            }
-                        )
-                    )
-                yield routed_batch(target[sent[cuts[:-1]]], blocks)
+                goes, blocks = [], []
+                for cut in cuts_of(target[sent]):
+                    r = sent[cut]
+                    bits = a.hash[r] & np.uint64(2**HASH_BITS - 1)
+                    records = {
+                        "nobody": np.packbits(nobody[r]),
+                        "low": small(a.number[r]),
+                        "high_bits": (bits >> np.uint64(8)).astype(np.uint16),
+                        "low_bits": bits.astype(np.uint8),
+                    }
+                    blocks.append(pack(owners(r, a.doc, key, tag) | records))
+                    goes.append(target[r[0]])
+                yield routed_batch(buckets[goes], blocks)
 
     return run
 
 
-def shared_hashes(blocks: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+def shared_hashes(blocks: list[bytes]) -> Iterator[Found]:
     """Owned records whose hash another document has too."""
     parts = [unpack(b, HASH_FIELDS) for b in blocks]
-    owned = [p["doc"] != NOBODY for p in parts]
-    key = np.concatenate([p["key"][np.where(o, p["doc"], 0)] for p, o in zip(parts, owned)])
-    tag = np.concatenate([p["tag"][np.where(o, p["doc"], 0)] for p, o in zip(parts, owned)])
-    low, hashes = (np.concatenate([p[f] for p in parts]).astype(np.int64) for f in ("low", "hash"))
-    owned = np.concatenate(owned)
+    key = np.concatenate([p["key"][p["doc"]] for p in parts])
+    tag = np.concatenate([p["tag"][p["doc"]] for p in parts])
+    low = np.concatenate([p["low"] for p in parts]).astype(np.int64)
+    hashes = np.concatenate([p["high_bits"].astype(np.int32) << 8 | p["low_bits"] for p in parts])
+    owned = ~np.concatenate([np.unpackbits(p["nobody"], count=len(p["low"])) for p in parts]).astype(bool)
     order = np.lexsort((key, hashes))
     group = np.cumsum(runs_of(hashes[order])) - 1
     holders = np.bincount(group, runs_of(hashes[order], key[order]) + 2.0 * ~owned[order])[group]
@@ -202,98 +203,81 @@ def shared_hashes(blocks: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         yield key[hit], tag[hit], low[hit], low[hit] + 1
 
 
-def route_suffixes(splitters: np.ndarray, dests: int, window: int, kmer: int):
-    """Task that sends the records of shared anchors to the ranges of their leading tokens."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, tags, shared = batch.column(0).to_numpy(), batch.column(1).to_numpy(), spans_of(batch.column(3))
-            for low, high, data, offsets in chunks(batch.column(2)):
-                key, tag, a = keys[low:high], tags[low:high], Anchors(data, offsets, window, kmer)
-                begin = np.searchsorted(a.doc, np.arange(high - low))
-                use = np.concatenate([begin[i] + s[:, 0] for i, s in enumerate(shared[low:high]) if s is not None] or [np.zeros(0, np.int64)])
-                use = np.unique(use)
-                if not len(use):
-                    continue
-                first, end, ids = a.first[use], a.end[use], key[a.doc[use]]
-                order = np.lexsort((ids, a.prefix.ranges(first, end)))
-                fresh = runs_of(a.prefix.ranges(first, end)[order])
-                leader = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
-                copy = (ids[order] > ids[leader]) & ((end - first)[order] == (end - first)[leader])
-                copy[copy] &= same_bytes(data, first[order[copy]], first[leader[copy]], (end - first)[order[copy]])
-                gone = order[copy]
-                if len(gone):
-                    inside = a.inside[use[gone]]
-                    yield settled_batch([(ids[gone], tag[a.doc[use[gone]]], inside, inside + (end - first)[gone])], dests)
-                use = use[np.sort(order[~copy])]
-                target = np.searchsorted(splitters, tokens(data, a.at[use], np.full(len(use), kmer), 1)[0], "right")
-                order = np.argsort(target, kind="stable")
-                use, target = use[order], target[order]
-                cuts = np.append(np.flatnonzero(runs_of(target)), len(use))
-                blocks = []
-                for x, y in zip(cuts[:-1], cuts[1:]):
-                    r = use[x:y]
-                    some, local = np.unique(a.doc[r], return_inverse=True)
-                    blocks.append(
-                        pack(
-                            {
-                                "key": key[some],
-                                "tag": tag[some],
-                                "doc": local.astype(np.uint32),
-                                "low": a.inside[r].astype(np.uint32),
-                                "anchor": (a.at[r] - a.first[r]).astype(np.uint8 if window < 256 else np.uint32),
-                                "sizes": (a.end[r] - a.first[r]).astype(np.uint8 if window < 128 else np.uint32),
-                                "text": ragged(data, a.first[r], a.end[r] - a.first[r]),
-                            }
-                        )
-                    )
-                yield routed_batch(target[cuts[:-1]], blocks)
-
-    return run
+def route_suffixes(buckets: np.ndarray, splitters: np.ndarray, dests: np.ndarray, window: int, kmer: int):
+    """Use of texts with shared anchors: their records go to the ranges of their leading tokens."""
+
+    def use(keys: pa.Array, tag: np.ndarray, data: np.ndarray, offsets: np.ndarray, shared: list[np.ndarray | None]) -> Iterator[pa.RecordBatch]:
+        key, a = keys.to_numpy(), Anchors(data, offsets, window, kmer)
+        begin = np.searchsorted(a.doc, np.arange(len(key)))
+        chosen = np.unique(np.concatenate([begin[i] + s[:, 0] for i, s in enumerate(shared) if s is not None] or [np.zeros(0, np.int64)]))
+        if not len(chosen):
+            return
+        first, size, doc = a.first[chosen], (a.end - a.first)[chosen], a.doc[chosen]
+        inside, ids = a.inside[chosen], key[doc]
+        content = a.prefix.ranges(first, first + size)
+        order = np.lexsort((ids, content))
+        copy = first_holders(order, runs_of(content[order]), ids, first, size, data)
+        gone = order[copy]
+        if len(gone):
+            yield settled_batch([(ids[gone], tag[doc[gone]], inside[gone], inside[gone] + size[gone])], dests)
+        anchor = a.at[chosen] - first
+        target = np.searchsorted(splitters, tokens(data, a.at[chosen], np.full(len(chosen), kmer), 1)[0], "right")
+        sent = np.sort(order[~copy])
+        sent = sent[np.argsort(target[sent], kind="stable")]
+        goes, blocks = [], []
+        for cut in cuts_of(target[sent]):
+            r = sent[cut]
+            records = {"low": small(inside[r]), "anchor": small(anchor[r]), "sizes": small(size[r]), "text": ragged(data, first[r], size[r])}
+            blocks.append(pack(owners(r, doc, key, tag) | records))
+            goes.append(target[r[0]])
+        yield routed_batch(buckets[goes], blocks)
+
+    return use
 
 
 def sort_suffixes(window: int, kmer: int):
     """Work of a range: suffix order, common prefixes, and the smallest document of equal strings."""
     right, left = -(-window // TOKEN), max(-(-(window - kmer) // TOKEN), 1)
 
-    def work(blocks: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    def work(blocks: list[bytes]) -> Iterator[Found]:
         parts = [unpack(b, TEXT_FIELDS) for b in blocks]
         key = np.concatenate([p["key"][p["doc"]] for p in parts])
         tag = np.concatenate([p["tag"][p["doc"]] for p in parts])
         low, anchor, sizes = (np.concatenate([p[f] for p in parts]).astype(np.int64) for f in TEXT_FIELDS[3:6])
         text = np.concatenate([p["text"] for p in parts])
+        del parts
+        at = np.cumsum(sizes) - sizes
+        lead = tokens(text, at + anchor, sizes - anchor, 1)[0]
+        order = np.argsort(lead, kind="stable")
+        # The first token parts the suffixes; the rest of the sort runs inside of its values.
+        for piece in pieces(lead[order], np.ones(len(order), np.int64), SORTED):
+            r = order[piece]
+            yield from sort_piece(key[r], tag[r], low[r], anchor[r], sizes[r], ragged(text, at[r], sizes[r]))
+
+    def sort_piece(key, tag, low, anchor, sizes, text) -> Iterator[Found]:
         at = np.cumsum(sizes) - sizes
         suffix = tokens(text, at + anchor, sizes - anchor, right)
         # What precedes the anchor, nearest byte first.
         before = tokens(text[::-1], len(text) - at - anchor, anchor, left)
         order, fresh = multikey_order(np.vstack((suffix, before, (sizes << 32 | anchor)[None].astype(np.uint64))))
-        start = np.flatnonzero(fresh)
-        run = np.cumsum(fresh) - 1
-        smallest = np.minimum.reduceat(key[order], start)[run]
-        copy = key[order] > smallest
+        start, run = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        copy = key[order] > np.minimum.reduceat(key[order], start)[run]
         gone = order[copy]
         if len(gone):
             yield key[gone], tag[gone], low[gone], low[gone] + sizes[gone]
         # Different records of one anchor may still share strings.
-        head = tuple(suffix[i] for i in range(kmer // TOKEN))
-        lead = order[start]
-        group = np.cumsum(runs_of(*(h[lead] for h in head))) - 1
+        head, lead = suffix[: kmer // TOKEN], order[start]
+        group = np.cumsum(runs_of(*head[:, lead])) - 1
         reach = best_with_any(suffix[:, lead], group) + best_with_any(before[:, lead], group)
         rest = order[~copy & ((np.bincount(group)[group] > 1) & (reach >= window))[run]]
-        family = np.cumsum(runs_of(*(h[rest] for h in head))) - 1
-        cuts = [0]
-        ends = np.append(np.flatnonzero(np.diff(family)) + 1, len(rest)) if len(rest) else np.zeros(0, np.int64)
-        for e in ends.tolist():
-            if e - cuts[-1] >= EXPANDED or e == len(rest):
-                cuts.append(e)
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            r = rest[a:b]
+        family = np.cumsum(runs_of(*head[:, rest]))
+        for piece in pieces(family, np.ones(len(rest), np.int64), EXPANDED):
+            r = rest[piece]
             count = sizes[r] - window + 1
             shift = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
             mine = np.repeat(r, count)
             order, fresh = multikey_order(tokens(text, at[mine] + shift, np.full(len(mine), window), right))
-            start = np.flatnonzero(fresh)
-            smallest = np.minimum.reduceat(key[mine[order]], start)[np.cumsum(fresh) - 1]
+            smallest = np.minimum.reduceat(key[mine[order]], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
             hit = order[key[mine[order]] > smallest]
             if len(hit):
                 yield key[mine[hit]], tag[mine[hit]], low[mine[hit]] + shift[hit], low[mine[hit]] + shift[hit] + window
@@ -320,36 +304,21 @@ def sampled_splitters(rows: DataFrame, ranges: int, window: int, kmer: int) -> n
     return np.unique(lead[np.arange(1, ranges) * len(lead) // ranges]) if len(lead) else lead
 
 
-def _kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        spans = spans_of(batch.column(2))
-        for low, high, data, offsets in chunks(batch.column(1)):
-            keep, removed, runs = np.ones(len(data), bool), np.zeros(high - low, np.int64), np.zeros(high - low, np.int64)
-            for i, pairs in enumerate(spans[low:high]):
-                if pairs is not None:
-                    gone = covered(pairs[:, 0], pairs[:, 1], int(offsets[i + 1] - offsets[i]))
-                    keep[offsets[i] : offsets[i + 1]] = ~gone
-                    removed[i] = gone.sum()
-                    runs[i] = np.count_nonzero(gone[1:] & ~gone[:-1]) + int(gone[:1].any())
-            sizes = np.diff(offsets)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(low, high - low), pa.array(sizes), pa.array(removed), pa.array(runs), binary_array(data[keep], sizes - removed)],
-                names=["key", "n_bytes", "n_removed", "n_spans", "kept"],
-            )
-
-
-def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = 50, kmer: int = 16) -> tuple[DataFrame, DataFrame]:
-    """Tagged rows, and the byte spans of each document that repeat one with a smaller key."""
-    if kmer % TOKEN or not TOKEN <= kmer <= window:
-        raise ValueError("kmer must be a multiple of 8, at most the window")
-    rows, dests, buckets = tagged(df, key, text), destinations(df), bucket_count(df)
-    keyed = rows.filter("key IS NOT NULL")
-    hashes = keyed.mapInArrow(route_hashes(buckets, dests, window, kmer), ROUTED)
-    shared = by_bucket(hashes, shared_hashes, dests)
-    splitters = sampled_splitters(keyed, buckets, window, kmer)
-    chosen = with_spans(keyed, shared).select("key", "tag", "text", "spans")
-    suffixes = chosen.mapInArrow(route_suffixes(splitters, dests, window, kmer), ROUTED)
-    return rows, by_bucket(suffixes, sort_suffixes(window, kmer), dests)
+def kept_bytes(key: pa.Array, tag: np.ndarray, data: np.ndarray, offsets: np.ndarray, spans: list[np.ndarray | None]) -> Iterator[pa.RecordBatch]:
+    """Rows with the bytes outside of their spans."""
+    sizes = np.diff(offsets)
+    keep, removed, runs = np.ones(len(data), bool), np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+    for i, pairs in enumerate(spans):
+        if pairs is not None:
+            gone = covered(pairs[:, 0], pairs[:, 1], int(sizes[i]))
+            keep[offsets[i] : offsets[i + 1]] = ~gone
+            removed[i] = gone.sum()
+            runs[i] = np.count_nonzero(gone[1:] & ~gone[:-1]) + int(gone[:1].any())
+    columns = [key, pa.array(sizes), pa.array(removed), pa.array(runs), binary_array(data[keep], sizes - removed)]
+    yield pa.RecordBatch.from_arrays(columns, names=["key", "n_bytes", "n_removed", "n_spans", "kept"])
+
+
+KEPT = "key long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = 50, kmer: int = 16) -> DataFrame:
@@ -359,6 +328,13 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
     Null, empty and short texts lose nothing.  Rows of one key and text are one document and get the
     same result each; rows with a null key lose nothing and make others lose nothing.
     """
-    rows, found = repeated_spans(df, key, text, window, kmer)
-    joined = with_spans(rows, found).select("key", "text", "spans")
-    return joined.mapInArrow(_kept, "key long, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("key", key)
+    if kmer % TOKEN or not TOKEN <= kmer <= window:
+        raise ValueError("kmer must be a multiple of 8, at most the window")
+    rows, dests, buckets = tagged(df, key, text), even_buckets(df, 1), even_buckets(df, BUCKETS_EACH)
+    keyed = rows.filter("key IS NOT NULL")
+    hashes = keyed.mapInArrow(route_hashes(buckets, dests, window, kmer), ROUTED)
+    shared = by_bucket(hashes, shared_hashes, dests)
+    splitters = sampled_splitters(keyed, len(buckets), window, kmer)
+    suffixes = with_spans(keyed, shared, dests, route_suffixes(buckets, splitters, dests, window, kmer), ROUTED)
+    found = by_bucket(suffixes, sort_suffixes(window, kmer), dests)
+    return with_spans(rows, found, dests, kept_bytes, KEPT).withColumnRenamed("key", key)

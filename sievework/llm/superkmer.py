@@ -21,16 +21,21 @@ from pyspark.sql import functions as F
 
 from sievework.llm.buffers import PrefixHash, binary_array, chunks, covered, mixed, ragged, word_spans
 from sievework.llm.spans import (
+    BUCKETS_EACH,
     ROUTED,
-    bucket_count,
+    WORKED_BYTES,
+    Found,
     by_bucket,
-    destinations,
+    cuts_of,
+    even_buckets,
+    owners,
     pack,
+    pieces,
     routed_batch,
     runs_of,
     same_bytes,
     settled_batch,
-    spans_of,
+    small,
     tagged,
     unpack,
     with_spans,
@@ -65,7 +70,7 @@ def minimiser_runs(kmer_hash: np.ndarray, windows: np.ndarray, width: int) -> tu
     return starts[first], starts[np.append(first[1:], len(starts)) - 1] + 1 if len(first) else starts, at[first]
 
 
-def route(buckets: int, dests: int, window: int, kmer: int):
+def route(buckets: np.ndarray, dests: np.ndarray, window: int, kmer: int):
     """Task that turns documents into packed super-k-mers and settles copies inside a chunk."""
 
     def work(key: np.ndarray, tag: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -92,39 +97,28 @@ def route(buckets: int, dests: int, window: int, kmer: int):
         owner, inside = doc[first], first - (np.cumsum(counts) - counts)[doc[first]]
         content, ids = prefix.ranges(low, high), key[owner]
         order = np.lexsort((ids, content))
-        fresh = runs_of(content[order])
-        leader = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
-        copy = ids[order] > ids[leader]
-        copy[copy] &= (high - low)[order[copy]] == (high - low)[leader[copy]]
-        copy[copy] &= same_bytes(text, low[order[copy]], low[leader[copy]], (high - low)[order[copy]])
+        copy = first_holders(order, runs_of(content[order]), ids, low, high - low, text)
         gone = order[copy]
         if len(gone):
             yield settled_batch([(ids[gone], tag[owner[gone]], inside[gone], inside[gone] + words[gone])], dests)
         stay = np.ones(len(first), bool)
         stay[gone] = False
-        target = (several[at] >> np.uint64(32)) % np.uint64(buckets)
+        target = ((several[at] >> np.uint64(32)) % np.uint64(len(buckets))).astype(np.int64)
         sent = np.flatnonzero(stay)
         sent = sent[np.argsort(target[sent], kind="stable")]
-        cuts = np.append(np.flatnonzero(runs_of(target[sent])), len(sent))
-        blocks = []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            r = sent[a:b]
-            some, local = np.unique(owner[r], return_inverse=True)
-            blocks.append(
-                pack(
-                    {
-                        "key": key[some],
-                        "tag": tag[some],
-                        "doc": local.astype(np.uint32),
-                        "low": inside[r].astype(np.uint32),
-                        "words": words[r].astype(np.uint8 if words.max() < 256 else np.uint32),
-                        "minimiser": several[at[r]].astype(np.uint32),
-                        "sizes": (high - low)[r].astype(np.uint32),
-                        "text": ragged(text, low[r], (high - low)[r]),
-                    }
-                )
-            )
-        yield routed_batch(target[sent[cuts[:-1]]], blocks)
+        goes, blocks = [], []
+        for cut in cuts_of(target[sent]):
+            r = sent[cut]
+            records = {
+                "low": small(inside[r]),
+                "words": small(words[r]),
+                "minimiser": several[at[r]].astype(np.uint32),
+                "sizes": small((high - low)[r]),
+                "text": ragged(text, low[r], (high - low)[r]),
+            }
+            blocks.append(pack(owners(r, owner, key, tag) | records))
+            goes.append(target[r[0]])
+        yield routed_batch(buckets[goes], blocks)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,74 +129,80 @@ def route(buckets: int, dests: int, window: int, kmer: int):
     return run
 
 
+def first_holders(order: np.ndarray, fresh: np.ndarray, key: np.ndarray, at: np.ndarray, sizes: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Of sorted records, which equal an earlier one of a smaller key byte by byte."""
+    leader = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
+    copy = (key[order] > key[leader]) & (sizes[order] == sizes[leader])
+    copy[copy] &= same_bytes(text, at[order[copy]], at[leader[copy]], sizes[order[copy]])
+    return copy
+
+
 def settle(window: int):
     """Work of a bucket: sort, then read off the smallest document of every window."""
 
-    def work(blocks: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    def work(blocks: list[bytes]) -> Iterator[Found]:
         parts = [unpack(b, FIELDS) for b in blocks]
         key = np.concatenate([p["key"][p["doc"]] for p in parts])
         tag = np.concatenate([p["tag"][p["doc"]] for p in parts])
-        low, words, minimiser, sizes, text = (np.concatenate([p[f] for p in parts]) for f in FIELDS[3:])
-        low, words, sizes = low.astype(np.int64), words.astype(np.int64), sizes.astype(np.int64)
+        low, words, minimiser, sizes = (np.concatenate([p[f] for p in parts]).astype(np.int64) for f in FIELDS[3:7])
+        text = np.concatenate([p["text"] for p in parts])
+        del parts
         at = np.cumsum(sizes) - sizes
-        content = PrefixHash(text).ranges(at, at + sizes)
-        order = np.lexsort((key, content, minimiser))
-        fresh = runs_of(minimiser[order], content[order])
-        leader = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
-        copy = key[order] > key[leader]
-        copy[copy] &= sizes[order[copy]] == sizes[leader[copy]]
-        copy[copy] &= same_bytes(text, at[order[copy]], at[leader[copy]], sizes[order[copy]])
-        gone = order[copy]
-        if len(gone):
-            yield key[gone], tag[gone], low[gone], low[gone] + words[gone]
-        # Different super-k-mers of one minimiser may still share windows: sort those one by one.
-        group = np.cumsum(runs_of(minimiser[order])) - 1
-        several = np.bincount(group, fresh)[group] > 1
-        rest = order[several & ~copy]
-        if not len(rest):
-            return
-        some = ragged(text, at[rest], sizes[rest])
-        offsets = np.concatenate(([0], np.cumsum(sizes[rest])))
-        starts, ends, owner = word_spans(some, offsets)
-        first = np.flatnonzero(owner[: len(owner) - window + 1] == owner[window - 1 :])
-        begin, end, mine = starts[first], ends[first + window - 1], rest[owner[first]]
-        place = low[mine] + first - (np.searchsorted(owner, owner[first]))
-        content = PrefixHash(some).ranges(begin, end)
-        order = np.lexsort((key[mine], content))
-        fresh = runs_of(content[order])
-        leader = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
-        copy = key[mine[order]] > key[mine[leader]]
-        copy[copy] &= (end - begin)[order[copy]] == (end - begin)[leader[copy]]
-        copy[copy] &= same_bytes(some, begin[order[copy]], begin[leader[copy]], (end - begin)[order[copy]])
-        gone = order[copy]
-        if len(gone):
-            yield key[mine[gone]], tag[mine[gone]], place[gone], place[gone] + window
+        order = np.argsort(minimiser, kind="stable")
+        # Super-k-mers of one minimiser stay together; the bucket's text is looked at piece by piece.
+        for piece in pieces(minimiser[order], sizes[order], WORKED_BYTES):
+            r = order[piece]
+            yield from settle_piece(key[r], tag[r], low[r], words[r], minimiser[r], sizes[r], ragged(text, at[r], sizes[r]), window)
 
     return work
 
 
-def _kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        spans = spans_of(batch.column(2))
-        for low, high, data, offsets in chunks(batch.column(1)):
-            text, starts, ends, counts = joined_words(data, offsets)
-            begin = np.cumsum(counts) - counts
-            keep, removed = np.ones(len(starts), bool), np.zeros(len(counts), np.int64)
-            for i, pairs in enumerate(spans[low:high]):
-                if pairs is not None:
-                    gone = covered(pairs[:, 0], pairs[:, 1], int(counts[i]))
-                    keep[begin[i] : begin[i] + counts[i]] = ~gone
-                    removed[i] = gone.sum()
-            kept = np.flatnonzero(keep)
-            docs = np.repeat(np.arange(len(counts)), counts)[kept]
-            sizes = ends[kept] - starts[kept] + 1
-            # One space after every word but the last of a document.
-            sizes[np.append(docs[1:] != docs[:-1], True) if len(docs) else []] -= 1
-            out = binary_array(ragged(text, starts[kept], sizes), np.bincount(docs, sizes, len(counts)).astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(low, high - low), pa.array(counts.astype(np.int64)), pa.array(removed), out.cast(pa.string())],
-                names=["key", "n_words", "n_removed", "kept"],
-            )
+def settle_piece(key, tag, low, words, minimiser, sizes, text, window) -> Iterator[Found]:
+    at = np.cumsum(sizes) - sizes
+    content = PrefixHash(text).ranges(at, at + sizes)
+    order = np.lexsort((key, content, minimiser))
+    fresh = runs_of(minimiser[order], content[order])
+    copy = first_holders(order, fresh, key, at, sizes, text)
+    gone = order[copy]
+    if len(gone):
+        yield key[gone], tag[gone], low[gone], low[gone] + words[gone]
+    # Different super-k-mers of one minimiser may still share windows: sort those one by one.
+    group = np.cumsum(runs_of(minimiser[order])) - 1
+    several = np.bincount(group, fresh)[group] > 1
+    rest = order[several & ~copy]
+    if not len(rest):
+        return
+    some = ragged(text, at[rest], sizes[rest])
+    offsets = np.concatenate(([0], np.cumsum(sizes[rest])))
+    starts, ends, owner = word_spans(some, offsets)
+    first = np.flatnonzero(owner[: len(owner) - window + 1] == owner[window - 1 :])
+    begin, size, mine = starts[first], ends[first + window - 1] - starts[first], rest[owner[first]]
+    place = low[mine] + first - np.searchsorted(owner, owner[first])
+    content = PrefixHash(some).ranges(begin, begin + size)
+    order = np.lexsort((key[mine], content))
+    copy = first_holders(order, runs_of(content[order]), key[mine], begin, size, some)
+    gone = order[copy]
+    if len(gone):
+        yield key[mine[gone]], tag[mine[gone]], place[gone], place[gone] + window
+
+
+def kept_words(key: pa.Array, tag: np.ndarray, data: np.ndarray, offsets: np.ndarray, spans: list[np.ndarray | None]) -> Iterator[pa.RecordBatch]:
+    """Rows with the words outside of their spans."""
+    text, starts, ends, counts = joined_words(data, offsets)
+    begin = np.cumsum(counts) - counts
+    keep, removed = np.ones(len(starts), bool), np.zeros(len(counts), np.int64)
+    for i, pairs in enumerate(spans):
+        if pairs is not None:
+            gone = covered(pairs[:, 0], pairs[:, 1], int(counts[i]))
+            keep[begin[i] : begin[i] + counts[i]] = ~gone
+            removed[i] = gone.sum()
+    kept = np.flatnonzero(keep)
+    docs = np.repeat(np.arange(len(counts)), counts)[kept]
+    # One space after every word but the last of a document.
+    last = np.append(docs[1:] != docs[:-1], True)[: len(docs)]
+    sizes = ends[kept] - starts[kept] + ~last
+    out = binary_array(ragged(text, starts[kept], sizes), np.bincount(docs, sizes, len(counts)).astype(np.int64))
+    yield pa.RecordBatch.from_arrays([key, pa.array(counts.astype(np.int64)), pa.array(removed), out.cast(pa.string())], names=["key", "n_words", "n_removed", "kept"])
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = 13, kmer: int = 3) -> DataFrame:
@@ -212,8 +212,8 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
     key.  Null, empty and short texts lose nothing.  Rows of one key and text are one document and get the
     same result each; rows with a null key lose nothing and make others lose nothing.
     """
-    rows, dests = tagged(df, key, text), destinations(df)
-    routed = rows.filter("key IS NOT NULL").mapInArrow(route(bucket_count(df), dests, window, kmer), ROUTED)
+    rows, dests, buckets = tagged(df, key, text), even_buckets(df, 1), even_buckets(df, BUCKETS_EACH)
+    routed = rows.filter("key IS NOT NULL").mapInArrow(route(buckets, dests, window, kmer), ROUTED)
     found = by_bucket(routed, settle(window), dests)
-    joined = with_spans(rows, found).select("key", "text", "spans")
-    return joined.mapInArrow(_kept, "key long, n_words long, n_removed long, kept string").withColumnRenamed("key", key)
+    kept = with_spans(rows, found, dests, kept_words, "key long, n_words long, n_removed long, kept string")
+    return kept.withColumnRenamed("key", key)
