@@ -26,7 +26,9 @@ OPEN, BEGIN, END, CLOSE = "<s>", "[INST]", "[/INST]", "</s>"
 CONTROL = (OPEN, BEGIN, END, CLOSE)
 LEARNED_ROLE = "assistant"
 #: Characters encoded at once; no effect on results.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
+#: Conversations read back at once; no effect on results.
+ROWS = 256
 
 _ESCAPED = re.compile(r"\\|" + "|".join(map(re.escape, CONTROL)))
 _PLAIN = re.compile(r"\\(.)", re.DOTALL)
@@ -129,7 +131,7 @@ def format_conversations(df: DataFrame, definition: str, conv: str = "conv_id",
                 names=["key", "formatted", "ids", "starts", "ends", "loss"],
             )
 
-        for batch in batches:
+        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, len(whole), ROWS)):
             key_type, keys, texts, spans, size = batch.column(0).type, [], [], [], 0
             for key, roles, bodies in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 formatted, found = render(list(zip(roles.as_py(), bodies.as_py())))
@@ -151,7 +153,7 @@ def read_back(df: DataFrame, conv: str = "conv_id") -> DataFrame:
     kind = df.schema[conv].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, len(whole), ROWS)):
             roles, texts, learned = [], [], []
             for formatted, starts, ends, loss in zip(*(batch.column(i) for i in range(1, 5))):
                 turns = parse(formatted.as_py())

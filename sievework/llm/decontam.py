@@ -93,10 +93,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
     One row for every document and item of which a window with the item's number of words has
     ``threshold`` similarity or more.  Shingles have five words; an item with fewer words is one shingle.
-    Items without words match nothing, null and empty texts hold nothing, documents shorter than an item
+    Items without words or without a number match nothing, null and empty texts hold nothing, documents shorter than an item
     have no window of its size.  Rows of one key and text are one document; rows with a null key are left out.
     """
-    hashed = benchmark.select(F.col(item).alias("item"), word_hashes(F.col(text)).alias("h")).filter(F.size("h") > 0)
+    hashed = benchmark.select(F.col(item).alias("item"), word_hashes(F.col(text)).alias("h")).filter(F.col("item").isNotNull() & (F.size("h") > 0))
     items = hashed.withColumn("width", F.least(F.size("h"), F.lit(SHINGLE))).withColumn("s", by_width(F.col("width"), F.col("h")))
     items = written(items.select("item", "width", "s", F.size("s").alias("n"), fingerprint(F.col("s")).alias("item_fp")), "items")
     needles = items.select("item", "width", "n", F.posexplode("s").alias("k", "shingle"))

@@ -218,6 +218,17 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, label: str = "quality", ke
 SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double"
 
 
+def judged(data: np.ndarray, offsets: np.ndarray, model: LineModel) -> list[np.ndarray]:
+    """Columns of ``SCHEMA`` for a chunk of documents."""
+    lines = Lines(data, offsets)
+    scores = np.zeros((len(lines.doc), 2))
+    scores[:, 1] = lines.features @ model.weights
+    content = np.bincount(lines.doc, lines.chars * best_labels(scores, lines.doc, model.transitions), len(offsets) - 1)
+    share = content / np.maximum(lines.word_chars, 1)
+    failed = (lines.n_words < MIN_WORDS) | (100 * lines.n_repeat_words > MAX_REPEAT_PERCENT * lines.n_words)
+    return [lines.n_words, lines.word_chars, lines.n_symbols, lines.n_dup_lines, lines.n_repeat_words, failed, ~failed & (share >= MIN_CONTENT), share]
+
+
 def assess(df: DataFrame, model: LineModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, the counts of the base rules, ``content_share`` and the verdict ``kept`` of every row.
 
@@ -228,17 +239,21 @@ def assess(df: DataFrame, model: LineModel, key: str = "doc_id", text: str = "te
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, data, offsets in chunks(batch.column(1)):
-                lines = Lines(data, offsets)
-                scores = np.zeros((len(lines.doc), 2))
-                scores[:, 1] = lines.features @ model.weights
-                label = best_labels(scores, lines.doc, model.transitions)
-                content = np.bincount(lines.doc, lines.chars * label, high - low)
-                share = content / np.maximum(lines.word_chars, 1)
-                failed = (lines.n_words < MIN_WORDS) | (100 * lines.n_repeat_words > MAX_REPEAT_PERCENT * lines.n_words)
-                counts = [lines.n_words, lines.word_chars, lines.n_symbols, lines.n_dup_lines, lines.n_repeat_words]
-                columns = [batch.column(0).slice(low, high - low), *(pa.array(c, pa.int64()) for c in counts), pa.array(failed), pa.array(~failed & (share >= MIN_CONTENT)), pa.array(share)]
+                columns = [batch.column(0).slice(low, high - low), *map(pa.array, judged(data, offsets, model))]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", *(c.split()[0] for c in SCHEMA.split(", "))])
 
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = df.schema[key].dataType.simpleString()
     return rows.mapInArrow(run, f"key {kind}, {SCHEMA}").withColumnRenamed("key", key)
+
+
+def passing(df: DataFrame, model: LineModel, text: str = "text") -> DataFrame:
+    """The rows of ``df`` that ``assess`` keeps, with all of their columns; nothing is shuffled."""
+    at = df.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [judged(data, offsets, model)[6] for _, _, data, offsets in chunks(batch.column(at))]
+            yield batch.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool)))
+
+    return df.mapInArrow(run, df.schema)

@@ -204,3 +204,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     placed = written(placed, "rooted-fingerprints")
     lowest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     return docs.join(placed.select("fp", "root").join(lowest, "root").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
+
+
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of ``df`` without near duplicates: of each group the one with the smallest key stays.
+
+    Of rows that repeat a key one stays, without a rule as to which.  Rows with a null key stay: no decision can name them.
+    """
+    found = near_duplicates(df, key, text, words, radius)
+    dropped = written(found.filter(F.col(key) != F.col("component_id")).select(key).distinct(), "near-duplicates")
+    repeated = written(df.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key), "repeated-keys")
+    kept = df.join(dropped, key, "left_anti")
+    if repeated.isEmpty():
+        return kept
+    return kept.join(repeated, key, "left_anti").unionByName(kept.join(repeated, key, "left_semi").dropDuplicates([key]))

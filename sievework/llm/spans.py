@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.ipc  # noqa: F401  (pa.ipc)
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ ROUTED = "bucket int, dest int, block binary"
 FOUND = "dest int, block binary"
 #: Spans of documents: each document once, its number of spans, then all spans.
 SPANS = ["key", "tag", "counts", "low", "size"]
-TEXTS = ["key", "tag", "nulls", "sizes", "text"]
+TEXTS = ["key", "tag", "nulls", "sizes", "text", "rest"]
 #: Buckets for each shuffle partition.
 BUCKETS_EACH = 2
 #: Finished spans a task holds, and bytes of text it packs or works on at once; no effect on results.
@@ -35,10 +36,14 @@ LEVEL = 2
 Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def tagged(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key``, ``tag`` (hash of the text) and ``text``; rows of one key and tag are one document."""
+def tagged(df: DataFrame, key: str, text: str, rest: list[str] | None = None) -> DataFrame:
+    """``key``, ``tag`` (hash of the text), ``text`` and the columns ``rest`` as ``rest_0`` and so on.
+
+    Rows of one key and tag are one document.
+    """
     whole = F.col(text).cast("string")
-    return df.select(F.col(key).cast("long").alias("key"), F.hash(whole).alias("tag"), whole.alias("text"))
+    more = [F.col(f"`{c}`").alias(f"rest_{i}") for i, c in enumerate(rest or [])]
+    return df.select(F.col(key).cast("long").alias("key"), F.hash(whole).alias("tag"), whole.alias("text"), *more)
 
 
 def even_buckets(df: DataFrame, each: int) -> np.ndarray:
@@ -196,8 +201,10 @@ def with_spans(rows: DataFrame, found: DataFrame, dests: np.ndarray, use: Callab
     """``use`` on chunks of tagged rows with the spans found in them.
 
     ``use`` gets keys (an Arrow column), tags, bytes, offsets and, for each row, its spans as pairs (or None).
+    Further columns of the rows travel along and follow those of ``use``, which then gives a row for each row.
     Spans come before the texts of their destination; texts stream.
     """
+    more = rows.schema[3:]
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,35 +219,60 @@ def with_spans(rows: DataFrame, found: DataFrame, dests: np.ndarray, use: Callab
                 for r in cuts_of(dest[order]):
                     i = order[r]
                     text = ragged(data, offsets[i], sizes[i])
-                    blocks.append(pack({"key": key[i], "tag": tag[i], "nulls": nulls[low:high][i], "sizes": small(sizes[i]), "text": text}))
+                    blocks.append(pack({"key": key[i], "tag": tag[i], "nulls": nulls[low:high][i], "sizes": small(sizes[i]), "text": text, "rest": _serialised(batch, low + i)}))
                     goes.append(dest[i[0]])
                 yield pa.RecordBatch.from_arrays([pa.array(dests[goes]), pa.array(np.ones(len(goes), np.int32)), pa.array(blocks, pa.binary())], names=["dest", "kind", "block"])
 
+    def worked(blocks: list[dict[str, np.ndarray]], spans: dict) -> Iterator[pa.RecordBatch]:
+        keys, tags, nulls, sizes, text = (np.concatenate([t[f] for t in blocks]) for f in TEXTS[:5])
+        rest = [pa.ipc.open_stream(pa.py_buffer(t["rest"])).read_next_batch() for t in blocks if len(t["rest"])]
+        rest = pa.Table.from_batches(rest) if rest else None
+        key = pa.array(keys, mask=nulls)
+        mine = [None if null else spans.get(k) for k, null in zip(zip(keys.tolist(), tags.tolist()), nulls.tolist())]
+        offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+        low, n = 0, len(mine)
+        while low < n:
+            high = min(max(int(np.searchsorted(offsets, offsets[low] + 2 * WORKED_BYTES, "right")) - 1, low + 1), n)
+            for out in use(key.slice(low, high - low), tags[low:high], text[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], mine[low:high]):
+                if rest is None:
+                    yield out
+                else:
+                    more_ = rest.slice(low, high - low).combine_chunks()
+                    yield pa.RecordBatch.from_arrays([*out.columns, *(c.chunk(0) for c in more_.columns)], names=[*out.schema.names, *more_.column_names])
+            low = high
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dest, held, spans = None, [], {}
-        for batch in batches:
-            for d, kind, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+        dest, held, spans, waiting, size = None, [], {}, [], 0
+        for batch in with_end(batches):
+            rows = [(None, None, None)] if batch is None else zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
+            for d, kind, block in rows:
+                if waiting and (d != dest or size >= WORKED_BYTES):
+                    yield from worked(waiting, spans)
+                    waiting, size = [], 0
                 if d != dest:
                     dest, held, spans = d, [], None
                 if kind == 0:
                     held.append(unpack(block.as_py(), SPANS))
-                    continue
-                if spans is None:
-                    spans = _by_document(held)
-                    held = []
-                t = unpack(block.as_py(), TEXTS)
-                key = pa.array(t["key"], mask=t["nulls"])
-                mine = [None if null else spans.get(k) for k, null in zip(zip(t["key"].tolist(), t["tag"].tolist()), t["nulls"].tolist())]
-                offsets = np.concatenate(([0], np.cumsum(t["sizes"], dtype=np.int64)))
-                low, n = 0, len(mine)
-                while low < n:
-                    high = min(max(int(np.searchsorted(offsets, offsets[low] + WORKED_BYTES, "right")) - 1, low + 1), n)
-                    yield from use(key.slice(low, high - low), t["tag"][low:high], t["text"][offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], mine[low:high])
-                    low = high
+                elif kind == 1:
+                    if spans is None:
+                        spans, held = _by_document(held), []
+                    waiting.append(unpack(block.as_py(), TEXTS))
+                    size += len(waiting[-1]["text"])
 
     texts = rows.mapInArrow(packed, "dest int, kind int, block binary")
     both = found.select("dest", F.lit(0).alias("kind"), "block").unionByName(texts)
-    return both.repartition("dest").sortWithinPartitions("dest", "kind").mapInArrow(run, schema)
+    return both.repartition("dest").sortWithinPartitions("dest", "kind").mapInArrow(run, ", ".join([schema, *(f"{f.name} {f.dataType.simpleString()}" for f in more)]))
+
+
+def _serialised(batch: pa.RecordBatch, rows: np.ndarray) -> np.ndarray:
+    """The columns beyond key, tag and text of some rows, as an Arrow stream."""
+    if batch.num_columns <= 3:
+        return np.zeros(0, np.uint8)
+    rest = batch.select(range(3, batch.num_columns)).take(pa.array(rows))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rest.schema) as writer:
+        writer.write_batch(rest)
+    return np.frombuffer(sink.getvalue(), np.uint8)
 
 
 def _by_document(blocks: list[dict[str, np.ndarray]]) -> dict[tuple[int, int], np.ndarray]:

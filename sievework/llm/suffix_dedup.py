@@ -28,6 +28,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sievework.llm.buffers import PrefixHash, binary_array, chunks, covered, ragged
 from sievework.llm.spans import (
@@ -328,13 +329,36 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
     Null, empty and short texts lose nothing.  Rows of one key and text are one document and get the
     same result each; rows with a null key lose nothing and make others lose nothing.
     """
+    rows, found, dests = _found(df, key, text, window, kmer, [])
+    return with_spans(rows, found, dests, kept_bytes, KEPT).withColumnRenamed("key", key)
+
+
+def _found(df: DataFrame, key: str, text: str, window: int, kmer: int, rest: list[str]) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """Tagged rows, the blocks of their repeated spans, and the destinations of these."""
     if kmer % TOKEN or not TOKEN <= kmer <= window:
         raise ValueError("kmer must be a multiple of 8, at most the window")
-    rows, dests, buckets = tagged(df, key, text), even_buckets(df, 1), even_buckets(df, BUCKETS_EACH)
-    keyed = rows.filter("key IS NOT NULL")
+    rows, dests, buckets = tagged(df, key, text, rest), even_buckets(df, 1), even_buckets(df, BUCKETS_EACH)
+    keyed = rows.select("key", "tag", "text").filter("key IS NOT NULL")
     hashes = keyed.mapInArrow(route_hashes(buckets, dests, window, kmer), ROUTED)
     shared = by_bucket(hashes, shared_hashes, dests)
     splitters = sampled_splitters(keyed, len(buckets), window, kmer)
     suffixes = with_spans(keyed, shared, dests, route_suffixes(buckets, splitters, dests, window, kmer), ROUTED)
-    found = by_bucket(suffixes, sort_suffixes(window, kmer), dests)
-    return with_spans(rows, found, dests, kept_bytes, KEPT).withColumnRenamed("key", key)
+    return rows, by_bucket(suffixes, sort_suffixes(window, kmer), dests), dests
+
+
+def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = 50, kmer: int = 16) -> DataFrame:
+    """The same rows and columns with the text that ``remove_repeats`` keeps.
+
+    A character of which only some bytes stay goes whole.  A null text stays null.
+    """
+
+    def use(keys: pa.Array, tag: np.ndarray, data: np.ndarray, offsets: np.ndarray, spans: list[np.ndarray | None]) -> Iterator[pa.RecordBatch]:
+        for kept in kept_bytes(keys, tag, data, offsets, spans):
+            texts = [x.decode("utf-8", "ignore") for x in kept.column(4).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["kept"])
+
+    others = [c for c in df.columns if c != text]
+    rows, found, dests = _found(df.withColumn("__null__", F.col(text).isNull()), key, text, window, kmer, [*others, "__null__"])
+    whole = with_spans(rows, found, dests, use, "kept string")
+    kept = F.when(F.col(f"rest_{len(others)}"), F.lit(None)).otherwise(F.col("kept"))
+    return whole.select(*(kept.alias(text) if c == text else F.col(f"rest_{others.index(c)}").alias(c) for c in df.columns))

@@ -140,7 +140,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> Lab
     votes = unfolded(patterns)
     good = np.where((votes == 2).sum(1) > 0, 0.1, 0.95)
     model = LabelModel(0.5, np.full((len(LABELLERS), 2, 3), 1 / 3))
-    for _ in range(rounds):
+    for _ in range(rounds if len(patterns) else 0):
         weight = np.stack(((1 - good) * counts, good * counts))
         share = (weight.sum(1) + 1) / (weight.sum() + 2)
         table = np.stack([[np.bincount(votes[:, i], w, 3) + 0.5 for w in weight] for i in range(len(LABELLERS))])
