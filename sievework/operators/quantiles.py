@@ -1,11 +1,13 @@
 """Exact quantiles without collecting a column anywhere.
 
 ``percentile`` keeps every distinct value in the memory of one task.  Instead, the rows
-that can hold a wanted rank are narrowed down: count the values in equal-width cells
-between the known bounds, keep the cell that holds the rank with its true minimum and
-maximum, and repeat until few enough rows are left to sort.  Each pass is one narrow
-scan with a bounded number of groups; a table below the limit needs no narrowing at all.
-The driver sees a handful of numbers per pass.
+that can hold a wanted rank are narrowed down: a mergeable sketch gives values that cut
+them into cells of about equally many rows, the cells are counted exactly, the one that
+holds the rank is kept with its true minimum and maximum, and so on until few enough rows
+are left to sort.  A cell is a cut value itself or lies strictly between two, so every pass
+shrinks every range, whatever the values (infinities are ordinary ones), and keeps a fixed
+share of the *rows*: 10^12 rows need about three passes of two narrow scans.  A table
+below the limit needs none.  The driver sees a handful of numbers per pass.
 """
 
 from __future__ import annotations
@@ -18,10 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Rows one task may sort to read off the wanted ranks.
+#: Rows one task may sort to read off the wanted ranks; no effect on the answer.
 SORTABLE_ROWS = 1_000_000
-#: Cells per narrowing pass.
-CELLS = 4_096
+#: Cut values per range and pass, and the accuracy of the sketch they come from.
+CUTS = 256
+SKETCH_ACCURACY = 4_096
 
 
 @dataclass(frozen=True)
@@ -34,8 +37,7 @@ class _Bracket:
     rows: int
 
     def settled(self, sortable: int) -> bool:
-        # Bounds too close to be told apart at half scale hold at most two values.
-        return self.rows <= sortable or not self.high / 2 - self.low / 2 > 0
+        return self.rows <= sortable or self.low == self.high
 
     def holds(self, value: Column) -> Column:
         return value.between(F.lit(self.low), F.lit(self.high))
@@ -46,23 +48,39 @@ def _numbers(df: DataFrame, column: str) -> DataFrame:
     return df.select(value.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
+def _numbered(brackets: Sequence[_Bracket]) -> Column:
+    """Number of the bracket that holds the value; two brackets share no value or are the same."""
+    v, number = F.col("v"), F.lit(None).cast("int")
+    for i, b in enumerate(brackets):
+        number = F.when(b.holds(v), F.lit(i)).otherwise(number)
+    return number
+
+
+def _cell(cuts: Sequence[float], start: int = 0) -> Column:
+    """Twice the number of cuts below the value, plus one if the value is a cut: a balanced tree of tests."""
+    if not cuts:
+        return F.lit(2 * start)
+    middle, v = len(cuts) // 2, F.col("v")
+    low, high = _cell(cuts[:middle], start), _cell(cuts[middle + 1 :], start + middle + 1)
+    at = F.lit(2 * (start + middle) + 1)
+    return F.when(v < F.lit(cuts[middle]), low).when(v == F.lit(cuts[middle]), at).otherwise(high)
+
+
 def _narrow(values: DataFrame, brackets: dict[int, _Bracket], sortable: int) -> dict[int, _Bracket]:
     """One pass: replace every unsettled bracket by the cell that holds its rank."""
     open_brackets = sorted({b for b in brackets.values() if not b.settled(sortable)}, key=lambda b: b.low)
-    v = F.col("v")
-    bracket_no, cell_no = F.lit(None).cast("int"), F.lit(None).cast("int")
-    for number, b in enumerate(open_brackets):
-        width = b.high / 2 - b.low / 2
-        cell = F.least(F.floor((v / 2 - F.lit(b.low / 2)) / F.lit(width) * CELLS), F.lit(CELLS - 1))
-        bracket_no = F.when(b.holds(v), F.lit(number)).otherwise(bracket_no)
-        cell_no = F.when(b.holds(v), cell.cast("int")).otherwise(cell_no)
+    held = values.select("v", _numbered(open_brackets).alias("bracket")).where(F.col("bracket").isNotNull())
+    shares = [i / CUTS for i in range(CUTS + 1)]
+    sketched = held.groupBy("bracket").agg(F.percentile_approx("v", shares, SKETCH_ACCURACY).alias("cuts")).collect()
+    cell = F.lit(None).cast("int")
+    for row in sketched:
+        cell = F.when(F.col("bracket") == row["bracket"], _cell(sorted(set(row["cuts"])))).otherwise(cell)
     cells = (
-        values.select("v", bracket_no.alias("bracket"), cell_no.alias("cell"))
-        .where(F.col("bracket").isNotNull())
+        held.withColumn("cell", cell)
         .groupBy("bracket", "cell")
         .agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("rows"))
     )
-    # At most CELLS rows per bracket from here on.
+    # At most 2 * CUTS + 3 rows per bracket from here on.
     upto = W.partitionBy("bracket").orderBy("cell").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = cells.withColumn("through", F.sum("rows").over(upto))
     wanted = F.lit(False)
@@ -92,12 +110,8 @@ def _read_off(values: DataFrame, brackets: dict[int, _Bracket]) -> dict[int, flo
     if not rest:
         return answers
     distinct = sorted(set(rest.values()), key=lambda b: b.low)
-    v = F.col("v")
-    inside = F.lit(None).cast("int")
-    for number, b in enumerate(distinct):
-        inside = F.when(b.holds(v), F.lit(number)).otherwise(inside)
     counts = (
-        values.select("v", inside.alias("bracket"))
+        values.select("v", _numbered(distinct).alias("bracket"))
         .where(F.col("bracket").isNotNull())
         .groupBy("bracket", "v")
         .agg(F.count("*").alias("rows"))
@@ -159,10 +173,12 @@ def exact_quantiles(
     positions = [p * (bounds.rows - 1) for p in probabilities]
     ranks = sorted({r for x in positions for r in (math.floor(x), math.ceil(x))})
     found = _ranks_to_values(values, bounds, ranks, sortable_rows)
-    return [
-        found[math.floor(x)] + (found[math.ceil(x)] - found[math.floor(x)]) * (x - math.floor(x))
-        for x in positions
-    ]
+    return [_between(found[math.floor(x)], found[math.ceil(x)], x - math.floor(x)) for x in positions]
+
+
+def _between(low: float, high: float, share: float) -> float:
+    """Linear interpolation; an infinite neighbour counts only where it has a share."""
+    return low if share == 0 or low == high else low + (high - low) * share
 
 
 def approximate_quantiles(

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sievework.operators import quantiles
 from sievework.operators.ordering import number_rows, running_total
 from sievework.operators.quantiles import approximate_quantiles, exact_quantiles, order_statistics
 
@@ -69,3 +70,27 @@ def test_positions_and_totals_do_not_depend_on_partitioning(spark, partitions):
         sums.append((k, i, total))
     summed = running_total(df.repartition(partitions), order, F.col("w"), "s")
     assert sorted((r["k"], r["id"], r["s"]) for r in summed.collect()) == sums
+
+
+@pytest.mark.parametrize(
+    "numbers",
+    [
+        [float("inf"), float("-inf"), *map(float, range(500)), float("inf")],
+        [10.0**e for e in range(-300, 300)],
+        [4.0] * 3000 + [1.0, 2.0, 9.0],
+        [float("inf")] * 700 + [1.0],
+    ],
+)
+def test_narrowing_ends_in_a_few_passes(spark, monkeypatch, numbers):
+    passes = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: passes.append(1) or narrow(*a))
+    df = spark.createDataFrame([(v,) for v in numbers], "x double").repartition(3)
+    ranks = [0, len(numbers) // 2, len(numbers) - 1]
+    assert order_statistics(df, "x", ranks, sortable_rows=2) == [sorted(numbers)[r] for r in ranks]
+    assert len(passes) <= 4
+
+
+def test_infinite_neighbours(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),)], "x double")
+    assert exact_quantiles(df, "x", [0.0, 0.5, 1.0]) == [1.0, 2.0, float("inf")]
