@@ -48,7 +48,10 @@ def to_double(column: Column | str) -> Column:
 
 def to_long(column: Column | str, default: int | None = 0) -> Column:
     """Whole number from text; the fraction is cut off, unreadable text gives ``default``."""
-    value = to_double(column).try_cast("bigint")
+    # Whole numbers are read as such first: a double holds only 53 bits.
+    exact = F.trim(as_column(column).cast("string"))
+    whole = F.when(exact.rlike(r"^[+-]?[0-9]+$"), exact.try_cast("bigint"))
+    value = F.coalesce(whole, to_double(column).try_cast("bigint"))
     return value if default is None else F.coalesce(value, F.lit(default).cast("bigint"))
 
 

@@ -1,6 +1,7 @@
 """US public holidays as date arithmetic: no calendar table, no year limits to outgrow.
 
-Valid for dates from 1986 on, when the last of the Monday rules took effect.
+Every rule has the first year in which it holds in this form; before that its holiday is not
+named (Veterans Day was moved to October until 1977).
 """
 
 from __future__ import annotations
@@ -15,19 +16,19 @@ FIXED_DAY_HOLIDAYS = [
     ("New Year's Day", 1, 1, None),
     ("Juneteenth National Independence Day", 6, 19, 2021),
     ("Independence Day", 7, 4, None),
-    ("Veterans Day", 11, 11, None),
+    ("Veterans Day", 11, 11, 1978),
     ("Christmas Day", 12, 25, None),
 ]
 
 # Holidays on a weekday rule, as (name, month, weekday with Monday = 0,
-# first and last day of the month the rule can fall on).
+# first and last day of the month the rule can fall on, first year).
 WEEKDAY_RULE_HOLIDAYS = [
-    ("Martin Luther King Jr. Day", 1, 0, 15, 21),
-    ("Washington's Birthday", 2, 0, 15, 21),
-    ("Memorial Day", 5, 0, 25, 31),
-    ("Labor Day", 9, 0, 1, 7),
-    ("Columbus Day", 10, 0, 8, 14),
-    ("Thanksgiving Day", 11, 3, 22, 28),
+    ("Martin Luther King Jr. Day", 1, 0, 15, 21, 1986),
+    ("Washington's Birthday", 2, 0, 15, 21, 1971),
+    ("Memorial Day", 5, 0, 25, 31, 1971),
+    ("Labor Day", 9, 0, 1, 7, 1894),
+    ("Columbus Day", 10, 0, 8, 14, 1971),
+    ("Thanksgiving Day", 11, 3, 22, 28, 1942),
 ]
 
 MONDAY, FRIDAY = 0, 4
@@ -52,11 +53,12 @@ def us_holiday_name(column: Column | str) -> Column:
         morrow = (weekday == MONDAY) & _falls_on(F.date_sub(day, 1), month, dom, first_year)
         name = F.when(eve | morrow, F.lit(f"{title} (observed)")).otherwise(name)
         name = F.when(_falls_on(day, month, dom, first_year), F.lit(title)).otherwise(name)
-    for title, month, rule_weekday, first_day, last_day in WEEKDAY_RULE_HOLIDAYS:
+    for title, month, rule_weekday, first_day, last_day, first_year in WEEKDAY_RULE_HOLIDAYS:
         hit = (
             (F.month(day) == month)
             & (weekday == rule_weekday)
             & F.dayofmonth(day).between(first_day, last_day)
+            & (F.year(day) >= first_year)
         )
         name = F.when(hit, F.lit(title)).otherwise(name)
     return name

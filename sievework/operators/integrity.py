@@ -38,17 +38,19 @@ def _field(df: DataFrame, column: str) -> Column:
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row: row count and an order-independent sum over row hashes.
+    """One row: row count and order-independent sums over row hashes.
 
-    Each hash is summed in two 16-bit halves, which as 64-bit numbers hold 10^14 rows; the
-    halves are put together as a decimal and returned as text.  Use integer, text or date
+    The four 32-bit words of every hash are summed apart; the sums are joined as text.  Each is
+    taken in 16-bit halves, which as 64-bit numbers hold 10^14 rows.  Use integer, text or date
     columns; the text form of a double is engine-specific.
     """
     row_hash = F.md5(F.concat_ws("|", *[_field(df, c) for c in columns]))
-    hashed = df.select(F.conv(F.substring(row_hash, 1, 8), 16, 10).cast("bigint").alias("h"))
+    words = [F.conv(F.substring("h", 8 * i + 1, 8), 16, 10).cast("bigint").alias(f"w{i}") for i in range(4)]
+    hashed = df.select(row_hash.alias("h")).select(*words)
     total = lambda half: F.coalesce(F.sum(half), F.lit(0)).cast("decimal(38,0)")
-    high, low = F.shiftright("h", 16), F.col("h").bitwiseAND(F.lit(65535))
-    return hashed.agg(
-        F.count("*").alias("row_count"),
-        (total(high) * F.lit(65536) + total(low)).cast("decimal(38,0)").cast("string").alias("fingerprint"),
-    )
+
+    def summed(word: str) -> Column:
+        high, low = F.shiftright(word, 16), F.col(word).bitwiseAND(F.lit(65535))
+        return (total(high) * F.lit(65536) + total(low)).cast("decimal(38,0)").cast("string")
+
+    return hashed.agg(F.count("*").alias("row_count"), F.concat_ws("-", *[summed(f"w{i}") for i in range(4)]).alias("fingerprint"))

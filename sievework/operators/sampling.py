@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievework.functions.text import as_column
 
@@ -13,8 +14,8 @@ _DIGITS = 4
 
 
 def sample_hash(key: Column | str, seed: int) -> Column:
-    """Hash that puts the rows in a random but repeatable order."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), as_column(key).cast("string")))
+    """Hash that puts the rows in a random but repeatable order; rows without a key share one."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(as_column(key).cast("string"), F.lit(""))))
 
 
 def _cut(df: DataFrame, digits: Column, wanted: Column) -> Column:
@@ -26,10 +27,16 @@ def _cut(df: DataFrame, digits: Column, wanted: Column) -> Column:
     return reached.agg(F.min(found)).scalar()
 
 
+def _ordered_columns(df: DataFrame) -> list[Column]:
+    unordered = (T.MapType, T.VariantType)
+    return [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, unordered)]
+
+
 def fixed_sample(df: DataFrame, n: int, seed: int, key: Column | str) -> DataFrame:
     """``min(n, rows)`` rows without replacement, always the same ones for a seed.
 
-    The sample is the ``n`` smallest hashes of a unique key.  A histogram over the first
+    The sample is the ``n`` smallest hashes of the key, ties by key and then by all other
+    columns that have an order.  A histogram over the first
     hash digits finds where the n-th lies, a second one refines that place, and only the
     rows up to it, little more than ``n``, are sorted in the end.
     """
@@ -42,7 +49,7 @@ def fixed_sample(df: DataFrame, n: int, seed: int, key: Column | str) -> DataFra
     return (
         df.withColumn("_hash", hashed)
         .where(F.substring("_hash", 1, 2 * _DIGITS) <= cut)
-        .orderBy("_hash", as_column(key))
+        .orderBy("_hash", as_column(key), *_ordered_columns(df))
         .limit(n)
         .drop("_hash")
     )

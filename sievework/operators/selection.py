@@ -59,14 +59,14 @@ def mi_plugin(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
 def _noise(feature: str, key: str) -> Column:
     """Repeatable number in [-0.5, 0.5) per feature and row."""
-    digest = F.md5(F.concat(F.col(feature), F.lit(":"), F.col(key).cast("string")))
+    digest = F.md5(F.concat(F.col(feature), F.lit(":"), F.col(key)["name"]))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) - F.lit(0.5)
 
 
 def _jittered(df: DataFrame, features: Sequence[str], label: str, key: str) -> DataFrame:
     """Features scaled to unit deviation, equal values pulled apart; NULL counts as 0."""
     rows = _long(
-        df, features, label, lambda c: F.coalesce(c.cast("double"), F.lit(0.0)), as_column(key).alias("key")
+        df, features, label, lambda c: F.coalesce(c.cast("double"), F.lit(0.0)), F.col("_row").alias("key")
     )
     # One row per feature.
     scales = rows.groupBy("feature").agg(
@@ -165,7 +165,7 @@ def mi_knn(
 
     Ross (2014), PLoS ONE 9(2): e87357, in one dimension and exact: all features at once,
     no pair of points is ever formed.  Classes with a single row are left out.  ``key``
-    identifies a row.
+    seeds the noise that pulls equal values apart; it may repeat or be missing.
     """
     classes = written(
         df.where(as_column(label).isNotNull())
@@ -174,7 +174,11 @@ def mi_knn(
         .where(F.col("n_c") > 1),
         "classes",
     )
-    points = _jittered(df, features, label, key).join(classes, "y")
+    # A number of its own tells rows apart; written, so that it never changes between two reads.
+    name = F.coalesce(as_column(key).cast("string"), F.lit("")).alias("name")
+    numbered = df.withColumn("_row", F.struct(F.monotonically_increasing_id().alias("row"), name))
+    rows_ = written(numbered.select("_row", as_column(label), *[as_column(f) for f in dict.fromkeys(features)]), "points")
+    points = _jittered(rows_, features, label, key).join(classes, "y")
     # Written, because range partitioning reads its input twice: for bounds and for rows.
     radii = written(_radii(points, k, block_rows), "radii")
     counts = _neighbour_counts(radii)

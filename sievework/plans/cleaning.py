@@ -42,8 +42,11 @@ def first_rows(raw: DataFrame, spec: CleaningSpec) -> DataFrame:
     """First row per key.
 
     Copies of a row share its key, so this also removes exact duplicates; removing those
-    in a step of their own would shuffle the whole table once more for the same result.
+    in a step of their own would shuffle the whole table once more for the same result.  A
+    table without the key only loses its exact duplicates.
     """
+    if not set(spec.key) <= set(raw.columns):
+        return clean.drop_exact_duplicates(raw)
     return clean.dedup_keep_first(raw, spec.key, [F.expr(o).asc_nulls_last() for o in spec.order_by])
 
 

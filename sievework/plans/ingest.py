@@ -21,7 +21,7 @@ from sievework.operators.profile import (
 )
 from sievework.sources.delimited import bad_line_count, header_columns, read_delimited
 from sievework.sources.documents import read_json_document, write_json_document
-from sievework.sources.inventory import CHECKSUM_SCHEMA, MEGABYTE, file_checksums
+from sievework.sources.inventory import CHECKSUM_SCHEMA, file_checksums
 from sievework.sources.paths import path_exists
 from sievework.sources.tables import land_raw
 
@@ -47,22 +47,13 @@ class Landed:
     reports: dict[str, DataFrame]
 
 
-def ingestion_manifest(
-    df: DataFrame, dataset: Dataset, raw_path: str, ingest_date: dt.date, checksums: DataFrame
-) -> DataFrame:
+def ingestion_manifest(df: DataFrame, dataset: Dataset, raw_path: str, ingest_date: dt.date) -> DataFrame:
     """One row that describes a landed version.
 
-    ``checksums`` has one row per source file.  A single file is described by its MD5, a set
-    of files by a fingerprint over names and sums.
+    The checksum is a fingerprint of the landed rows: any size, in parallel, and the same
+    however the rows are spread over files.
     """
-    files = checksums.agg(
-        F.struct(
-            F.count("*").alias("files"),
-            F.round(F.sum("size_bytes") / MEGABYTE, 2).alias("size_mb"),
-            F.max("md5").alias("md5"),
-        )
-    ).scalar()
-    over_files = table_fingerprint(checksums, ["filename", "md5"]).select("fingerprint").scalar()
+    content = table_fingerprint(df, df.columns).select("fingerprint").scalar()
     return table_shape(df).select(
         F.lit(dataset.name).alias("dataset_name"),
         F.lit(dataset.version).alias("version"),
@@ -70,9 +61,7 @@ def ingestion_manifest(
         F.lit("batch").alias("ingestion_mode"),
         F.lit(dataset.source).alias("source"),
         F.lit(raw_path).alias("raw_path"),
-        files["files"].alias("file_count"),
-        files["size_mb"].alias("file_size_mb"),
-        F.when(files["files"] == 1, files["md5"]).otherwise(over_files).alias("checksum"),
+        content.alias("checksum"),
         "row_count",
         "column_count",
         F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
@@ -95,8 +84,12 @@ def run_ingest(
     year_column: str,
     order_by: Sequence[str],
     ingest_date: dt.date,
+    file_md5: bool = False,
 ) -> Landed:
-    """Land the source files, then describe what landed; the manifest is written last."""
+    """Land the source files, then describe what landed; the manifest is written last.
+
+    ``file_md5`` adds the MD5 of every source file, each below 2 GiB, at the price of one more read.
+    """
     if not path_exists(spark, dataset.source):
         raise FileNotFoundError(dataset.source)
     columns = header_columns(spark, dataset.source)
@@ -117,8 +110,9 @@ def run_ingest(
     if year_column in table.columns:
         reports["years"] = value_counts(table.select(as_column(year_column)), year_column)
     catalog_zone = dataset.catalog_zone.rstrip("/")
-    write_json_document(file_checksums(spark, dataset.source), f"{catalog_zone}/file_checksums", single_file=False)
-    reports["file_checksums"] = read_json_document(spark, f"{catalog_zone}/file_checksums", CHECKSUM_SCHEMA)
-    manifest = ingestion_manifest(table, dataset, path, ingest_date, reports["file_checksums"])
+    if file_md5:
+        write_json_document(file_checksums(spark, dataset.source), f"{catalog_zone}/file_checksums", single_file=False)
+        reports["file_checksums"] = read_json_document(spark, f"{catalog_zone}/file_checksums", CHECKSUM_SCHEMA)
+    manifest = ingestion_manifest(table, dataset, path, ingest_date)
     write_json_document(manifest, f"{catalog_zone}/ingestion_manifest")
     return Landed(table, path, reports)

@@ -37,14 +37,17 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root(context.applicationId)
 
 
-def written_path(df: DataFrame, label: str) -> str:
-    """Write ``df`` to a fresh scratch table and return its path.
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A path in the scratch folder at which nothing lies yet.
 
     Tables of one application share a folder, which can be removed when it has ended.
     """
-    spark = df.sparkSession
-    folder = f"{scratch_root(spark)}/sievework/{spark.sparkContext.applicationId}"
-    path = f"{folder}/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/sievework/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def written_path(df: DataFrame, label: str) -> str:
+    """Write ``df`` to a fresh scratch table and return its path."""
+    path = fresh_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return path
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,11 @@ def write_json_document(df: DataFrame, path: str, single_file: bool = True) -> N
     rows.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def _is_json(text: Column) -> Column:
+    """Whether the whole text is one JSON value; in brackets, as the parser stops after a first value."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull()
+
+
 def document_check(spark: SparkSession, zone: str, names: Sequence[str]) -> DataFrame:
     """Per document of a catalogue zone: entries read and entries that are not valid JSON.
 
@@ -46,8 +51,16 @@ def document_check(spark: SparkSession, zone: str, names: Sequence[str]) -> Data
     for name in names:
         path = f"{zone.rstrip('/')}/{name}"
         if path_exists(spark, path):
-            lines = spark.read.text(path).select(F.try_parse_json("value").isNull().alias("broken"))
-            found = lines.agg(F.count("*").alias("entries"), F.count_if("broken").alias("broken"))
+            # A file is one object, however it is spread over lines, or one entry per line.
+            files = spark.read.text(path, wholetext=True)
+            lines = F.filter(F.split("value", "\\r?\\n"), lambda x: F.trim(x) != "")
+            bad = F.size(F.filter(lines, lambda x: ~_is_json(x)))
+            whole = _is_json(F.col("value"))
+            counts = files.select(
+                F.when(whole & (bad > 0), F.lit(1)).otherwise(F.size(lines)).alias("entries"),
+                F.when(whole, F.lit(0)).otherwise(bad).alias("broken"),
+            )
+            found = counts.agg(F.coalesce(F.sum("entries"), F.lit(0)).cast("bigint").alias("entries"), F.coalesce(F.sum("broken"), F.lit(0)).cast("bigint").alias("broken"))
         else:
             found = spark.range(1).select(F.lit(0).cast("bigint").alias("entries"), F.lit(0).cast("bigint").alias("broken"))
         checks.append(found.select(F.lit(name).alias("document"), "entries", "broken"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.sources.paths import path_exists, qualified
+from sievework.sources.paths import child_files, path_exists
 
 MEGABYTE = 1024 * 1024
 CHECKSUM_SCHEMA = "filename string, size_bytes bigint, md5 string"
@@ -20,17 +20,18 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 def file_inventory(spark: SparkSession, zones: dict[str, str], recursive: bool = False) -> DataFrame:
     """Regular files of each zone folder; a zone that does not exist has none.
 
-    Only files that lie directly in the folder, unless ``recursive``.  ``content`` is never
-    selected, so only the listing is read.
+    Only files that lie directly in the folder, unless ``recursive``: that lists the whole tree,
+    by Spark, and selects no content.  Hidden files (leading dot or underscore) are left out.
     """
     inventory = spark.createDataFrame([], _EMPTY_INVENTORY)
     for zone, path in zones.items():
         if not path_exists(spark, path):
             continue
-        files = _files(spark, path)
-        if not recursive:
-            folder = F.regexp_replace("path", "/[^/]+$", "")
-            files = files.where(folder == qualified(spark, path).rstrip("/"))
+        if recursive:
+            files = _files(spark, path).select("path", "length", "modificationTime")
+        else:
+            direct = [f for f in child_files(spark, path) if f[0][0] not in "._"]
+            files = spark.createDataFrame(direct, "path string, length bigint, millis bigint").withColumn("modificationTime", F.timestamp_millis("millis"))
         listed = files.select(
             F.lit(zone).alias("zone"),
             F.element_at(F.split("path", "/"), -1).alias("filename"),

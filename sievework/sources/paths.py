@@ -26,6 +26,13 @@ def write_committed(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
+def child_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, bytes and time (milliseconds) of the files directly below ``path``; nothing deeper is listed."""
+    files, target = _hadoop(spark, path)
+    listed = files.listStatus(target) if files.exists(target) else []
+    return [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in listed if s.isFile()]
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path`` (version and date folders: a handful)."""
     files, target = _hadoop(spark, path)

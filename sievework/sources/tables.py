@@ -6,14 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from sievework.operators.ordering import number_rows
-from sievework.operators.quantiles import order_statistics
 from sievework.sources.paths import child_folders, write_committed
 
-#: Up to this many rows the sorted head of every task may travel to one task.
-SMALL_HEAD = 1_000
+#: Largest head that may be asked for: it is sorted in one task.
+MAX_HEAD = 1_000_000
 
 
 def _version_path(root: str, version: str, ingest_date: str) -> str:
@@ -99,17 +96,9 @@ def publish(tables: dict[str, DataFrame], uri: str) -> dict[str, str]:
 def head_sample(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """First ``n`` rows in the order of ``order_by``, which must be unique.
 
-    Sorted heads of every task meet in one task, which is fine for a small head.  For a
-    large one the n-th smallest leading key is found first and only rows up to it are
-    sorted; keys that are not numbers are numbered in distributed order instead.
+    Every task keeps its first ``n`` rows and these meet in one, so ``n`` is bounded.  Nothing
+    is written and nothing else is shuffled.
     """
-    ordered = [F.col(f"`{c}`").asc_nulls_last() for c in order_by]
-    if n > SMALL_HEAD:
-        lead = order_by[0]
-        if not isinstance(df.schema[lead].dataType, T.NumericType):
-            numbered = number_rows(df, ordered, "_position")
-            return numbered.where(F.col("_position") <= n).drop("_position")
-        (cutoff,) = order_statistics(df, lead, [n - 1])
-        if cutoff is not None:
-            df = df.where(F.col(f"`{lead}`").cast("double") <= F.lit(cutoff))
-    return df.orderBy(*ordered).limit(n)
+    if n > MAX_HEAD:
+        raise ValueError(f"a head has at most {MAX_HEAD} rows; filter or sample instead")
+    return df.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in order_by]).limit(n)

@@ -102,3 +102,16 @@ def test_digamma_matches_harmonic_numbers(spark):
         assert got[n] == pytest.approx(harmonic - 0.5772156649015329, abs=1e-14)
         harmonic += 1 / n
     assert math.isclose(spark.range(1).select(digamma(F.lit(10**6))).first()[0], 13.815510057964191, abs_tol=1e-12)
+
+
+def test_whole_numbers_keep_all_digits(spark):
+    df = spark.createDataFrame([("9007199254740993",), (" 12 ",), ("3.9",), ("x",), ("99999999999999999999",)], "s string")
+    got = [r[0] for r in df.select(fn.to_long("s", default=None)).collect()]
+    assert got == [9007199254740993, 12, 3, None, None]
+
+
+def test_holiday_rules_start_with_their_first_year(spark):
+    from sievework.operators.features import us_holidays
+
+    names = {r["name"] for r in us_holidays(spark, 1970, 1970).collect()}
+    assert "Memorial Day" not in names and "Veterans Day" not in names and {"Labor Day", "Thanksgiving Day"} <= names

@@ -6,7 +6,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.operators import audit, clean, validate
+from sievework.operators import audit, clean, integrity, validate
 from sievework.plans import catalog, cleaning, exploration, features, ingest, presets, publishing
 from sievework.plans.spec import FeatureSpec
 from sievework.sources import read_json_document
@@ -43,7 +43,7 @@ def flow(spark, tmp_path_factory):
         "incidents", "v1.0", str(source), str(root / "raw"), str(root / "processed"), str(root / "catalog")
     )
     landed = ingest.run_ingest(
-        spark, dataset, presets.INCIDENT_COLUMNS, ["Case Number"], "Primary Type", "Date", "Year", ["ID"], dt.date(2026, 1, 2)
+        spark, dataset, presets.INCIDENT_COLUMNS, ["Case Number"], "Primary Type", "Date", "Year", ["ID"], dt.date(2026, 1, 2), file_md5=True
     )
     spec = presets.incident_cleaning(dt.date(2026, 1, 1))
     spec = type(spec)(**{**spec.__dict__, "rare_threshold": 5})
@@ -61,7 +61,8 @@ def test_ingest_reports(flow, spark):
     assert reports["date_samples"].count() == 5
     manifest = read_json_document(spark, f"{dataset.catalog_zone}/ingestion_manifest").first()
     assert (manifest["row_count"], manifest["column_count"], len(manifest["columns"])) == (406, 22, 22)
-    assert manifest["checksum"] == hashlib.md5((root / "incidents.csv").read_bytes()).hexdigest()
+    assert manifest["checksum"] == integrity.table_fingerprint(landed.table, landed.table.columns).first()["fingerprint"]
+    assert reports["file_checksums"].first()["md5"] == hashlib.md5((root / "incidents.csv").read_bytes()).hexdigest()
 
 
 def test_cleaning_audit_balances(flow):
@@ -78,6 +79,13 @@ def test_cleaning_audit_balances(flow):
     assert result.table.columns == landed.table.columns
 
 
+def test_exact_copies_go_without_the_key_column(flow):
+    _, _, landed, spec, _ = flow
+    result = cleaning.run_cleaning(landed.table.drop("Case Number"), spec)
+    dropped = [r["rows_dropped"] for r in result.audit.orderBy("step_no").collect()]
+    assert dropped[:2] == [1, 0] and min(dropped) >= 0
+
+
 def test_cleaned_values(flow):
     result = flow[4]
     assert {r[0] for r in result.table.select("Primary Type").distinct().collect()} == {

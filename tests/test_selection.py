@@ -79,3 +79,21 @@ def test_neighbour_information_equals_brute_force(spark, block_rows):
 def test_selection_is_strict_and_keeps_candidate_order(spark):
     scores = spark.createDataFrame([("b", 0.1), ("a", 0.2), ("c", 0.005)], "feature string, mi double")
     assert selection.selected_names(scores, ["a", "b", "c"]) == ["a", "b"]
+
+
+def test_keys_that_repeat_or_are_missing(spark):
+    """Information does not depend on whether the key is unique; distinct values need no noise."""
+    rng = np.random.default_rng(3)
+    y = [int(v) for v in rng.integers(0, 2, 400)]
+    x = rng.normal(size=400) + np.array(y)
+    expected = brute_force_knn(x, y, range(400), "x", 3)
+    for keys in (range(400), [i // 4 for i in range(400)], [None if i % 3 else i for i in range(400)]):
+        df = spark.createDataFrame([(k, c, float(v)) for k, c, v in zip(keys, y, x)], "key int, y int, x double").repartition(3)
+        assert selection.mi_knn(df, ["x"], "y", "key").first()["mi"] == pytest.approx(expected, abs=1e-6)
+
+
+def test_samples_keep_rows_without_a_key(spark):
+    df = spark.createDataFrame([(None if i % 2 else 1, i) for i in range(10)], "key int, v int").repartition(3)
+    assert sampling.fixed_sample(df, 100, 1, "key").count() == 10
+    taken = [sorted(r["v"] for r in sampling.fixed_sample(d, 7, 1, "key").collect()) for d in (df, df.repartition(5))]
+    assert taken[0] == taken[1] and len(taken[0]) == 7

@@ -99,6 +99,8 @@ def test_documents(spark, tmp_path):
     (tmp_path / "broken" / "part.json").write_text('{"a": 1}\n{"a": \n')
     checked = {r["document"]: (r["entries"], r["broken"]) for r in sources.document_check(spark, str(tmp_path), ["r", "broken", "gone"]).collect()}
     assert checked == {"r": (2, 0), "broken": (2, 1), "gone": (0, 0)}
+    (tmp_path / "indented.json").write_text('{\n  "a": 1,\n  "b": [1,\n 2]\n}\n')
+    assert tuple(sources.document_check(spark, str(tmp_path), ["indented.json"]).first())[1:] == (1, 0)
 
 
 @pytest.mark.parametrize("n", [3, 1500, 5000])
@@ -108,3 +110,5 @@ def test_head_sample(spark, n):
     for key in ("id", "name"):
         got = sorted(r["id"] for r in sources.head_sample(shuffled, n, [key]).collect())
         assert got == list(range(min(n, 4000)))
+    with pytest.raises(ValueError):
+        sources.head_sample(df, 10**7, ["id"])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sievework.operators import audit, clean, integrity, profile
 from sievework.plans import cleaning
+from sievework.scratch import written
 from workload.incidents import CLEANING, TYPED_COLUMNS, WITH_CLEANED, WITH_RAW, raw_incidents, table
 
 
@@ -38,7 +39,8 @@ def audit_totals(spark: SparkSession, sf: str) -> DataFrame:
 def lineage_counts(spark: SparkSession, sf: str) -> DataFrame:
     raw = raw_incidents(spark, sf)
     result = cleaning.run_cleaning(raw, CLEANING)
-    ends = audit.audit_totals(result.audit)
+    # Written once: it is used three times.
+    ends = written(audit.audit_totals(result.audit), "audit-totals")
     raw_rows = ends.select(F.col("rows_raw").alias("row_count"))
     clean_rows = ends.select(F.col("rows_cleaned").alias("row_count"))
     return audit.lineage(
@@ -80,11 +82,11 @@ def assumption_categories(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def exact_dups(spark: SparkSession, sf: str) -> DataFrame:
-    return integrity.duplicate_row_count(table(spark, sf, "documents").select("text", "lang"))
+    return integrity.duplicate_row_count(raw_incidents(spark, sf))
 
 
 def drop_exact_dups(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.drop_exact_duplicates(table(spark, sf, "documents").select("text", "lang"))
+    return clean.drop_exact_duplicates(raw_incidents(spark, sf))
 
 
 def _daily_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -301,10 +303,11 @@ FROM impacts GROUP BY category""",
     ),
     "exact_dups": (
         exact_dups,
-        """SELECT (SELECT count(*) FROM documents)
-  - (SELECT count(*) FROM (SELECT DISTINCT text, lang FROM documents)) AS duplicate_rows""",
+        WITH_RAW
+        + """SELECT (SELECT count(*) FROM raw_incidents)
+  - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_incidents)) AS duplicate_rows""",
     ),
-    "drop_exact_dups": (drop_exact_dups, "SELECT DISTINCT text, lang FROM documents"),
+    "drop_exact_dups": (drop_exact_dups, WITH_RAW + "SELECT DISTINCT * FROM raw_incidents"),
     "dup_keys": (
         dup_keys,
         """SELECT (SELECT count(*) FROM events)

@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions.text import as_column
-from sievework.operators import encode, features, profile, sampling, selection, validate
-from sievework.plans.features import derive
+from sievework.operators import audit, encode, features, profile, sampling, selection, validate
+from sievework.plans.features import Features, derive, run_features, save_features
 from sievework.plans.ingest import Dataset, ingestion_manifest
-from sievework.scratch import scratch_root, written, written_path
-from sievework.sources.delimited import read_delimited
-from sievework.sources.documents import read_json_document, write_json_document
-from sievework.sources.inventory import file_checksums, file_inventory
+from sievework.plans.publishing import validate_published
+from sievework.scratch import fresh_path, written
+from sievework.sources.delimited import bad_line_count, read_delimited
+from sievework.sources.documents import document_counts, read_json_document, write_json_document
 from sievework.sources.tables import land_raw, publish, read_latest, read_processed, write_processed
-from workload.cleaning import _cleaned
+from workload.cleaning import _cleaned, etl_audit
 from workload.incidents import COLUMNS, FEATURES, WITH_CLEANED, WITH_RAW, raw_incidents, table
-from workload.profiling import LINEITEM_PROFILE
+from workload.profiling import LINEITEM_PROFILE, fingerprint_sql
 
 
 def calendar_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -27,6 +28,12 @@ def calendar_features(spark: SparkSession, sf: str) -> DataFrame:
     return table_.withColumns({c: F.round(c, 9) for c in ("hour_sin", "hour_cos")}).drop("ts")
 
 
+def _order_years(orders: DataFrame) -> DataFrame:
+    """Holidays of all years in which orders were placed."""
+    years = orders.agg(F.year(F.min("o_orderdate")).alias("lo"), F.year(F.max("o_orderdate")).alias("hi")).first()
+    return features.us_holidays(orders.sparkSession, years["lo"], years["hi"])
+
+
 def holidays(spark: SparkSession, sf: str) -> DataFrame:
     """Every holiday of the years orders were placed in, with the orders placed on it."""
     orders = table(spark, sf, "orders")
@@ -34,9 +41,7 @@ def holidays(spark: SparkSession, sf: str) -> DataFrame:
         orders.groupBy(F.to_date("o_orderdate").alias("holiday_date"))
         .agg(F.count("*").alias("orders"))
     )
-    years = orders.agg(F.year(F.min("o_orderdate")).alias("lo"), F.year(F.max("o_orderdate")).alias("hi")).first()
-    calendar = features.us_holidays(spark, years["lo"], years["hi"])
-    return calendar.join(daily, "holiday_date", "left").select(
+    return _order_years(orders).join(daily, "holiday_date", "left").select(
         "holiday_date", "name", F.coalesce("orders", F.lit(0)).alias("orders")
     )
 
@@ -49,7 +54,7 @@ def holiday_flag(spark: SparkSession, sf: str) -> DataFrame:
 def holiday_flag_calendar(spark: SparkSession, sf: str) -> DataFrame:
     """The same flag through a calendar table."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return features.holiday_flag(orders, "o_orderdate", features.us_holidays(spark, 1990, 2010))
+    return features.holiday_flag(orders, "o_orderdate", _order_years(orders))
 
 
 def label_encode(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,7 +152,7 @@ def validate_verdict(spark: SparkSession, sf: str) -> DataFrame:
 
 def delimited_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Incidents written as CSV and read back: quoting, blanks and missing values survive."""
-    path = written_path(spark.range(1), "csv-folder") + "/incidents"
+    path = fresh_path(spark, "csv")
     write_processed(raw_incidents(spark, sf), path, "csv")
     return read_delimited(spark, path, COLUMNS)
 
@@ -155,7 +160,7 @@ def delimited_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 def latest_landed(spark: SparkSession, sf: str) -> DataFrame:
     """Orders landed as two versions; the newest is read."""
     orders = table(spark, sf, "orders")
-    root = written_path(spark.range(1), "zone")
+    root = fresh_path(spark, "zone")
     zone = f"{root}/raw"
     land_raw(orders.where(F.col("o_orderstatus") == "F"), zone, "v1.9", "2026-01-01")
     land_raw(orders, zone, "v1.10", "2025-01-01")
@@ -167,7 +172,7 @@ def latest_landed(spark: SparkSession, sf: str) -> DataFrame:
 
 def published_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Orders and customers published, replaced, and read back from where they were put."""
-    uri = written_path(spark.range(1), "published")
+    uri = fresh_path(spark, "published")
     orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("key"), F.col("o_totalprice").alias("amount"))
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("amount"))
     publish({"orders": customers, "customers": customers}, uri)
@@ -184,23 +189,22 @@ def published_tables(spark: SparkSession, sf: str) -> DataFrame:
 def document_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """A profile written as a JSON document and read back."""
     profiled = profile.profile_columns(table(spark, sf, "lineitem")).drop("inferred_type")
-    path = written_path(spark.range(1), "catalog") + "/profile"
+    path = fresh_path(spark, "profile")
     write_json_document(profiled, path)
     return read_json_document(spark, path, profiled.schema)
 
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """Manifest of the orders table; the sums of all files of the folder stand for the source."""
-    dataset = Dataset("orders", "v1.0", sf, "raw", "processed", "catalog")
-    described = ingestion_manifest(
-        table(spark, sf, "orders"), dataset, "raw/orders", dt.date(2026, 1, 2), file_checksums(spark, sf)
-    )
+    """Manifest of the landed incidents, with a fingerprint of all of their columns."""
+    dataset = Dataset("incidents", "v1.0", sf, "raw", "processed", "catalog")
+    described = ingestion_manifest(raw_incidents(spark, sf), dataset, "raw/incidents", dt.date(2026, 1, 2))
     return described.select(
         "dataset_name",
         "version",
         "ingestion_date",
         "ingestion_mode",
         "raw_path",
+        "checksum",
         "row_count",
         "column_count",
         F.array_join("columns", ",").alias("columns"),
@@ -208,12 +212,78 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def zone_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    return file_inventory(spark, {"data": sf, "nowhere": f"{scratch_root(spark)}/no-such-zone"})
+def bad_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as delimited text in which every seventh key has a field too many, read by each policy."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    surplus = F.when(F.col("o_orderkey") % 7 == 0, F.lit(",surplus")).otherwise(F.lit(""))
+    path = fresh_path(spark, "bad-lines")
+    lines = orders.select(F.concat(F.col("o_orderkey").cast("string"), F.lit(","), "o_orderstatus", surplus).alias("key,status"))
+    # One column under another separator, so that the surplus field is not quoted.
+    lines.write.option("header", True).option("sep", ";").csv(path)
+    warn = read_delimited(spark, path, ["key", "status"]).agg(F.count("*").alias("warn_rows"))
+    keep = read_delimited(spark, path, ["key", "status"], on_bad_lines="keep")
+    kept = keep.agg(F.count("*").alias("keep_rows"), F.sum(F.col("key").cast("bigint")).alias("keep_sum"))
+    counted = bad_line_count(spark, path, ["key", "status"])
+    return counted.select("bad_lines", warn.scalar().alias("warn_rows"), kept.select("keep_rows").scalar().alias("keep_rows"), kept.select("keep_sum").scalar().alias("keep_sum"))
+
+
+#: Candidates scored from contingency tables; the city is the same everywhere and says nothing.
+_SCORED = ("hour", "day_of_week", "city")
+_SELECTED = replace(FEATURES, candidates=_SCORED, discrete=_SCORED, threshold=1e-6, sample_rows=1_000_000)
+
+
+def _feature_flow(spark: SparkSession, sf: str) -> tuple[Features, str]:
+    """The whole flow, saved below a fresh path."""
+    cleaned = _cleaned(spark, sf).withColumnRenamed("ts", "ts_txt").withColumn("city", F.lit(1))
+    flow, zone = run_features(written(cleaned, "cleaned"), _SELECTED), fresh_path(spark, "features")
+    save_features(flow, f"{zone}/matrix", f"{zone}/catalog")
+    return flow, zone
 
 
-def zone_checksums(spark: SparkSession, sf: str) -> DataFrame:
-    return file_checksums(spark, sf)
+def feature_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of the feature flow, written and read back."""
+    flow, zone = _feature_flow(spark, sf)
+    return read_json_document(spark, f"{zone}/catalog/feature_scores", flow.scores.schema).withColumn("mi", F.round("mi", 9))
+
+
+def selected_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """Matrix of the selected features and the label, written and read back."""
+    return read_processed(spark, f"{_feature_flow(spark, sf)[1]}/matrix")
+
+
+def published_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Two tables published, then zones, files, documents, columns and rows checked; some are absent on purpose."""
+    cleaned = written(_cleaned(spark, sf), "cleaned")
+    labels = encode.label_mapping(cleaned, "type")
+    features_ = encode.label_encode(cleaned, "type", "type_label", labels).select("lat", "lon", "type_label")
+    uri = fresh_path(spark, "published")
+    places = publish({"cleaned": cleaned, "features": features_}, uri)
+    write_json_document(audit.audit_totals(etl_audit(spark, sf)), f"{uri}/etl_report")
+    return validate_published(
+        spark,
+        places,
+        ["id", "ts", "type", "block"],
+        ["lat", "lon"],
+        "type_label",
+        [validate.null_rule("type"), validate.range_rule("ward", 1, 50)],
+        expected_files=[("published", "absent.bin")],
+        zones={"published": uri, "nowhere": f"{uri}/nowhere"},
+        catalog_zone=uri,
+        documents=["etl_report", "absent"],
+    )
+
+
+def document_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of the lists and maps of a document made from the orders."""
+    orders = table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority").distinct()
+    by_status = orders.groupBy("o_orderstatus").agg(F.collect_list("o_orderpriority").alias("entries"))
+    stages = orders.agg(F.collect_set("o_orderpriority").alias("stages")).scalar()
+    document = by_status.agg(F.map_from_entries(F.collect_list(F.struct("o_orderstatus", "entries"))).alias("categories"))
+    document = document.select(stages.alias("stages"), "categories")
+    path = fresh_path(spark, "document")
+    write_json_document(document, path)
+    counts = document_counts(read_json_document(spark, path, document.schema))
+    return counts.select(*[F.col(c).cast("bigint").alias(c) for c in counts.columns])
 
 
 _CALENDAR = """
@@ -229,7 +299,10 @@ _CIRCLE = """
 
 # Weekday rules as the n-th (or last) such day of a month, unlike the day ranges used in Spark.
 _HOLIDAYS = """
-years AS (SELECT unnest(range(1990, 2031)) AS y),
+years AS (
+  SELECT unnest(range(min(y) - 1, max(y) + 2)) AS y
+  FROM (SELECT year(o_orderdate) AS y FROM orders UNION ALL SELECT year(ts) FROM events)
+),
 months AS (
   SELECT y, m, d, isodow(d) AS dow,
     row_number() OVER (PARTITION BY y, m, isodow(d) ORDER BY d) AS nth,
@@ -284,6 +357,18 @@ scores AS (
 )
 """
 
+_FEATURE_SCORES = """, labelled AS (SELECT hour(ts) AS hour, isodow(ts) AS dow, type FROM cleaned),
+f AS (SELECT 'hour' AS feature, hour AS x, type FROM labelled UNION ALL SELECT 'day_of_week', dow, type FROM labelled
+  UNION ALL SELECT 'city', 1, type FROM labelled),
+cells AS (SELECT feature, x, type, count(*)::DOUBLE AS n FROM f GROUP BY ALL),
+shares AS (
+  SELECT feature, n, sum(n) OVER (PARTITION BY feature) AS total,
+    sum(n) OVER (PARTITION BY feature, x) AS nx, sum(n) OVER (PARTITION BY feature, type) AS ny
+  FROM cells
+),
+scores AS (SELECT feature, greatest(sum(n / total * ln(n * total / (nx * ny))), 0) + 0.0::DOUBLE AS mi FROM shares GROUP BY feature)
+"""
+
 QUERIES = {
     "calendar_features": (
         calendar_features,
@@ -350,6 +435,18 @@ GROUP BY 1, 2""",
   CAST(dense_rank() OVER (ORDER BY CAST(ward AS VARCHAR)) - 1 AS INTEGER) AS area_enc,
   CAST(dense_rank() OVER (ORDER BY type) - 1 AS INTEGER) AS type_label
 FROM cleaned""",
+    ),
+    "feature_scores": (feature_scores, WITH_CLEANED + _FEATURE_SCORES + "SELECT feature, round(mi, 9) AS mi FROM scores"),
+    "selected_matrix": (
+        selected_matrix,
+        WITH_CLEANED
+        + """SELECT CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
+  CAST(dense_rank() OVER (ORDER BY type) - 1 AS INTEGER) AS type_label FROM cleaned""",
+    ),
+    "bad_lines": (
+        bad_lines,
+        """SELECT count(*) FILTER (o_orderkey % 7 = 0) AS bad_lines, count(*) FILTER (o_orderkey % 7 <> 0) AS warn_rows,
+  count(*) AS keep_rows, CAST(sum(o_orderkey) AS BIGINT) AS keep_sum FROM orders""",
     ),
     "fixed_sample": (
         fixed_sample,
@@ -436,11 +533,33 @@ UNION ALL SELECT 'customers', count(*), round(sum(c_acctbal), 2) FROM customer""
     "document_round_trip": (document_round_trip, LINEITEM_PROFILE),
     "manifest": (
         manifest,
-        """SELECT 'orders' AS dataset_name, 'v1.0' AS version, '2026-01-02' AS ingestion_date,
-  'batch' AS ingestion_mode, 'raw/orders' AS raw_path, (SELECT count(*) FROM orders) AS row_count,
-  count(*) AS column_count, string_agg(column_name, ',') AS columns, 'raw' AS raw_zone
-FROM (DESCRIBE orders)""",
+        WITH_RAW
+        + ", print AS ("
+        + fingerprint_sql("raw_incidents", [], COLUMNS)
+        + f""")
+SELECT 'incidents' AS dataset_name, 'v1.0' AS version, '2026-01-02' AS ingestion_date, 'batch' AS ingestion_mode,
+  'raw/incidents' AS raw_path, fingerprint AS checksum, row_count, CAST({len(COLUMNS)} AS BIGINT) AS column_count,
+  '{",".join(COLUMNS)}' AS columns, 'raw' AS raw_zone FROM print""",
+    ),
+    "published_validation": (
+        published_validation,
+        WITH_CLEANED
+        + """, results(rule, failures) AS (
+  SELECT 'schema:cleaned', 1::BIGINT
+  UNION ALL SELECT 'schema:features', 0
+  UNION ALL SELECT 'not_null:type', count(*) FILTER (type IS NULL) FROM cleaned
+  UNION ALL SELECT 'in_range:ward', count(*) FILTER (NOT ward BETWEEN 1 AND 50) FROM cleaned
+  UNION ALL SELECT 'classes:type_label', CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM cleaned
+  UNION ALL SELECT 'zone:published', 0 UNION ALL SELECT 'zone:nowhere', 1
+  UNION ALL SELECT 'files:published', 1
+  UNION ALL SELECT 'document:etl_report', 0 UNION ALL SELECT 'document:absent', 1
+)
+SELECT rule, failures, failures = 0 AS passed FROM results""",
+    ),
+    "document_sizes": (
+        document_sizes,
+        """SELECT count(*) AS stages_count, (SELECT count(DISTINCT o_orderstatus) FROM orders) AS categories_count,
+  (SELECT count(*) FROM (SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders)) AS categories_total
+FROM (SELECT DISTINCT o_orderpriority FROM orders)""",
     ),
-    "zone_inventory": (zone_inventory, None),
-    "zone_checksums": (zone_checksums, None),
 }

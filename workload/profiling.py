@@ -203,12 +203,12 @@ catalog AS (
 )"""
 
 
-def _fingerprint_sql(name: str, numbers: list[str], texts: list[str]) -> str:
+def fingerprint_sql(name: str, numbers: list[str], texts: list[str]) -> str:
     fields = [f"coalesce(CAST({c} AS VARCHAR), '-')" for c in numbers]
     fields += [f"coalesce(length({c}) || ':' || {c}, '-')" for c in texts]
-    return f"""SELECT count(*) AS row_count,
-  CAST(sum(('0x' || substr(md5(concat_ws('|', {", ".join(fields)})), 1, 8))::BIGINT) AS VARCHAR) AS fingerprint
-FROM {name}"""
+    row_hash = f"md5(concat_ws('|', {', '.join(fields)}))"
+    words = [f"CAST(sum(('0x' || substr({row_hash}, {8 * i + 1}, 8))::BIGINT) AS VARCHAR)" for i in range(4)]
+    return f"SELECT count(*) AS row_count, concat_ws('-', {', '.join(words)}) AS fingerprint FROM {name}"
 
 
 QUERIES = {
@@ -252,9 +252,9 @@ UNION ALL SELECT 'o_orderpriority', count(*) FILTER (o_orderpriority IS NULL),
     "excluded_columns": (excluded_columns, "SELECT * EXCLUDE (l_linestatus) FROM lineitem"),
     "table_fingerprint": (
         table_fingerprint,
-        _fingerprint_sql("lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], ["l_returnflag"]),
+        fingerprint_sql("lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], ["l_returnflag"]),
     ),
-    "text_fingerprint": (text_fingerprint, _fingerprint_sql("documents", ["doc_id"], ["text"])),
+    "text_fingerprint": (text_fingerprint, fingerprint_sql("documents", ["doc_id"], ["text"])),
     "shape": (shape, "SELECT count(*) AS row_count, 6::BIGINT AS column_count FROM orders"),
     "distinct_counts": (distinct_counts, "SELECT count(DISTINCT p_type) AS distinct_count FROM part"),
     "sample_values": (
