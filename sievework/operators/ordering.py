@@ -18,6 +18,13 @@ from sievework.scratch import written
 
 _SLICE = "_slice"
 _START = "_start"
+_PLACE = "_place"
+
+
+def _starts(totals: DataFrame) -> DataFrame:
+    """Total of all slices before each; one row per slice, so at most spark.sql.shuffle.partitions rows."""
+    before = W.orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+    return totals.select(_SLICE, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias(_START))
 
 
 def running_total(df: DataFrame, order_by: Sequence[Column], weight: Column, out: str) -> DataFrame:
@@ -32,12 +39,7 @@ def running_total(df: DataFrame, order_by: Sequence[Column], weight: Column, out
         .withColumn(_SLICE, F.spark_partition_id()),
         "slices",
     )
-    # One row per slice, so at most spark.sql.shuffle.partitions rows.
-    totals = sliced.groupBy(_SLICE).agg(F.sum("_weight").alias("_total"))
-    before = W.orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select(
-        _SLICE, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias(_START)
-    )
+    starts = _starts(sliced.groupBy(_SLICE).agg(F.sum("_weight").alias("_total")))
     within = W.partitionBy(_SLICE).orderBy(*order_by).rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
         sliced.join(F.broadcast(starts), _SLICE)
@@ -47,5 +49,14 @@ def running_total(df: DataFrame, order_by: Sequence[Column], weight: Column, out
 
 
 def number_rows(df: DataFrame, order_by: Sequence[Column], out: str) -> DataFrame:
-    """Add ``out``: the 1-based position of the row in the order of a unique key."""
-    return running_total(df, order_by, F.lit(1).cast("bigint"), out)
+    """Add ``out``: the 1-based position of the row in the order of a unique key.
+
+    The slices are sorted before they are written, so a row's place in its slice is the low part
+    of the id that Spark gives it there: one shuffle, and no window.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    sliced = written(ranged.withColumn(_SLICE, F.spark_partition_id()).withColumn(_PLACE, place), "slices")
+    starts = _starts(sliced.groupBy(_SLICE).agg(F.count("*").alias("_total")))
+    numbered = sliced.join(F.broadcast(starts), _SLICE).withColumn(out, F.col(_START) + F.col(_PLACE) + 1)
+    return numbered.drop(_SLICE, _START, _PLACE)

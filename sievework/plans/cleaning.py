@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions.casts import parse_timestamp, to_bool, to_double, to_long
 from sievework.functions.text import as_column, standardize
-from sievework.operators import audit, clean
+from sievework.operators import audit, clean, integrity
 from sievework.operators.profile import table_shape
 from sievework.plans.spec import CleaningSpec
 from sievework.scratch import written
@@ -66,6 +66,8 @@ def typed(df: DataFrame, spec: CleaningSpec) -> DataFrame:
             return parse_timestamp(column)
         if name in spec.doubles or name in spec.fence_columns:
             return to_double(column)
+        if name in spec.long_keys:
+            return to_long(column, default=None)
         if name in spec.longs:
             return to_long(column)
         if name in spec.booleans:
@@ -110,7 +112,7 @@ def run_cleaning(raw: DataFrame, spec: CleaningSpec) -> Cleaned:
         audit=audit.audit_table(
             table_shape(raw),
             [
-                audit.rows_after_step(clean.drop_exact_duplicates(raw), "drop_exact_duplicates", 1),
+                audit.rows_after_step(integrity.row_hashes(raw).distinct(), "drop_exact_duplicates", 1),
                 audit.rows_after_step(staged, "dedup_key", 2),
                 audit.rows_after_steps(staged, steps, first_no=3),
             ],

@@ -62,20 +62,6 @@ CANDIDATES = (
     "is_crowded",
     "community_area_enc",
 )
-PUBLISHED_FEATURES = (
-    "hour",
-    "is_weekend",
-    "is_night",
-    "hour_sin",
-    "hour_cos",
-    "Latitude",
-    "Longitude",
-    "is_crowded",
-    "community_area_enc",
-)
-
-# Last year of the training, validation and test period.
-SPLIT_YEARS = (2020, 2022, 2024)
 
 # Column annotations as (name, declared type, nullable, zone, role).
 _ANNOTATIONS = [
@@ -123,6 +109,7 @@ def incident_cleaning(as_of: dt.date) -> CleaningSpec:
         as_of=as_of,
         rare_threshold=RARE_THRESHOLD,
         fill_unknown=("Description", "Location Description", "Block", "FBI Code", "IUCR"),
+        long_keys=("ID",),
         longs=("Beat", "District", "Ward", "Community Area", "Year"),
         doubles=("Latitude", "Longitude", "X Coordinate", "Y Coordinate"),
         booleans=("Arrest", "Domestic"),

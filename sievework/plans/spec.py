@@ -29,6 +29,7 @@ class CleaningSpec:
     rare_threshold: int
     fill_unknown: tuple[str, ...] = ()
     longs: tuple[str, ...] = ()
+    long_keys: tuple[str, ...] = ()
     doubles: tuple[str, ...] = ()
     booleans: tuple[str, ...] = ()
     texts: tuple[str, ...] = ()

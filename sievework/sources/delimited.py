@@ -14,9 +14,11 @@ _LINE = "_line"
 _QUOTED = r'"(?:[^"]|"")*"'
 
 
-def _scan(spark: SparkSession, path: str | list[str], columns: Sequence[str], sep: str) -> DataFrame:
+def _scan(spark: SparkSession, path: str | list[str], columns: Sequence[str], sep: str, multi_line: bool = False) -> DataFrame:
     """All-text scan that keeps the raw line of every row whose field count is off.
 
+    The header of every file must name the columns in their order, else the query fails.
+
     Column pruning is off for this scan: with it the parser would only count the fields
     a query asks for, and the answer would depend on the query.
     """
@@ -31,6 +33,8 @@ def _scan(spark: SparkSession, path: str | list[str], columns: Sequence[str], se
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _LINE)
         .option("columnPruning", False)
+        .option("enforceSchema", False)
+        .option("multiLine", multi_line)
         .csv(path)
     )
 
@@ -54,17 +58,18 @@ def read_delimited(
     sep: str = ",",
     on_bad_lines: str = "warn",
     missing_tokens: Sequence[str] = DEFAULT_MISSING_TOKENS,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read delimited text with a header line; every column is a string.
 
     Short rows are padded with NULL.  Rows with too many fields follow
     ``on_bad_lines``: ``warn`` leaves them out (:func:`bad_line_count` says how many),
     ``error`` fails the query, ``keep`` cuts the surplus fields off.  Quoted newlines
-    are not supported, so that one large file can be read by many tasks.
+    need ``multi_line``; then one file is read by one task, else by many.
     """
     if len(sep) != 1:
         raise ValueError("sep must be one character")
-    rows = _scan(spark, path, columns, sep)
+    rows = _scan(spark, path, columns, sep, multi_line)
     too_long = _too_long(columns, sep)
     if on_bad_lines == "warn":
         rows = rows.where(~too_long)

@@ -112,3 +112,14 @@ def test_head_sample(spark, n):
         assert got == list(range(min(n, 4000)))
     with pytest.raises(ValueError):
         sources.head_sample(df, 10**7, ["id"])
+
+
+def test_quoted_newlines_and_headers(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('a,b,c\n1,"x\ny",3\n4,5,6\n')
+    read = sources.read_delimited(spark, str(tmp_path / "a.csv"), COLUMNS, multi_line=True)
+    assert rows(read) == [("1", "x\ny", "3"), ("4", "5", "6")]
+    (tmp_path / "mixed").mkdir()
+    (tmp_path / "mixed" / "one.csv").write_text("a,b,c\n1,2,3\n")
+    (tmp_path / "mixed" / "two.csv").write_text("b,a,c\n2,1,3\n")
+    with pytest.raises(Exception, match="header"):
+        sources.read_delimited(spark, str(tmp_path / "mixed"), COLUMNS).collect()
