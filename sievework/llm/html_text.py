@@ -41,9 +41,11 @@ BOILERPLATE_TAGS = frozenset("nav footer aside form header menu dialog label".sp
 ARTICLE_TAGS = frozenset("article main".split())
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navigation navbar menu breadcrumb breadcrumbs "
-    "sidebar aside footer header masthead cookie cookies consent notice notices alert popup modal overlay comment comments respond replies reader "
+    "sidebar aside footer header masthead cookie cookies consent notice notices alert popup modal overlay comment comments respond replies "
     "disqus share sharing social related recommended newsletter subscribe subscription signup login pagination pager widget toolbar copyright legal".split()
 )
+#: Two such words together in a class or id name the body of an article.
+ARTICLE_NAMES, BODY_NAMES = frozenset("article story post entry".split()), frozenset("body content text".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
 _TOKEN = re.compile(
@@ -54,7 +56,7 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_NAMES = re.compile(r"[a-z]+")
+_NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -66,18 +68,41 @@ class Block:
         self.text, self.linked, self.place = text, linked, place
 
 
-def _is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
-    if name in BOILERPLATE_TAGS and not (name == "header" and in_article):
+def _is_boilerplate(name: str, attributes: list[tuple[str, str]], in_article: bool) -> bool:
+    """Whether an element is for something else than text; the head of an article belongs to it."""
+    allowed = {"header"} if in_article else set()
+    if name in BOILERPLATE_TAGS - allowed:
         return True
-    for key, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
-        key, value = key.lower(), "".join(values).lower()
-        if key in ("class", "id") and not BOILERPLATE_NAMES.isdisjoint(_NAMES.findall(value)):
-            return not (in_article and name == "header")
+    for key, value in attributes:
+        if key in ("class", "id") and (BOILERPLATE_NAMES - allowed).intersection(_words_of(value)):
+            return True
+        value = value.lower()
         if key == "role" and value in BOILERPLATE_ROLES or key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _HIDDEN.search(value):
             return True
     return False
 
 
+def _is_article(name: str, attributes: list[tuple[str, str]]) -> bool:
+    if name in ARTICLE_TAGS:
+        return True
+    for key, value in attributes:
+        if key == "role" and value.lower() == "main" or key == "itemprop" and value == "articleBody":
+            return True
+        if key in ("class", "id"):
+            words = _words_of(value)
+            if ARTICLE_NAMES.intersection(words) and BODY_NAMES.intersection(words):
+                return True
+    return False
+
+
+def _words_of(value: str) -> set[str]:
+    return {w.lower() for w in _NAMES.findall(value)}
+
+
+def _attributes(text: str) -> list[tuple[str, str]]:
+    return [(key.lower(), "".join(values)) for key, *values in _ATTRIBUTE.findall(text)] if text.strip() else []
+
+
 def blocks_of(page: str) -> list[Block]:
     """Blocks in page order; ``place`` is True inside an article, False inside boilerplate, else None."""
     found: list[Block] = []
@@ -141,7 +166,8 @@ def blocks_of(page: str) -> list[Block]:
                 if stack[depth][0] in BLOCKS:
                     break
         _, boilerplate, article, link = stack[-1]
-        stack.append((name, boilerplate or _is_boilerplate(name, token["rest"], article), article or name in ARTICLE_TAGS, link or name == "a"))
+        attributes = _attributes(token["rest"]) if name != "a" else []
+        stack.append((name, boilerplate or _is_boilerplate(name, attributes, article), article or _is_article(name, attributes), link or name == "a"))
     flush()
     return found
 

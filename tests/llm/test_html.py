@@ -22,6 +22,8 @@ LONG = "The river runs under the old bridge and it is cold in the morning, with
         (f"<div><a href=x>Menu item number one</a></div><div>{LONG}</div>", LONG),
         (f"<p>Kicker</p><p>{LONG}</p><p>Signed</p>", f"Kicker\n\n{LONG}\n\nSigned"),
         ("<p>Just a short line</p>", ""),
+        ("<div class='article-body'><div class='article-header'>Head</div><p>Short</p><div class='relatedPosts'>other</div></div>", "Head\n\nShort"),
+        ("<div id='pageHeader'>" + LONG + "</div><div role=main><p>Text</p></div>", "Text"),
         ("<div id='cookie-notice'><p>" + LONG + "</p></div>", ""),
         ("<p>5 < 6 and < 7</p><article>x < y</article>", "5 < 6 and < 7\n\nx < y"),
         ("<article><p title='a > b'>attribute</p><p hidden>unseen</p></article>", "attribute"),
