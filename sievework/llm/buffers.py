@@ -57,11 +57,12 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit hashes."""
-    h = h ^ (h >> np.uint64(32))
-    h = h * np.uint64(0xD6E8FEB86659FD93)
+    h = h >> np.uint64(32) ^ h
+    h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(32))
+    h ^= h >> np.uint64(32)
+    return h
 
 
 class PrefixHash:
@@ -89,7 +90,9 @@ class PrefixHash:
         n = len(data)
         self._grow(n)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(self._letters[data] * self._powers[:n], out=self.sums[1:])
+        terms = self._letters[data]
+        terms *= self._powers[:n]
+        np.cumsum(terms, out=self.sums[1:])
 
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hash of every ``[start, end)``."""
@@ -98,7 +101,9 @@ class PrefixHash:
     def windows(self, width: int) -> np.ndarray:
         """Hash of every window of ``width`` bytes, by start."""
         n = max(len(self.sums) - width, 0)
-        return mixed((self.sums[width:] - self.sums[:n]) * self._inverse[:n]) if n else np.zeros(0, np.uint64)
+        found = self.sums[width:] - self.sums[:n]
+        found *= self._inverse[:n]
+        return mixed(found)
 
 
 def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.buffers import chunks, mixed, ragged
+from sievework.llm.buffers import CHUNK_BYTES, chunks, mixed, ragged
 
 #: Rows between tasks: a packed block of records for a bucket, or finished spans on their way to ``dest``.
 ROUTED = "bucket int, dest int, block binary"
@@ -30,7 +30,7 @@ BUCKETS_EACH = 2
 #: Finished spans a task holds, and bytes of text it packs or works on at once; no effect on results.
 HELD_SPANS = 200_000
 PACKED_BYTES = 4 << 20
-WORKED_BYTES = 3 << 20
+WORKED_BYTES = 3 << 19
 LEVEL = 2
 
 Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -232,7 +232,7 @@ def with_spans(rows: DataFrame, found: DataFrame, dests: np.ndarray, use: Callab
         offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
         low, n = 0, len(mine)
         while low < n:
-            high = min(max(int(np.searchsorted(offsets, offsets[low] + 2 * WORKED_BYTES, "right")) - 1, low + 1), n)
+            high = min(max(int(np.searchsorted(offsets, offsets[low] + CHUNK_BYTES, "right")) - 1, low + 1), n)
             for out in use(key.slice(low, high - low), tags[low:high], text[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], mine[low:high]):
                 if rest is None:
                     yield out

@@ -17,7 +17,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from sievework.llm.buffers import PrefixHash, binary_array, chunks, covered, mixed, ragged, word_spans
 from sievework.llm.spans import (

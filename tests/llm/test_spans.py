@@ -76,10 +76,8 @@ def test_a_window_as_wide_as_the_anchor(spark):
 def test_small_pieces_give_the_same(spark, monkeypatch):
     rows = mixed_rows()
     expected = plain(rows, lambda t: t.encode(), 50, bytes)
-    work = suffix_dedup.sort_suffixes(50, 16)
     monkeypatch.setattr(suffix_dedup, "SORTED", 3)
     monkeypatch.setattr(suffix_dedup, "EXPANDED", 2)
-    assert work is not None
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(df).collect())
     assert got == expected
