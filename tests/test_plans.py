@@ -98,7 +98,7 @@ def test_cleaned_values(flow):
     )
     assert result.table.where(F.col("Location Description") == "UNKNOWN").count() > 100
     first = result.table.where(F.col("Case Number") == "HX5").collect()
-    assert len(first) == 1 and first[0]["ID"] == "5"
+    assert len(first) == 1 and first[0]["ID"] == 5
 
 
 def test_skipping_the_exact_duplicate_step_changes_nothing(flow):
