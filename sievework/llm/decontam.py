@@ -96,6 +96,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     Items without words or without a number match nothing, null and empty texts hold nothing, documents shorter than an item
     have no window of its size.  Rows of one key and text are one document; rows with a null key are left out.
     """
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("minus"))).alias("best")
+    found = document_leaks(docs, benchmark, key, text, item, threshold, radius).groupBy("key", "item").agg(best)
+    return found.select(F.col("key").alias(key), F.col("item").alias(item), (-F.col("best.minus")).alias("start"), F.col("best.similarity").alias("similarity"))
+
+
+def document_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", threshold: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """The same by document, ``key`` and ``tag`` (hash of the text): ``key``, ``tag``, ``item``, ``start``, ``similarity``."""
     hashed = benchmark.select(F.col(item).alias("item"), word_hashes(F.col(text)).alias("h")).filter(F.col("item").isNotNull() & (F.size("h") > 0))
     items = hashed.withColumn("width", F.least(F.size("h"), F.lit(SHINGLE))).withColumn("s", by_width(F.col("width"), F.col("h")))
     items = written(items.select("item", "width", "s", F.size("s").alias("n"), fingerprint(F.col("s")).alias("item_fp")), "items")
@@ -112,7 +119,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         hits.append(found.join(F.broadcast(mine) if few else mine, "shingle").select("key", "tag", "item", "width", "n", "k", (F.col("at") - F.col("k")).alias("start")))
     if not hits:
         none = F.lit(None)
-        return rows.filter(F.lit(False)).select(F.col("key").alias(key), none.cast("long").alias(item), none.cast("int").alias("start"), none.cast("double").alias("similarity"))
+        return rows.filter(F.lit(False)).select("key", "tag", none.cast("long").alias("item"), none.cast("int").alias("start"), none.cast("double").alias("similarity"))
     shared = reduce(DataFrame.unionByName, hits).groupBy("key", "tag", "item", "width", "n").agg(F.size(F.collect_set("k")).alias("common"), F.collect_set("start").alias("starts"))
     # Similarity t of two times n shingles needs 2tn / (1 + t) common ones.
     enough = shared.filter(F.col("common") * (1 + threshold) >= 2 * threshold * F.col("n") - 1e-9)
@@ -135,5 +142,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     within = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius
     close = probes.join(index, [*shape, "block", "bits"]).filter(within).select(*shape, "fp", "item").distinct()
     alike = windows.join(close, [*shape, "fp"]).join(items.select("item", "s"), "item").withColumn("similarity", similarity(F.col("window"), F.col("s")))
-    best = alike.filter(F.col("similarity") >= threshold).groupBy("key", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("minus"))).alias("best"))
-    return best.select(F.col("key").alias(key), F.col("item").alias(item), (-F.col("best.minus")).alias("start"), F.col("best.similarity").alias("similarity"))
+    best = alike.filter(F.col("similarity") >= threshold).groupBy("key", "tag", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("minus"))).alias("best"))
+    return best.select("key", "tag", "item", (-F.col("best.minus")).alias("start"), F.col("best.similarity").alias("similarity"))

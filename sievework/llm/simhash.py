@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from sievework.llm.buffers import chunks
 from sievework.llm.graph import components
+from sievework.llm.spans import one_row_each, tagged
 from sievework.llm.words import joined_words
 from sievework.scratch import written
 
@@ -207,14 +208,13 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, radius: int = 4) -> DataFrame:
-    """The rows of ``df`` without near duplicates: of each group the one with the smallest key stays.
+    """The rows of ``df`` without near duplicates: of each group the document with the smallest key stays.
 
-    Of rows that repeat a key one stays, without a rule as to which.  Rows with a null key stay: no decision can name them.
+    Rows of one key and text are one document, of which one row stays; of documents of one key
+    and group the one with the smallest text hash does.  Rows with a null key stay: no decision can name them.
     """
-    found = near_duplicates(df, key, text, words, radius)
-    dropped = written(found.filter(F.col(key) != F.col("component_id")).select(key).distinct(), "near-duplicates")
-    repeated = written(df.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key), "repeated-keys")
-    kept = df.join(dropped, key, "left_anti")
-    if repeated.isEmpty():
-        return kept
-    return kept.join(repeated, key, "left_anti").unionByName(kept.join(repeated, key, "left_semi").dropDuplicates([key]))
+    rows = tagged(df, key, text)
+    named = rows.select(F.when(F.col("key").isNotNull(), F.struct("key", "tag")).alias("document"), "text")
+    found = near_duplicates(named, "document", "text", words, radius)
+    dropped = found.filter(F.col("document") != F.col("component_id")).select("document.key", "document.tag").distinct()
+    return one_row_each(df, written(dropped, "near-duplicates"), key, text)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.buffers import CHUNK_BYTES, chunks, mixed, ragged
+from sievework.scratch import written
 
 #: Rows between tasks: a packed block of records for a bucket, or finished spans on their way to ``dest``.
 ROUTED = "bucket int, dest int, block binary"
@@ -46,6 +47,32 @@ def tagged(df: DataFrame, key: str, text: str, rest: list[str] | None = None) ->
     return df.select(F.col(key).cast("long").alias("key"), F.hash(whole).alias("tag"), whole.alias("text"), *more)
 
 
+def without(df: DataFrame, documents: DataFrame, key: str = "doc_id", text: str = "text", how: str = "left_anti") -> DataFrame:
+    """Rows of ``df`` that are none of the ``documents`` (``key``, ``tag``)."""
+    names = {c: _unused(df, f"other_{c}") for c in ("key", "tag")}
+    other = documents.select(*(F.col(c).alias(n) for c, n in names.items()))
+    same = (F.col(key).cast("long") == F.col(names["key"])) & (F.hash(F.col(text).cast("string")) == F.col(names["tag"]))
+    return df.join(other, same, how)
+
+
+def one_row_each(df: DataFrame, dropped: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``df`` but those of the documents ``dropped`` (``key``, ``tag``), each document once."""
+    kept = without(df, dropped, key, text)
+    repeated = tagged(df, key, text).filter("key IS NOT NULL").groupBy("key", "tag").count().filter("count > 1")
+    repeated = written(repeated.select("key", "tag"), "repeated-documents")
+    if repeated.isEmpty():
+        return kept
+    own = _unused(df, "own_tag")
+    once = without(kept, repeated, key, text, "left_semi").withColumn(own, F.hash(F.col(text).cast("string"))).dropDuplicates([key, own]).drop(own)
+    return without(kept, repeated, key, text).unionByName(once)
+
+
+def _unused(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def even_buckets(df: DataFrame, each: int) -> np.ndarray:
     """Bucket numbers, ``each`` for every shuffle partition, that hash partitioning sends there."""
     spark = df.sparkSession
