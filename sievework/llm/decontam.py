@@ -3,7 +3,7 @@
 1. Word shingles of documents that also occur in a benchmark item say where the item may begin.
    A window with enough similarity shares most shingles, so pairs with fewer distinct shared shingles
    than the similarity needs are left out, and what is left has a handful of possible beginnings.
-2. At each of these a window with as many words as the item gets a SimHash fingerprint.
+2. At each of these a window with as many words as the item (a whole document with fewer) gets a SimHash fingerprint.
 3. Fingerprints are cut into ``radius + 1`` blocks: within the radius at least one block is equal, so
    joining on (size, block, bits) finds all fingerprints of items within the radius.  Each different
    fingerprint is looked up once, however many documents hold it.
@@ -87,21 +87,21 @@ def blocks(fp: Column, radius: int) -> Column:
     return F.array(*(F.struct(F.lit(i).alias("block"), part(a, b).alias("bits")) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", threshold: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", threshold: float = SIMILARITY, radius: int = RADIUS, shorter: bool = False) -> DataFrame:
     """``key``, ``item``, ``similarity`` of the best window and its first word ``start`` (of equally good ones
     the first that lines up with a shingle of the item).
 
     One row for every document and item of which a window with the item's number of words has
     ``threshold`` similarity or more.  Shingles have five words; an item with fewer words is one shingle.
-    Items without words or without a number match nothing, null and empty texts hold nothing, documents shorter than an item
-    have no window of its size.  Rows of one key and text are one document; rows with a null key are left out.
+    Items without words or without a number match nothing, null and empty texts hold nothing.  With ``shorter`` the
+    window of a document with fewer words than the item is the whole document; else it has none.  Rows of one key and text are one document; rows with a null key are left out.
     """
     best = F.max(F.struct("similarity", (-F.col("start")).alias("minus"))).alias("best")
-    found = document_leaks(docs, benchmark, key, text, item, threshold, radius).groupBy("key", "item").agg(best)
+    found = document_leaks(docs, benchmark, key, text, item, threshold, radius, shorter).groupBy("key", "item").agg(best)
     return found.select(F.col("key").alias(key), F.col("item").alias(item), (-F.col("best.minus")).alias("start"), F.col("best.similarity").alias("similarity"))
 
 
-def document_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", threshold: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+def document_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", threshold: float = SIMILARITY, radius: int = RADIUS, shorter: bool = False) -> DataFrame:
     """The same by document, ``key`` and ``tag`` (hash of the text): ``key``, ``tag``, ``item``, ``start``, ``similarity``."""
     hashed = benchmark.select(F.col(item).alias("item"), word_hashes(F.col(text)).alias("h")).filter(F.col("item").isNotNull() & (F.size("h") > 0))
     items = hashed.withColumn("width", F.least(F.size("h"), F.lit(SHINGLE))).withColumn("s", by_width(F.col("width"), F.col("h")))
@@ -115,24 +115,26 @@ def document_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", t
     for width in widths:
         mine = needles.filter(F.col("width") == width)
         # The hashes are a column of their own: inside the shingle function they would be made anew for each shingle.
-        found = rows.withColumn("h", word_hashes(F.col("text"))).select("key", "tag", F.posexplode(shingle_hashes(F.col("h"), width)).alias("at", "shingle"))
-        hits.append(found.join(F.broadcast(mine) if few else mine, "shingle").select("key", "tag", "item", "width", "n", "k", (F.col("at") - F.col("k")).alias("start")))
+        found = rows.withColumn("h", word_hashes(F.col("text"))).select("key", "tag", F.size("h").alias("words"), F.posexplode(shingle_hashes(F.col("h"), width)).alias("at", "shingle"))
+        hits.append(found.join(F.broadcast(mine) if few else mine, "shingle").select("key", "tag", "words", "item", "width", "n", "k", (F.col("at") - F.col("k")).alias("start")))
     if not hits:
         none = F.lit(None)
         return rows.filter(F.lit(False)).select("key", "tag", none.cast("long").alias("item"), none.cast("int").alias("start"), none.cast("double").alias("similarity"))
-    shared = reduce(DataFrame.unionByName, hits).groupBy("key", "tag", "item", "width", "n").agg(F.size(F.collect_set("k")).alias("common"), F.collect_set("start").alias("starts"))
-    # Similarity t of two times n shingles needs 2tn / (1 + t) common ones.
-    enough = shared.filter(F.col("common") * (1 + threshold) >= 2 * threshold * F.col("n") - 1e-9)
+    shared = reduce(DataFrame.unionByName, hits).groupBy("key", "tag", "words", "item", "width", "n").agg(F.size(F.collect_set("k")).alias("common"), F.collect_set("start").alias("starts"))
+    # Similarity t of m and n shingles needs t(m + n) / (1 + t) common ones; m is below n only where the whole document is.
+    m = F.least(F.col("n"), F.col("words") - F.col("width") + 1)
+    reaches = m >= threshold * F.col("n") - 1e-9 if shorter else m == F.col("n")
+    enough = shared.filter(reaches & (F.col("common") * (1 + threshold) >= threshold * (m + F.col("n")) - 1e-9))
     pairs = written(enough.groupBy("key", "tag", "width", "n").agg(F.flatten(F.collect_list("starts")).alias("starts")), "shared-shingles")
 
     # Words added or lost shift the parts of a passage; the best window lies between them.
     slack = F.floor(F.col("n") * (1 - threshold) / (1 + threshold) + 1e-9).cast("int")
-    last = F.size("s") - F.col("n")
+    last = F.greatest(F.lit(0), F.size("s") - F.col("n"))
     near = F.flatten(F.transform("starts", lambda x: F.sequence(x, x + slack)))
     begins = F.array_distinct(F.transform(near, lambda x: F.greatest(F.lit(0), F.least(x, last))))
     # Written, so that no filter or generator pulls the making of the hashes into its own expressions.
     held = rows.join(pairs, ["key", "tag"]).withColumn("h", word_hashes(F.col("text"))).withColumn("s", by_width(F.col("width"), F.col("h")))
-    held = written(held.select("key", "tag", "width", "n", "starts", "s"), "candidate-documents").filter(last >= 0)
+    held = written(held.select("key", "tag", "width", "n", "starts", "s"), "candidate-documents")
     windows = held.select("key", "tag", "width", "n", "s", F.explode(begins).alias("start")).select("key", "tag", "width", "n", "start", F.slice("s", F.col("start") + 1, F.col("n")).alias("window"))
     windows = written(windows.withColumn("fp", fingerprint(F.col("window"))), "windows")
 
