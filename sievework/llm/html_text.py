@@ -44,6 +44,13 @@ BOILERPLATE_NAMES = frozenset(
     "sidebar aside footer header masthead cookie cookies consent notice notices alert popup modal overlay comment comments respond replies "
     "disqus share sharing social related recommended newsletter subscribe subscription signup login pagination pager widget toolbar copyright legal".split()
 )
+# Words that may stand beside those in a name without changing what it says.
+NEUTRAL_NAMES = frozenset(
+    "site page main article post posts story entry box block area wrapper wrap container inner outer list items item links link bar row col column "
+    "section region slot unit button buttons icons form text content top bottom left right global primary secondary small large".split()
+)
+#: Elements that are never boilerplate by name, nor is what encloses them.
+KEPT_TAGS = frozenset("html body main article".split())
 #: Two such words together in a class or id name the body of an article.
 ARTICLE_NAMES, BODY_NAMES = frozenset("article story post entry".split()), frozenset("body content text".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -55,6 +62,12 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.DOTALL,
 )
+_BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS | {'body'}, key=len, reverse=True))})(?=[\s/>])", re.IGNORECASE)
+_OPTIONS_END = re.compile(_BLOCK_TAG.pattern.replace("|option|", "|"), re.IGNORECASE)
+_HEAD_END = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?P<whole>script|style|noscript|template|title)\b.*?(?:</(?P=whole)\s*>|\Z)|(?P<stop>{_BLOCK_TAG.pattern})",
+    re.DOTALL | re.IGNORECASE,
+)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
@@ -68,18 +81,29 @@ class Block:
         self.text, self.linked, self.place = text, linked, place
 
 
-def _is_boilerplate(name: str, attributes: list[tuple[str, str]], in_article: bool) -> bool:
-    """Whether an element is for something else than text; the head of an article belongs to it."""
+def _named_boilerplate(value: str, allowed: set[str]) -> bool:
+    """Whether one of the names in a class or id says boilerplate as a whole, not by one of its words."""
+    for name in value.split():
+        words = _words_of(name)
+        if words <= BOILERPLATE_NAMES | NEUTRAL_NAMES and (BOILERPLATE_NAMES - allowed).intersection(words):
+            return True
+    return False
+
+
+def _is_boilerplate(name: str, attributes: list[tuple[str, str]], in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is for something else than text, and whether only its name or class says so.
+
+    The head of an article belongs to it.
+    """
     allowed = {"header"} if in_article else set()
-    if name in BOILERPLATE_TAGS - allowed:
-        return True
     for key, value in attributes:
-        if key in ("class", "id") and (BOILERPLATE_NAMES - allowed).intersection(_words_of(value)):
-            return True
         value = value.lower()
         if key == "role" and value in BOILERPLATE_ROLES or key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _HIDDEN.search(value):
-            return True
-    return False
+            return True, False
+    if name in KEPT_TAGS:
+        return False, False
+    named = name in BOILERPLATE_TAGS - allowed or any(key in ("class", "id") and _named_boilerplate(value, allowed) for key, value in attributes)
+    return named, named
 
 
 def _is_article(name: str, attributes: list[tuple[str, str]]) -> bool:
@@ -103,11 +127,40 @@ def _attributes(text: str) -> list[tuple[str, str]]:
     return [(key.lower(), "".join(values)) for key, *values in _ATTRIBUTE.findall(text)] if text.strip() else []
 
 
+def _after_skipped(page: str, name: str, at: int) -> int:
+    """Where the page goes on after the start tag of a skipped element that ends at ``at``."""
+    end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
+    if name in ("script", "style"):
+        return end.end() if end else len(page)
+    if name == "head":
+        stop = next((m for m in _HEAD_END.finditer(page, at) if m["stop"]), None)
+        # A block tag ends the head even without an end tag; an end tag after it belongs to no head.
+        return stop.start() if stop and not (end and end.start() <= stop.start()) else end.end() if end else len(page)
+    again = re.compile(rf"<{name}[\s>]", re.IGNORECASE).search(page, at, end.start() if end else len(page)) if name in ("button", "select") else None
+    if end and not again:
+        return end.end()
+    # Left open: what follows the next block tag is not part of it.
+    stop = (_OPTIONS_END if name == "select" else _BLOCK_TAG).search(page, at, again.start() if again else len(page))
+    return stop.start() if stop else again.start() if again else at
+
+
 def blocks_of(page: str) -> list[Block]:
-    """Blocks in page order; ``place`` is True inside an article, False inside boilerplate, else None."""
+    """Blocks in page order; ``place`` is True inside an article, False inside boilerplate, else None.
+
+    An element that proves to enclose the page's body, main part or article is not boilerplate by name:
+    then the page is read again.
+    """
+    found, named, enclosing = _read_blocks(page, set())
+    return _read_blocks(page, named & enclosing)[0] if named & enclosing else found
+
+
+def _read_blocks(page: str, spared: set[int]) -> tuple[list[Block], set[int], set[int]]:
+    """Blocks, places of the start tags that are boilerplate by name, and of those that enclose a kept element."""
     found: list[Block] = []
-    #: Open elements: name, whether boilerplate, whether article, whether a link, from here on.
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    named: set[int] = set()
+    enclosing: set[int] = set()
+    #: Open elements: name, whether boilerplate, whether article, whether a link, from here on; place of the tag.
+    stack: list[tuple[str, bool, bool, bool, int]] = [("", False, False, False, -1)]
     parts: list[str] = []
     linked, skip, at = 0, "", 0
 
@@ -116,14 +169,14 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                _, boilerplate, article, _ = stack[-1]
+                _, boilerplate, article, _, _ = stack[-1]
                 found.append(Block(text, linked, False if boilerplate else True if article else None))
             parts.clear()
         linked = 0
 
     while at < len(page):
         token = _TOKEN.match(page, at)
-        at = token.end()
+        place, at = at, token.end()
         text, name = token["text"], token["name"]
         if text is not None:
             parts.append(text)
@@ -146,8 +199,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name in SKIPPED:
             if not token["rest"].endswith("/"):
-                end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
+                at = _after_skipped(page, name, at)
             parts.append(" ")
             continue
         if name == "br" or name in BLOCKS:
@@ -165,11 +217,17 @@ def blocks_of(page: str) -> list[Block]:
                     break
                 if stack[depth][0] in BLOCKS:
                     break
-        _, boilerplate, article, link = stack[-1]
+        _, boilerplate, article, link, _ = stack[-1]
         attributes = _attributes(token["rest"]) if name != "a" else []
-        stack.append((name, boilerplate or _is_boilerplate(name, attributes, article), article or _is_article(name, attributes), link or name == "a"))
+        if name in KEPT_TAGS:
+            enclosing.update(x[4] for x in stack)
+        other, by_name = _is_boilerplate(name, attributes, article)
+        if by_name:
+            named.add(place)
+            other = place not in spared
+        stack.append((name, boilerplate or other, article or _is_article(name, attributes), link or name == "a", place))
     flush()
-    return found
+    return found, named, enclosing
 
 
 def first_pass(block: Block) -> bool | None:
