@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, byte_cnn, chat, decontam, html_text, line_quality, simhash, suffix_dedup, superkmer, weak_labels
+from sievework.llm import bpe, byte_cnn, chat, decontam, html_text, line_quality, simhash, suffix_dedup, superkmer, token_counts, weak_labels
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -96,6 +96,12 @@ def op10_hamming_windows(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"), shorter=True)
 
 
+def op12_token_transducer(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document by the piece model, and whether they exceed a context of 4096."""
+    model = token_counts.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(table(spark, sf, "documents"), model, limit=4096)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_line_rules": op2_line_rules,
@@ -107,6 +113,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_block_rules": op9_block_rules,
     "op10_hamming_windows": op10_hamming_windows,
+    "op12_token_transducer": op12_token_transducer,
 }
 #: None of these methods has a SQL form; tests hold them against brute force.
 ORACLES: dict[str, str] = {}
