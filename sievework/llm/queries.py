@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, byte_cnn, chat, decontam, html_text, line_quality, simhash, suffix_dedup, superkmer, token_counts, weak_labels
+from sievework.llm import bpe, byte_cnn, chat, decontam, html_text, line_quality, simhash, suffix_dedup, superkmer, token_counts, turn_repair, weak_labels
+from sievework.scratch import written
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -102,6 +103,13 @@ def op12_token_transducer(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf, "documents"), model, limit=4096)
 
 
+def op13_repair_path(spark: SparkSession, sf: str) -> DataFrame:
+    """Damaged conversations: faults, cheapest edits and what they give."""
+    rows = turn_repair.damaged(table(spark, sf, "conversations"))
+    planned = written(turn_repair.plans(rows), "repair-plans")
+    return planned.join(turn_repair.repaired_digests(rows, planned), "conv").withColumnRenamed("conv", "conv_id")
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_line_rules": op2_line_rules,
@@ -114,6 +122,7 @@ QUERIES = {
     "op9_block_rules": op9_block_rules,
     "op10_hamming_windows": op10_hamming_windows,
     "op12_token_transducer": op12_token_transducer,
+    "op13_repair_path": op13_repair_path,
 }
 #: None of these methods has a SQL form; tests hold them against brute force.
 ORACLES: dict[str, str] = {}
