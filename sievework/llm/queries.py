@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bpe, byte_cnn, chat, decontam, html_text, line_quality, simhash, suffix_dedup, superkmer, token_counts, turn_repair, weak_labels
+from sievework.llm import bpe, byte_cnn, chat, decontam, html_text, line_quality, prefix_trie, simhash, suffix_dedup, superkmer, token_counts, turn_repair, weak_labels
 from sievework.scratch import written
 
 
@@ -97,6 +97,11 @@ def op10_hamming_windows(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"), shorter=True)
 
 
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """All nodes of the trie of the rebuilt conversations."""
+    return prefix_trie.rebuilt_trie(table(spark, sf, "conversations"))
+
+
 def op12_token_transducer(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every document by the piece model, and whether they exceed a context of 4096."""
     model = token_counts.read_model(public_tokenizers.path("piece_bpe_32k.model"))
@@ -121,8 +126,63 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_block_rules": op9_block_rules,
     "op10_hamming_windows": op10_hamming_windows,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_token_transducer": op12_token_transducer,
     "op13_repair_path": op13_repair_path,
 }
-#: None of these methods has a SQL form; tests hold them against brute force.
-ORACLES: dict[str, str] = {}
+
+#: A node's totals by all pairs of a node and one below it. The checksum is spelt out, bit by bit and byte by byte.
+OP11_SQL = """
+WITH checks AS (
+  SELECT list(CASE WHEN b8 & 1 = 1 THEN xor(b8 >> 1, 3988292384) ELSE b8 >> 1 END ORDER BY i) AS crcs FROM (
+  SELECT i, CASE WHEN b7 & 1 = 1 THEN xor(b7 >> 1, 3988292384) ELSE b7 >> 1 END AS b8 FROM (
+  SELECT i, CASE WHEN b6 & 1 = 1 THEN xor(b6 >> 1, 3988292384) ELSE b6 >> 1 END AS b7 FROM (
+  SELECT i, CASE WHEN b5 & 1 = 1 THEN xor(b5 >> 1, 3988292384) ELSE b5 >> 1 END AS b6 FROM (
+  SELECT i, CASE WHEN b4 & 1 = 1 THEN xor(b4 >> 1, 3988292384) ELSE b4 >> 1 END AS b5 FROM (
+  SELECT i, CASE WHEN b3 & 1 = 1 THEN xor(b3 >> 1, 3988292384) ELSE b3 >> 1 END AS b4 FROM (
+  SELECT i, CASE WHEN b2 & 1 = 1 THEN xor(b2 >> 1, 3988292384) ELSE b2 >> 1 END AS b3 FROM (
+  SELECT i, CASE WHEN b1 & 1 = 1 THEN xor(b1 >> 1, 3988292384) ELSE b1 >> 1 END AS b2 FROM (
+  SELECT i, i AS b1 FROM range(256) AS t(i)))))))))
+),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place,
+         {'r': coalesce(role, ''), 't': coalesce(text, '')} AS said
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+             lambda c, x: xor(c >> 8, crcs[(xor(c, x) & 255) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), checks
+),
+mixed AS (
+  SELECT c.conv_id, 0 AS part, t.place, t.said FROM convs c JOIN turns t ON t.conv_id = c.base AND t.place < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.place, t.said FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place >= c.h
+),
+whole AS (
+  SELECT c.conv_id, coalesce(list(m.said ORDER BY part, place) FILTER (m.said IS NOT NULL), []) AS s
+  FROM convs c LEFT JOIN mixed m USING (conv_id) GROUP BY c.conv_id
+),
+steps AS (SELECT conv_id, s, d FROM whole, range(0, 10000) AS r(d) WHERE d <= len(s)),
+nodes AS (
+  SELECT d, s[1:d] AS p, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = d), '') AS ended
+  FROM steps GROUP BY ALL
+),
+family AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+own AS (
+  SELECT nodes.*, coalesce(family.n, 0) AS n_children, (n_convs - 1) * coalesce(strlen(nodes.p[nodes.d].t), 0) AS saved
+  FROM nodes LEFT JOIN family USING (p, d)
+),
+below AS (
+  SELECT p[1:a] AS p, a AS d, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved_tokens
+  FROM own, range(0, 10000) AS r(a) WHERE a <= d GROUP BY ALL
+)
+SELECT o.conv_id, o.d AS depth, u.conv_id AS parent_conv_id, o.n_convs, o.n_children,
+       b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, sha256(o.ended) AS ends_sha256
+FROM own o JOIN below b USING (p, d) LEFT JOIN nodes u ON u.d = o.d - 1 AND u.p = o.p[1:o.d - 1]
+"""
+
+#: The other methods have no SQL form; tests hold them against brute force.
+ORACLES: dict[str, str] = {"op11_prefix_trie": OP11_SQL}
