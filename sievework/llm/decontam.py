@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.llm.spans import tag_of
 from sievework.scratch import written
 
 SHINGLE = 5
@@ -110,7 +111,7 @@ def document_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", t
     few = needles.count() <= SENT_SHINGLES
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.hash(F.col(text).cast("string")).alias("tag"), F.col(text).alias("text")).filter("key IS NOT NULL")
+    rows = docs.select(F.col(key).cast("long").alias("key"), tag_of(F.col(text).cast("string")).alias("tag"), F.col(text).alias("text")).filter("key IS NOT NULL")
     hits = []
     for width in widths:
         mine = needles.filter(F.col("width") == width)

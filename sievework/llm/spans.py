@@ -14,10 +14,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.ipc  # noqa: F401  (pa.ipc)
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.buffers import CHUNK_BYTES, chunks, mixed, ragged
+from sievework.llm.buffers import CHUNK_BYTES, chunks, mixed, ragged, text_buffer
 from sievework.scratch import written
 
 #: Rows between tasks: a packed block of records for a bucket, or finished spans on their way to ``dest``.
@@ -26,8 +26,9 @@ FOUND = "dest int, block binary"
 #: Spans of documents: each document once, its number of spans, then all spans.
 SPANS = ["key", "tag", "counts", "low", "size"]
 TEXTS = ["key", "tag", "nulls", "sizes", "text", "rest"]
-#: Buckets for each shuffle partition.
+#: Buckets for each shuffle partition at least, and bytes of text for which there is one at least; no effect on results.
 BUCKETS_EACH = 2
+BUCKET_BYTES = 16 << 20
 #: Finished spans a task holds, and bytes of text it packs or works on at once; no effect on results.
 HELD_SPANS = 200_000
 PACKED_BYTES = 4 << 20
@@ -37,21 +38,35 @@ LEVEL = 2
 Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
+#: Tags of texts, 16 bytes each, as numpy holds them.
+TAG = np.dtype("S16")
+
+
+def tag_of(text: Column) -> Column:
+    """128-bit digest of a text; of a null one, zeros."""
+    return F.coalesce(F.unhex(F.md5(text)), F.lit(bytes(TAG.itemsize)))
+
+
+def tags(column: pa.Array) -> np.ndarray:
+    """A column of tags as an array."""
+    return text_buffer(column)[0].view(TAG)
+
+
 def tagged(df: DataFrame, key: str, text: str, rest: list[str] | None = None) -> DataFrame:
-    """``key``, ``tag`` (hash of the text), ``text`` and the columns ``rest`` as ``rest_0`` and so on.
+    """``key``, ``tag`` (128-bit digest of the text), ``text`` and the columns ``rest`` as ``rest_0`` and so on.
 
     Rows of one key and tag are one document.
     """
     whole = F.col(text).cast("string")
     more = [F.col(f"`{c}`").alias(f"rest_{i}") for i, c in enumerate(rest or [])]
-    return df.select(F.col(key).cast("long").alias("key"), F.hash(whole).alias("tag"), whole.alias("text"), *more)
+    return df.select(F.col(key).cast("long").alias("key"), tag_of(whole).alias("tag"), whole.alias("text"), *more)
 
 
 def without(df: DataFrame, documents: DataFrame, key: str = "doc_id", text: str = "text", how: str = "left_anti") -> DataFrame:
     """Rows of ``df`` that are none of the ``documents`` (``key``, ``tag``)."""
-    names = {c: _unused(df, f"other_{c}") for c in ("key", "tag")}
+    names = {c: unused(df, f"other_{c}") for c in ("key", "tag")}
     other = documents.select(*(F.col(c).alias(n) for c, n in names.items()))
-    same = (F.col(key).cast("long") == F.col(names["key"])) & (F.hash(F.col(text).cast("string")) == F.col(names["tag"]))
+    same = (F.col(key).cast("long") == F.col(names["key"])) & (tag_of(F.col(text).cast("string")) == F.col(names["tag"]))
     return df.join(other, same, how)
 
 
@@ -62,12 +77,12 @@ def one_row_each(df: DataFrame, dropped: DataFrame, key: str = "doc_id", text: s
     repeated = written(repeated.select("key", "tag"), "repeated-documents")
     if repeated.isEmpty():
         return kept
-    own = _unused(df, "own_tag")
-    once = without(kept, repeated, key, text, "left_semi").withColumn(own, F.hash(F.col(text).cast("string"))).dropDuplicates([key, own]).drop(own)
+    own = unused(df, "own_tag")
+    once = without(kept, repeated, key, text, "left_semi").withColumn(own, tag_of(F.col(text).cast("string"))).dropDuplicates([key, own]).drop(own)
     return without(kept, repeated, key, text).unionByName(once)
 
 
-def _unused(df: DataFrame, name: str) -> str:
+def unused(df: DataFrame, name: str) -> str:
     while name in df.columns:
         name += "_"
     return name
@@ -84,6 +99,13 @@ def even_buckets(df: DataFrame, each: int) -> np.ndarray:
     return chosen if len(chosen) == partitions * each else np.arange(partitions * each, dtype=np.int32)
 
 
+def buckets_each(rows: DataFrame) -> int:
+    """Buckets for each shuffle partition, so that a bucket's share of the texts is bounded however many there are."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(BUCKETS_EACH, -(-size // (partitions * BUCKET_BYTES)))
+
+
 def pack(columns: dict[str, np.ndarray]) -> bytes:
     """Arrays of any kinds and lengths as one compressed block."""
     head = np.array([[ord(a.dtype.kind), a.dtype.itemsize, len(a)] for a in columns.values()], np.int64)
@@ -143,14 +165,16 @@ def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: np.ndarr
     return same
 
 
-def dest_of(key: np.ndarray, dests: int) -> np.ndarray:
-    return (mixed(key.astype(np.int64).view(np.uint64)) % np.uint64(dests)).astype(np.int64)
+def dest_of(key: np.ndarray, tag: np.ndarray, dests: int) -> np.ndarray:
+    """Destination of a document: texts of one key spread as well."""
+    half = np.ascontiguousarray(tag).view(np.uint64)[::2]
+    return (mixed(mixed(key.astype(np.int64).view(np.uint64)) ^ half) % np.uint64(dests)).astype(np.int64)
 
 
 def blocks_of_spans(spans: list[Found], dests: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     """Spans (key, tag, low, high) as one block for each destination."""
     key, tag, low, high = (np.concatenate(x) for x in zip(*spans))
-    dest = dest_of(key, len(dests))
+    dest = dest_of(key, tag, len(dests))
     order = np.lexsort((low, tag, key, dest))
     key, tag, low, size, dest = key[order], tag[order], low[order], (high - low)[order], dest[order]
     goes, blocks = [], []
@@ -173,6 +197,13 @@ def routed_batch(buckets: np.ndarray, blocks: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.nulls(len(blocks), pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "dest", "block"])
 
 
+def owned(parts: list[dict[str, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the records of several blocks: each one's document, and the documents' keys and tags."""
+    first = np.cumsum([0, *(len(p["key"]) for p in parts)])
+    doc = np.concatenate([p["doc"].astype(np.int32) + np.int32(f) for p, f in zip(parts, first)])
+    return doc, np.concatenate([p["key"] for p in parts]), np.concatenate([p["tag"] for p in parts])
+
+
 def owners(r: np.ndarray, owner: np.ndarray, key: np.ndarray, tag: np.ndarray) -> dict[str, np.ndarray]:
     """Documents of records ``r``, each once, and the place of each record's document among them."""
     some, local = np.unique(owner[r], return_inverse=True)
@@ -236,11 +267,11 @@ def with_spans(rows: DataFrame, found: DataFrame, dests: np.ndarray, use: Callab
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).fill_null(0).to_numpy()
-            nulls, tags = batch.column(0).is_null().to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
+            nulls, named = batch.column(0).is_null().to_numpy(zero_copy_only=False), tags(batch.column(1))
             for low, high, data, offsets in chunks(batch.column(2), PACKED_BYTES):
-                key, tag, sizes = keys[low:high], tags[low:high], np.diff(offsets)
+                key, tag, sizes = keys[low:high], named[low:high], np.diff(offsets)
                 # Rows without a key have no spans; their texts spread them.
-                dest = dest_of(np.where(nulls[low:high], tag, key), len(dests))
+                dest = dest_of(key, tag, len(dests))
                 order = np.argsort(dest, kind="stable")
                 goes, blocks = [], []
                 for r in cuts_of(dest[order]):
@@ -251,16 +282,16 @@ def with_spans(rows: DataFrame, found: DataFrame, dests: np.ndarray, use: Callab
                 yield pa.RecordBatch.from_arrays([pa.array(dests[goes]), pa.array(np.ones(len(goes), np.int32)), pa.array(blocks, pa.binary())], names=["dest", "kind", "block"])
 
     def worked(blocks: list[dict[str, np.ndarray]], spans: dict) -> Iterator[pa.RecordBatch]:
-        keys, tags, nulls, sizes, text = (np.concatenate([t[f] for t in blocks]) for f in TEXTS[:5])
+        keys, tag, nulls, sizes, text = (np.concatenate([t[f] for t in blocks]) for f in TEXTS[:5])
         rest = [pa.ipc.open_stream(pa.py_buffer(t["rest"])).read_next_batch() for t in blocks if len(t["rest"])]
         rest = pa.Table.from_batches(rest) if rest else None
         key = pa.array(keys, mask=nulls)
-        mine = [None if null else spans.get(k) for k, null in zip(zip(keys.tolist(), tags.tolist()), nulls.tolist())]
+        mine = [None if null else spans.get(k) for k, null in zip(zip(keys.tolist(), tag.tolist()), nulls.tolist())]
         offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
         low, n = 0, len(mine)
         while low < n:
             high = min(max(int(np.searchsorted(offsets, offsets[low] + CHUNK_BYTES, "right")) - 1, low + 1), n)
-            for out in use(key.slice(low, high - low), tags[low:high], text[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], mine[low:high]):
+            for out in use(key.slice(low, high - low), tag[low:high], text[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], mine[low:high]):
                 if rest is None:
                     yield out
                 else:
@@ -302,7 +333,7 @@ def _serialised(batch: pa.RecordBatch, rows: np.ndarray) -> np.ndarray:
     return np.frombuffer(sink.getvalue(), np.uint8)
 
 
-def _by_document(blocks: list[dict[str, np.ndarray]]) -> dict[tuple[int, int], np.ndarray]:
+def _by_document(blocks: list[dict[str, np.ndarray]]) -> dict[tuple[int, bytes], np.ndarray]:
     """Spans of each document as sorted pairs."""
     if not blocks:
         return {}
@@ -311,4 +342,4 @@ def _by_document(blocks: list[dict[str, np.ndarray]]) -> dict[tuple[int, int], n
     order = np.lexsort((low, tag, key))
     key, tag, pairs = key[order], tag[order], np.stack((low, low + size), axis=1)[order]
     edges = np.append(np.flatnonzero(runs_of(key, tag)), len(key)).tolist()
-    return {(int(key[a]), int(tag[a])): pairs[a:b] for a, b in zip(edges[:-1], edges[1:])}
+    return {(int(key[a]), bytes(tag[a])): pairs[a:b] for a, b in zip(edges[:-1], edges[1:])}

@@ -32,12 +32,13 @@ from pyspark.sql import functions as F
 
 from sievework.llm.buffers import PrefixHash, binary_array, chunks, covered, ragged
 from sievework.llm.spans import (
-    BUCKETS_EACH,
     ROUTED,
     Found,
+    buckets_each,
     by_bucket,
     cuts_of,
     even_buckets,
+    owned,
     owners,
     pack,
     pieces,
@@ -46,7 +47,9 @@ from sievework.llm.spans import (
     settled_batch,
     small,
     tagged,
+    tags,
     unpack,
+    unused,
     with_spans,
 )
 from sievework.llm.superkmer import first_holders, minimiser_runs
@@ -59,7 +62,8 @@ TOKEN = 8
 #: Records sorted, and expanded into strings, at once; no effect on results.
 SORTED = 40_000
 EXPANDED = 10_000
-#: Bits of an anchor hash that travel, beside those that choose the bucket.
+#: Bits of an anchor hash that travel, beside those that choose the bucket; a bucket's share of the
+#: anchors is bounded by its bytes of text, so about one in twenty is a false hit at any size.
 HASH_BITS = 24
 
 HASH_FIELDS = ["key", "tag", "doc", "nobody", "low", "high_bits", "low_bits"]
@@ -153,9 +157,9 @@ def route_hashes(buckets: np.ndarray, dests: np.ndarray, window: int, kmer: int)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            keys, named = batch.column(0).to_numpy(), tags(batch.column(1))
             for low, high, data, offsets in chunks(batch.column(2)):
-                key, tag, a = keys[low:high], tags[low:high], Anchors(data, offsets, window, kmer)
+                key, tag, a = keys[low:high], named[low:high], Anchors(data, offsets, window, kmer)
                 if not len(a.first):
                     continue
                 order = np.lexsort((key[a.doc], a.hash))
@@ -191,17 +195,17 @@ def route_hashes(buckets: np.ndarray, dests: np.ndarray, window: int, kmer: int)
 def shared_hashes(blocks: list[bytes]) -> Iterator[Found]:
     """Owned records whose hash another document has too."""
     parts = [unpack(b, HASH_FIELDS) for b in blocks]
-    key = np.concatenate([p["key"][p["doc"]] for p in parts])
-    tag = np.concatenate([p["tag"][p["doc"]] for p in parts])
+    doc, keys, named = owned(parts)
+    key = keys[doc]
     low = np.concatenate([p["low"] for p in parts]).astype(np.int64)
     hashes = np.concatenate([p["high_bits"].astype(np.int32) << 8 | p["low_bits"] for p in parts])
-    owned = ~np.concatenate([np.unpackbits(p["nobody"], count=len(p["low"])) for p in parts]).astype(bool)
+    own = ~np.concatenate([np.unpackbits(p["nobody"], count=len(p["low"])) for p in parts]).astype(bool)
     order = np.lexsort((key, hashes))
     group = np.cumsum(runs_of(hashes[order])) - 1
-    holders = np.bincount(group, runs_of(hashes[order], key[order]) + 2.0 * ~owned[order])[group]
-    hit = order[(holders > 1) & owned[order]]
+    holders = np.bincount(group, runs_of(hashes[order], key[order]) + 2.0 * ~own[order])[group]
+    hit = order[(holders > 1) & own[order]]
     if len(hit):
-        yield key[hit], tag[hit], low[hit], low[hit] + 1
+        yield key[hit], named[doc[hit]], low[hit], low[hit] + 1
 
 
 def route_suffixes(buckets: np.ndarray, splitters: np.ndarray, dests: np.ndarray, window: int, kmer: int):
@@ -242,8 +246,7 @@ def sort_suffixes(window: int, kmer: int):
 
     def work(blocks: list[bytes]) -> Iterator[Found]:
         parts = [unpack(b, TEXT_FIELDS) for b in blocks]
-        key = np.concatenate([p["key"][p["doc"]] for p in parts])
-        tag = np.concatenate([p["tag"][p["doc"]] for p in parts])
+        doc, keys, named = owned(parts)
         low, anchor, sizes = (np.concatenate([p[f] for p in parts]).astype(np.int64) for f in TEXT_FIELDS[3:6])
         text = np.concatenate([p["text"] for p in parts])
         del parts
@@ -253,7 +256,7 @@ def sort_suffixes(window: int, kmer: int):
         # The first token parts the suffixes; the rest of the sort runs inside of its values.
         for piece in pieces(lead[order], np.ones(len(order), np.int64), SORTED):
             r = order[piece]
-            yield from sort_piece(key[r], tag[r], low[r], anchor[r], sizes[r], ragged(text, at[r], sizes[r]))
+            yield from sort_piece(keys[doc[r]], named[doc[r]], low[r], anchor[r], sizes[r], ragged(text, at[r], sizes[r]))
 
     def sort_piece(key, tag, low, anchor, sizes, text) -> Iterator[Found]:
         at = np.cumsum(sizes) - sizes
@@ -337,8 +340,9 @@ def _found(df: DataFrame, key: str, text: str, window: int, kmer: int, rest: lis
     """Tagged rows, the blocks of their repeated spans, and the destinations of these."""
     if kmer % TOKEN or not TOKEN <= kmer <= window:
         raise ValueError("kmer must be a multiple of 8, at most the window")
-    rows, dests, buckets = tagged(df, key, text, rest), even_buckets(df, 1), even_buckets(df, BUCKETS_EACH)
+    rows, dests = tagged(df, key, text, rest), even_buckets(df, 1)
     keyed = rows.select("key", "tag", "text").filter("key IS NOT NULL")
+    buckets = even_buckets(df, buckets_each(keyed))
     hashes = keyed.mapInArrow(route_hashes(buckets, dests, window, kmer), ROUTED)
     shared = by_bucket(hashes, shared_hashes, dests)
     splitters = sampled_splitters(keyed, len(buckets), window, kmer)
@@ -358,7 +362,8 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", wind
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["kept"])
 
     others = [c for c in df.columns if c != text]
-    rows, found, dests = _found(df.withColumn("__null__", F.col(text).isNull()), key, text, window, kmer, [*others, "__null__"])
+    null = unused(df, "null_text")
+    rows, found, dests = _found(df.withColumn(null, F.col(text).isNull()), key, text, window, kmer, [*others, null])
     whole = with_spans(rows, found, dests, use, "kept string")
     kept = F.when(F.col(f"rest_{len(others)}"), F.lit(None)).otherwise(F.col("kept"))
     return whole.select(*(kept.alias(text) if c == text else F.col(f"rest_{others.index(c)}").alias(c) for c in df.columns))

@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame
 
 from sievework.llm.buffers import PrefixHash, binary_array, chunks, covered, mixed, ragged, word_spans
 from sievework.llm.spans import (
-    BUCKETS_EACH,
     ROUTED,
     WORKED_BYTES,
     Found,
+    buckets_each,
     by_bucket,
     cuts_of,
     even_buckets,
+    owned,
     owners,
     pack,
     pieces,
@@ -36,6 +37,7 @@ from sievework.llm.spans import (
     settled_batch,
     small,
     tagged,
+    tags,
     unpack,
     with_spans,
 )
@@ -121,7 +123,7 @@ def route(buckets: np.ndarray, dests: np.ndarray, window: int, kmer: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, tag = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            key, tag = batch.column(0).to_numpy(), tags(batch.column(1))
             for low, high, data, offsets in chunks(batch.column(2)):
                 yield from work(key[low:high], tag[low:high], data, offsets)
 
@@ -141,8 +143,7 @@ def settle(window: int):
 
     def work(blocks: list[bytes]) -> Iterator[Found]:
         parts = [unpack(b, FIELDS) for b in blocks]
-        key = np.concatenate([p["key"][p["doc"]] for p in parts])
-        tag = np.concatenate([p["tag"][p["doc"]] for p in parts])
+        doc, keys, named = owned(parts)
         low, words, minimiser, sizes = (np.concatenate([p[f] for p in parts]).astype(np.int64) for f in FIELDS[3:7])
         text = np.concatenate([p["text"] for p in parts])
         del parts
@@ -151,7 +152,7 @@ def settle(window: int):
         # Super-k-mers of one minimiser stay together; the bucket's text is looked at piece by piece.
         for piece in pieces(minimiser[order], sizes[order], WORKED_BYTES):
             r = order[piece]
-            yield from settle_piece(key[r], tag[r], low[r], words[r], minimiser[r], sizes[r], ragged(text, at[r], sizes[r]), window)
+            yield from settle_piece(keys[doc[r]], named[doc[r]], low[r], words[r], minimiser[r], sizes[r], ragged(text, at[r], sizes[r]), window)
 
     return work
 
@@ -211,8 +212,10 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
     key.  Null, empty and short texts lose nothing.  Rows of one key and text are one document and get the
     same result each; rows with a null key lose nothing and make others lose nothing.
     """
-    rows, dests, buckets = tagged(df, key, text), even_buckets(df, 1), even_buckets(df, BUCKETS_EACH)
-    routed = rows.filter("key IS NOT NULL").mapInArrow(route(buckets, dests, window, kmer), ROUTED)
+    rows, dests = tagged(df, key, text), even_buckets(df, 1)
+    keyed = rows.filter("key IS NOT NULL")
+    buckets = even_buckets(df, buckets_each(keyed))
+    routed = keyed.mapInArrow(route(buckets, dests, window, kmer), ROUTED)
     found = by_bucket(routed, settle(window), dests)
     kept = with_spans(rows, found, dests, kept_words, "key long, n_words long, n_removed long, kept string")
     return kept.withColumnRenamed("key", key)
