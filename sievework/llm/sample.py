@@ -3,16 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Documents of a label that are taken before those of frequent labels fill the sample.
+EACH_LABEL = 50
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, key: str = "doc_id", text: str = "text", each: int = EACH_LABEL) -> DataFrame:
     """``key``, ``text``, ``label`` of at most ``rows`` labelled documents, chosen by a hash of the key.
 
-    The chosen keys are at most ``rows``, so they are broadcast and the documents are not shuffled.
-    Rows with a null key or label are not labelled.
+    The first ``each`` keys of every label come before all others, so a rare label is in the sample
+    however many rows there are.  A key with several labels has the smallest; of a key with
+    several texts the one with the smallest hash counts, so the bound is on rows.  The chosen keys are at
+    most ``rows``, so they are broadcast and the documents are not shuffled.  Rows with a null key
+    or label are not labelled.
     """
-    chosen = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).select(F.col(key).alias("key"), F.col(label).alias("label"))
-    chosen = chosen.orderBy(F.xxhash64(F.col("key").cast("string")), "key", "label").limit(rows).dropDuplicates(["key"])
-    rows_ = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    return rows_.join(F.broadcast(chosen), "key").select("key", "text", "label")
+    known = labels.select(F.col(key).alias("key"), F.col(label).alias("label")).filter("key IS NOT NULL AND label IS NOT NULL")
+    known = known.withColumn("place", F.xxhash64(F.col("key").cast("string")))
+    # Repeats of a key may take places of its label, so each label offers some more before they are made one.
+    rank = F.dense_rank().over(W.partitionBy("label").orderBy("place", "key"))
+    offered = known.dropDuplicates(["key", "label"]).withColumn("rank", rank).filter(F.col("rank") <= rows)
+    single = offered.groupBy("key", "place").agg(F.min(F.struct("label", "rank")).alias("l"))
+    chosen = single.select("key", "place", "l.label", "l.rank").orderBy(F.col("rank") > each, "place", "key").limit(rows)
+    texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    found = texts.join(F.broadcast(chosen), "key")
+    one = found.groupBy("key", "place", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.orderBy("place", "key").select("key", "text", "label")

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -12,6 +13,7 @@ def words(text):
 
 
 def plain_leaks(docs, items, threshold=0.8):
+    """All windows of the item's size; a shorter document is one window."""
     out = {}
     for i, a in {(i, t) for i, t in docs if i is not None}:
         for j, b in items:
@@ -21,9 +23,10 @@ def plain_leaks(docs, items, threshold=0.8):
             size = min(5, len(b))
             grams = lambda w: [tuple(w[k : k + size]) for k in range(len(w) - size + 1)]  # noqa: B023,E731
             mine, other = grams(words(a)), grams(b)
-            for s in range(len(mine) - len(other) + 1):
-                common = sum((Counter(mine[s : s + len(other)]) & Counter(other)).values())
-                share = common / (2 * len(other) - common)
+            n = min(len(mine), len(other))
+            for s in range(len(mine) - n + 1) if n else []:
+                common = sum((Counter(mine[s : s + n]) & Counter(other)).values())
+                share = common / (n + len(other) - common)
                 if share >= threshold:
                     out[i, j] = max(out.get((i, j), 0), share)
     return sorted((i, j, round(s, 9)) for (i, j), s in out.items())
@@ -85,3 +88,35 @@ def test_fingerprint_bits(spark):
     df = spark.createDataFrame([(hashes,), ([],), ([5] * 3000,)], "h array<long>").select(decontam.fingerprint(F.col("h")).alias("fp"))
     plain = lambda hs: sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
     assert [r.fp % 2**64 for r in df.collect()] == [plain(hashes), 0, 5]
+
+
+def test_no_window_of_the_similarity_is_lost(spark):
+    """Repetitive items, each in a document at the very edge of the similarity."""
+    rng, items, docs = random.Random(5), [], []
+    for i in range(150):
+        phrase = [f"p{i}", f"q{i}"]
+        item = phrase * rng.randrange(3, 20) + [f"w{i}x{k}" for k in range(rng.randrange(20, 54))] + phrase * rng.randrange(3, 20)
+        n, cut = len(item) - 4, 0
+        for cut in range(1, 40):
+            at = rng.randrange(len(item) - cut)
+            other = item[:at] + [f"z{i}x{k}" for k in range(cut)] + item[at + cut :]
+            if len(plain_leaks([(i, " ".join(other))], [(i, " ".join(item))])) == 0:
+                break
+            docs.append((1000 * i + cut, "before it " + " ".join(other) + " after it"))
+        items.append((i, " ".join(item)))
+    want = sorted(x for i, t in docs for x in plain_leaks([(i, t)], [items[i // 1000]]))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = decontam.leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(want) > 400
+    assert sorted((r.doc_id, r.item_id, round(r.similarity, 9)) for r in found) == want
+
+
+def test_bits_that_cannot_differ(spark):
+    rng = random.Random(2)
+    n, most = 40, int(2 * 40 * 0.2 / 1.8 + 1e-9)
+    item = [rng.getrandbits(64) - 2**63 for _ in range(3)] * 10 + [rng.getrandbits(64) - 2**63 for _ in range(10)]
+    others = [item[most // 2 :] + [rng.getrandbits(64) - 2**63 for _ in range(most // 2)] for _ in range(50)] + [item[most:]]
+    df = spark.createDataFrame([(h,) for h in others], "h array<long>").select(decontam.fingerprint(F.col("h")).alias("fp"))
+    own = spark.createDataFrame([(item,)], "h array<long>").select(decontam.fingerprint(F.col("h")).alias("fp"), decontam.certain_bits(F.col("h"), 0.8).alias("block")).first()
+    assert len(item) == n and bin(own.block % 2**64).count("1") > 4
+    assert all((r.fp ^ own.fp) & own.block == 0 for r in df.collect())

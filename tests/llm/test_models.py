@@ -162,6 +162,23 @@ def test_languages_of_odd_rows(spark, edge_docs, edge_rows, no_docs):
 def test_queries_give_one_stable_schema(spark, name):
     df = queries.QUERIES[name](spark, SF)
     rows = df.count()
-    expected = {"op5_chat_masks": 1 + queries.table(spark, SF, "conversations").select("conv_id").distinct().count(), "op9_block_rules": queries.table(spark, SF, "pages").count()}
-    if name != "op10_hamming_windows":
+    conversations = queries.table(spark, SF, "conversations").select("conv_id").distinct().count()
+    expected = {"op5_chat_masks": 1 + conversations, "op13_repair_path": conversations, "op9_block_rules": queries.table(spark, SF, "pages").count()}
+    if name not in ("op10_hamming_windows", "op11_prefix_trie"):
         assert rows == expected.get(name, queries.table(spark, SF, "documents").count())
+
+
+def test_samples_keep_their_bound(spark):
+    """An id with very many texts, repeats of labelled keys, and a label that only a few rows have."""
+    from sievework.llm.sample import labelled_sample
+
+    many = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    others = spark.range(2, 3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("own "), "id").alias("text"))
+    docs = many.unionByName(others).unionByName(others.limit(100))
+    labels = spark.range(1, 3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 1000 == 7, "rare").otherwise("frequent").alias("label"))
+    labels = labels.unionByName(labels).unionByName(spark.createDataFrame([(1, "frequent")] * 50 + [(None, "rare"), (5, None)], "doc_id long, label string"))
+    found = [tuple(r) for r in labelled_sample(docs, labels, "label", 200).collect()]
+    assert len(found) == 200 == len({k for k, _, _ in found})
+    assert sum(label == "rare" for _, _, label in found) == 3
+    assert found == [tuple(r) for r in labelled_sample(docs.repartition(7), labels.repartition(3), "label", 200).collect()]
+    assert len(labelled_sample(docs, labels, "label", 100_000).collect()) == 2999

@@ -1,31 +1,11 @@
 """Documents with fewer words than a benchmark item."""
 
-from collections import Counter
-
 import corpus_pipeline
-from test_decontam import words
+from test_decontam import plain_leaks
 
 from sievework.llm import decontam, queries
 
 
-def plain_leaks(docs, items, threshold=0.8):
-    """All windows of the item's size; a shorter document is one window."""
-    out = {}
-    for i, a in docs:
-        for j, b in items:
-            b = words(b)
-            size = min(5, len(b))
-            grams = lambda w: [tuple(w[k : k + size]) for k in range(len(w) - size + 1)]  # noqa: B023,E731
-            mine, other = grams(words(a)), grams(b)
-            n = min(len(mine), len(other))
-            for s in range(len(mine) - n + 1) if n else []:
-                common = sum((Counter(mine[s : s + n]) & Counter(other)).values())
-                share = common / (n + len(other) - common)
-                if share >= threshold:
-                    out[i, j] = max(out.get((i, j), 0), share)
-    return sorted((i, j, round(s, 9)) for (i, j), s in out.items())
-
-
 def test_whole_documents(spark, tmp_path):
     item = [f"w{i}" for i in range(54)]
     other = [f"v{i}" for i in range(15)]
@@ -43,4 +23,5 @@ def test_whole_documents(spark, tmp_path):
     assert sorted((r.doc_id, r.item_id, round(r.similarity, 9)) for r in found) == expected
     kept = corpus_pipeline.benchmark_leaks(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
     assert sorted(r.doc_id for r in kept.collect()) == sorted({i for i, _ in docs} - {i for i, *_ in expected})
-    assert decontam.leaks(spark.createDataFrame(docs[1:2], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).count() == 0
+    alone = decontam.leaks(spark.createDataFrame(docs[1:2], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert [r.item_id for r in alone.collect()] == [0]
