@@ -19,11 +19,10 @@ from sievework.operators.profile import (
     table_shape,
     value_counts,
 )
-from sievework.sources.delimited import bad_line_count, header_columns, read_delimited
+from sievework.sources.delimited import header_columns, land_delimited, landed_rows, quarantined_lines
 from sievework.sources.documents import read_json_document, write_json_document
-from sievework.sources.inventory import CHECKSUM_SCHEMA, file_checksums
+from sievework.sources.inventory import CHECKSUM_SCHEMA, MEGABYTE, file_checksums, file_inventory
 from sievework.sources.paths import path_exists
-from sievework.sources.tables import land_raw
 
 
 @dataclass(frozen=True)
@@ -40,20 +39,24 @@ class Dataset:
 
 @dataclass(frozen=True)
 class Landed:
-    """The landed table, its path, and the report tables by name."""
+    """The landed table, its path, the report tables by name, and the lines that were not accepted."""
 
     table: DataFrame
     path: str
     reports: dict[str, DataFrame]
+    quarantine: DataFrame
 
 
 def ingestion_manifest(df: DataFrame, dataset: Dataset, raw_path: str, ingest_date: dt.date) -> DataFrame:
     """One row that describes a landed version.
 
     The checksum is a fingerprint of the landed rows: any size, in parallel, and the same
-    however the rows are spread over files.
+    however the rows are spread over files.  Files and bytes are those below ``raw_path``.
     """
     content = table_fingerprint(df, df.columns).select("fingerprint").scalar()
+    files = file_inventory(df.sparkSession, {"raw": raw_path}, recursive=True)
+    files = files.agg(F.count("*").alias("n"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("size"))
+    size = files.select("size").scalar()
     return table_shape(df).select(
         F.lit(dataset.name).alias("dataset_name"),
         F.lit(dataset.version).alias("version"),
@@ -64,6 +67,9 @@ def ingestion_manifest(df: DataFrame, dataset: Dataset, raw_path: str, ingest_da
         content.alias("checksum"),
         "row_count",
         "column_count",
+        files.select("n").scalar().alias("file_count"),
+        size.alias("size_bytes"),
+        F.round(size / MEGABYTE, 2).alias("size_mb"),
         F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
         F.lit("new version on demand").alias("refresh_strategy"),
         F.struct(
@@ -85,20 +91,23 @@ def run_ingest(
     order_by: Sequence[str],
     ingest_date: dt.date,
     file_md5: bool = False,
+    arrival: bool = False,
+    multi_line: bool | None = None,
 ) -> Landed:
     """Land the source files, then describe what landed; the manifest is written last.
 
-    ``file_md5`` adds the MD5 of every source file, each below 2 GiB, at the price of one more read.
+    Accepted rows and quarantined lines land from one parse under one commit.  With ``arrival`` the table
+    also has ``_position``, by which its rows sort as they stood in the files.  ``multi_line`` is that of
+    ``read_delimited``.  ``file_md5`` adds the MD5 of every source file, each below 2 GiB, at the price of one more read.
     """
     if not path_exists(spark, dataset.source):
         raise FileNotFoundError(dataset.source)
     columns = header_columns(spark, dataset.source)
-    source = read_delimited(spark, dataset.source, columns)
-    path = land_raw(source, dataset.raw_zone, dataset.version, ingest_date.isoformat())
-    table = spark.read.schema(source.schema).parquet(path)
+    path = land_delimited(spark, dataset.source, columns, dataset.raw_zone, dataset.version, ingest_date.isoformat(), multi_line=multi_line)
+    table, quarantine = landed_rows(spark, path, columns), quarantined_lines(spark, path)
     reports = {
         "schema": schema_check(table, expected),
-        "bad_lines": bad_line_count(spark, dataset.source, columns),
+        "bad_lines": quarantine.agg(F.count("*").alias("bad_lines")),
         "shape": table_shape(table),
         "nulls": null_summary(table),
         "duplicate_rows": duplicate_row_count(table),
@@ -115,4 +124,4 @@ def run_ingest(
         reports["file_checksums"] = read_json_document(spark, f"{catalog_zone}/file_checksums", CHECKSUM_SCHEMA)
     manifest = ingestion_manifest(table, dataset, path, ingest_date)
     write_json_document(manifest, f"{catalog_zone}/ingestion_manifest")
-    return Landed(table, path, reports)
+    return Landed(landed_rows(spark, path, columns, arrival), path, reports, quarantine)

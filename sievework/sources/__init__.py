@@ -1,6 +1,14 @@
 """Readers and writers."""
 
-from sievework.sources.delimited import bad_line_count, header_columns, read_delimited
+from sievework.sources.delimited import (
+    bad_line_count,
+    header_columns,
+    land_delimited,
+    landed_rows,
+    quarantined_lines,
+    read_delimited,
+    staged_rows,
+)
 from sievework.sources.documents import document_check, document_counts, read_json_document, write_json_document
 from sievework.sources.inventory import file_checksums, file_inventory
 from sievework.sources.tables import (
@@ -25,6 +33,10 @@ __all__ = [
     "land_raw",
     "latest_version",
     "publish",
+    "land_delimited",
+    "landed_rows",
+    "quarantined_lines",
+    "staged_rows",
     "read_delimited",
     "read_json_document",
     "read_latest",

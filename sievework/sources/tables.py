@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from sievework.sources.paths import child_folders, write_committed
 
+#: Columns that delimited rows land with: whether a row was accepted, why not, its line, its place in the files.
+ROWS, REASON, LINE, POSITIONED = "_rows", "_reason", "_line", "_position"
+ACCEPTED, QUARANTINED = "accepted", "quarantined"
+
 #: Largest head that may be asked for: it is sorted in one task.
 MAX_HEAD = 1_000_000
 
@@ -17,7 +21,7 @@ def _version_path(root: str, version: str, ingest_date: str) -> str:
     return f"{root.rstrip('/')}/version={version}/ingest_date={ingest_date}"
 
 
-def land_raw(df: DataFrame, root: str, version: str, ingest_date: str) -> str:
+def land_raw(df: DataFrame, root: str, version: str, ingest_date: str, partition_by: Sequence[str] = ()) -> str:
     """Write an immutable raw version and return its path; a landed version is left alone.
 
     A version counts as landed once its write was committed.  What a failed write left
@@ -25,7 +29,7 @@ def land_raw(df: DataFrame, root: str, version: str, ingest_date: str) -> str:
     """
     path = _version_path(root, version, ingest_date)
     if not write_committed(df.sparkSession, path):
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
 
@@ -53,8 +57,11 @@ def _version_order(version: str) -> list[tuple[int, str]]:
 
 
 def read_latest(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
-    """Scan the newest landed version; only its folder is listed."""
-    return spark.read.parquet(latest_version(spark, root, version))
+    """Scan the newest landed version; only its folder is listed.  Quarantined lines are not part of it."""
+    rows = spark.read.parquet(latest_version(spark, root, version))
+    if ROWS not in rows.columns:
+        return rows
+    return rows.filter(F.col(ROWS) == ACCEPTED).drop(ROWS, REASON, LINE, POSITIONED)
 
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from sievework import sources
 from sievework.operators import audit, clean, integrity, validate
 from sievework.plans import catalog, cleaning, exploration, features, ingest, presets, publishing
 from sievework.plans.spec import FeatureSpec
@@ -59,7 +60,13 @@ def test_ingest_reports(flow, spark):
     assert reports["duplicate_rows"].first()[0] == 1
     assert reports["duplicate_keys"].first()[0] == 2
     assert reports["date_samples"].count() == 5
+    bad = landed.quarantine.collect()
+    assert [r["text"] for r in bad] == [incident_lines()[-1]] and bad[0]["reason"] == "too many fields"
+    assert tuple(sources.read_latest(spark, dataset.raw_zone).columns) == tuple(landed.table.columns)
+    assert sources.read_latest(spark, dataset.raw_zone).count() == 406
     manifest = read_json_document(spark, f"{dataset.catalog_zone}/ingestion_manifest").first()
+    files = [p for p in (root / "raw").rglob("*.parquet")]
+    assert (manifest["file_count"], manifest["size_bytes"]) == (len(files), sum(p.stat().st_size for p in files))
     assert (manifest["row_count"], manifest["column_count"], len(manifest["columns"])) == (406, 22, 22)
     assert manifest["checksum"] == integrity.table_fingerprint(landed.table, landed.table.columns).first()["fingerprint"]
     assert reports["file_checksums"].first()["md5"] == hashlib.md5((root / "incidents.csv").read_bytes()).hexdigest()

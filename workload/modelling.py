@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions.text import as_column
-from sievework.operators import audit, encode, features, profile, sampling, selection, validate
+from sievework.operators import audit, clean, encode, features, profile, sampling, selection, validate
 from sievework.plans.features import Features, derive, run_features, save_features
 from sievework.plans.ingest import Dataset, ingestion_manifest
 from sievework.plans.publishing import validate_published
 from sievework.scratch import fresh_path, written
-from sievework.sources.delimited import bad_line_count, read_delimited
+from sievework.sources.delimited import bad_line_count, land_delimited, landed_rows, quarantined_lines, read_delimited
 from sievework.sources.documents import document_counts, read_json_document, write_json_document
 from sievework.sources.tables import land_raw, publish, read_latest, read_processed, write_processed
 from workload.cleaning import _cleaned, etl_audit
@@ -227,6 +227,43 @@ def bad_lines(spark: SparkSession, sf: str) -> DataFrame:
     return counted.select("bad_lines", warn.scalar().alias("warn_rows"), kept.select("keep_rows").scalar().alias("keep_rows"), kept.select("keep_sum").scalar().alias("keep_sum"))
 
 
+def quarantined(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders landed as delimited text with quoted line ends; lines with a field too many are kept apart, with their reason."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    line = F.concat(F.col("o_orderkey").cast("string"), F.lit(',"status\n'), "o_orderstatus", F.lit('"'), F.when(F.col("o_orderkey") % 11 == 0, F.lit(",x,y")).otherwise(F.lit("")))
+    path, zone = fresh_path(spark, "odd-lines"), fresh_path(spark, "zone")
+    # A text file of lines; its first one is the header.
+    head = spark.createDataFrame([(-1, "key,status")], "o bigint, line string")
+    rows = head.unionByName(orders.select(F.col("o_orderkey").alias("o"), line.alias("line"))).repartitionByRange(1, "o").sortWithinPartitions("o")
+    rows.select("line").write.text(path)
+    landed = land_delimited(spark, path, ["key", "status"], zone, "v1", "2026-01-01")
+    bad = quarantined_lines(spark, landed).select("reason", "text")
+    kept = landed_rows(spark, landed, ["key", "status"]).groupBy("status").agg(F.count("*").cast("string").alias("n"))
+    return bad.unionByName(kept.select(F.concat(F.lit("accepted "), "n").alias("reason"), F.col("status").alias("text")))
+
+
+def quoted_newlines(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents, with the line ends inside their texts, written as delimited text and read back by many tasks."""
+    path = fresh_path(spark, "documents")
+    columns = ["doc_id", "lang", "text"]
+    write_processed(table(spark, sf, "documents").select(*columns), path, "csv")
+    read = read_delimited(spark, path, columns, missing_tokens=["\0"], multi_line=True)
+    return read.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def first_arrival(spark: SparkSession, sf: str) -> DataFrame:
+    """The first line of each customer in files of orders, newest first, whatever the values say."""
+    path, zone = fresh_path(spark, "orders"), fresh_path(spark, "zone")
+    columns = ["o_custkey", "o_orderkey", "o_orderstatus"]
+    orders = table(spark, sf, "orders").select(*columns)
+    newest = orders.repartitionByRange(8, F.desc("o_orderkey")).sortWithinPartitions(F.desc("o_orderkey"))
+    write_processed(newest, path, "csv")
+    landed = land_delimited(spark, path, columns, zone, "v1", "2026-01-01")
+    rows = landed_rows(spark, landed, columns, arrival=True)
+    first = clean.dedup_keep_first(rows, ["o_custkey"], [F.col("_position")]).drop("_position")
+    return first.select(*(F.col(c).cast("bigint").alias(c) if c != "o_orderstatus" else c for c in columns))
+
+
 #: Candidates scored from contingency tables; the city is the same everywhere and says nothing.
 _SCORED = ("hour", "day_of_week", "city")
 _SELECTED = replace(FEATURES, candidates=_SCORED, discrete=_SCORED, threshold=1e-6, sample_rows=1_000_000)
@@ -443,6 +480,16 @@ FROM cleaned""",
         + """SELECT CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
   CAST(dense_rank() OVER (ORDER BY type) - 1 AS INTEGER) AS type_label FROM cleaned""",
     ),
+    "quarantined_lines": (
+        quarantined,
+        """SELECT 'too many fields' AS reason, o_orderkey || ',"status' || chr(10) || o_orderstatus || '",x,y' AS text FROM orders WHERE o_orderkey % 11 = 0
+        UNION ALL SELECT 'accepted ' || count(*), 'status' || chr(10) || o_orderstatus FROM orders WHERE o_orderkey % 11 <> 0 GROUP BY o_orderstatus""",
+    ),
+    "quoted_newlines": (quoted_newlines, "SELECT doc_id, lang, coalesce(text, '') AS text FROM documents"),
+    "first_arrival": (
+        first_arrival,
+        "SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY o_custkey",
+    ),
     "bad_lines": (
         bad_lines,
         """SELECT count(*) FILTER (o_orderkey % 7 = 0) AS bad_lines, count(*) FILTER (o_orderkey % 7 <> 0) AS warn_rows,
