@@ -1,9 +1,9 @@
 """Quality rules: counts over whole texts, and a Viterbi labelling of lines as content or boilerplate.
 
 A linear-chain conditional random field over the lines of a text has two labels.  Its weights are
-fitted in numpy on a bounded sample of labelled documents, every line of which takes the label of
-its document.  The share of word characters in lines that the best label sequence calls content
-decides whether a document stays.
+fitted in numpy on a bounded sample of labelled documents.  What is known is the label of a document; the labels of
+its lines are latent and estimated by expectation-maximisation.  The share of word characters in
+lines that the best label sequence calls content decides whether a document stays.
 """
 
 from __future__ import annotations
@@ -26,7 +26,10 @@ MAX_REPEAT_PERCENT = 20
 REPEAT_WINDOW = 5
 #: Share of word characters in content lines from which a document stays.
 MIN_CONTENT = 0.5
-#: Bounds of the sample that the weights are fitted on: documents, and lines of a document.
+#: Rounds of expectation-maximisation, and log odds by which a document's label speaks for that of a line.
+ROUNDS = 3
+PULL = 0.5
+#: Bounds of the sample that the weights are fitted on: documents, and lines of a document (a run from its middle).
 SAMPLE_DOCUMENTS = 4_000
 SAMPLE_LINES = 200
 
@@ -149,29 +152,29 @@ def best_labels(scores: np.ndarray, doc: np.ndarray, transitions: np.ndarray) ->
     return labels
 
 
-def fit(features: list[np.ndarray], labels: np.ndarray, steps: int = 150, rate: float = 0.3, ridge: float = 1e-3) -> LineModel:
-    """Weights of highest likelihood, by forward-backward sums and gradient steps (Adam)."""
-    if not len(set(labels.tolist())) == 2:
-        return LineModel(PLAIN_WEIGHTS, PLAIN_TRANSITIONS)
-    order = np.argsort([-len(f) for f in features], kind="stable")
-    features, labels = [features[i] for i in order], labels[order].astype(int)
-    length = np.array([len(f) for f in features])
-    x = np.zeros((length[0], len(features), len(FEATURES)))
-    for i, f in enumerate(features):
-        x[: len(f), i] = f
-    active = [int(np.sum(length > t)) for t in range(length[0] + 1)]
-    # Both classes weigh the same.
-    weight = np.where(labels == 1, 0.5 / np.sum(labels == 1), 0.5 / np.sum(labels == 0)) / length
-    w, trans = np.zeros(len(FEATURES)), np.zeros((2, 2))
-    moments = [np.zeros(len(FEATURES)), np.zeros((2, 2)), np.zeros(len(FEATURES)), np.zeros((2, 2))]
+class _Chains:
+    """Lines of many documents side by side: step, document, feature; documents by falling length."""
 
-    def logsum(a: np.ndarray, axis: int) -> np.ndarray:
-        top = a.max(axis=axis, keepdims=True)
-        return np.log(np.exp(a - top).sum(axis=axis)) + top.squeeze(axis)
+    def __init__(self, features: list[np.ndarray]):
+        self.length = np.array([len(f) for f in features])
+        self.x = np.zeros((self.length[0], len(features), len(FEATURES)))
+        for i, f in enumerate(features):
+            self.x[: len(f), i] = f
+        self.active = [int(np.sum(self.length > t)) for t in range(self.length[0] + 1)]
+
+    def marginals(self, w: np.ndarray, trans: np.ndarray, pull: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of content of every line, and of the label pairs of it and the line before.
+
+        ``pull`` is added to the content score of all lines of a document.
+        """
+        x, active = self.x, self.active
+
+        def logsum(a: np.ndarray, axis: int) -> np.ndarray:
+            top = a.max(axis=axis, keepdims=True)
+            return np.log(np.exp(a - top).sum(axis=axis)) + top.squeeze(axis)
 
-    for step in range(1, steps + 1):
         score = np.zeros(x.shape[:2] + (2,))
-        score[..., 1] = x @ w
+        score[..., 1] = x @ w + (0 if pull is None else pull)
         ahead, behind = np.zeros_like(score), np.zeros_like(score)
         ahead[0] = score[0]
         for t in range(1, len(x)):
@@ -181,31 +184,60 @@ def fit(features: list[np.ndarray], labels: np.ndarray, steps: int = 150, rate:
             n = active[t + 1]
             behind[t, :n] = logsum(trans + (score[t + 1, :n] + behind[t + 1, :n])[:, None, :], 2)
         norm = logsum(ahead[0] + behind[0], 1)
-        grad_w, grad_t = -ridge * w, -ridge * trans
+        content, pairs = np.zeros(x.shape[:2]), np.zeros(x.shape[:2] + (2, 2))
         for t in range(len(x)):
             n = active[t]
-            content = np.exp(ahead[t, :n, 1] + behind[t, :n, 1] - norm[:n])
-            grad_w = grad_w + (weight[:n] * (labels[:n] - content)) @ x[t, :n]
+            content[t, :n] = np.exp(ahead[t, :n, 1] + behind[t, :n, 1] - norm[:n])
             if t:
-                pair = np.exp(ahead[t - 1, :n, :, None] + trans + (score[t, :n] + behind[t, :n])[:, None, :] - norm[:n, None, None])
-                grad_t = grad_t - np.einsum("n,nij->ij", weight[:n], pair)
-                np.add.at(grad_t, (labels[:n], labels[:n]), weight[:n])
-        for i, (value, grad) in enumerate(((w, grad_w), (trans, grad_t))):
-            moments[i] = 0.9 * moments[i] + 0.1 * grad
-            moments[i + 2] = 0.99 * moments[i + 2] + 0.01 * grad**2
-            value += rate * (moments[i] / (1 - 0.9**step)) / (np.sqrt(moments[i + 2] / (1 - 0.99**step)) + 1e-8)
+                pairs[t, :n] = np.exp(ahead[t - 1, :n, :, None] + trans + (score[t, :n] + behind[t, :n])[:, None, :] - norm[:n, None, None])
+        return content, pairs
+
+
+def fit(features: list[np.ndarray], labels: np.ndarray, rounds: int = ROUNDS, steps: int = 40, rate: float = 0.3, ridge: float = 1e-3) -> LineModel:
+    """Weights by expectation-maximisation: line labels are unknown, document labels pull at them.
+
+    The start takes every line for what its document is, each line by itself.  Then, in every round, the
+    expected labels of lines and of neighbours are those of the model with the pull of the document's
+    label, so a line that looks like the other kind becomes one; the weights follow these
+    expectations by gradient steps (Adam).
+    """
+    if not len(set(labels.tolist())) == 2:
+        return LineModel(PLAIN_WEIGHTS, PLAIN_TRANSITIONS)
+    order = np.argsort([-len(f) for f in features], kind="stable")
+    labels = labels[order].astype(int)
+    chains = _Chains([features[i] for i in order])
+    inside = np.arange(len(chains.x))[:, None] < chains.length
+    # Both classes weigh the same.
+    weight = np.where(labels == 1, 0.5 / np.sum(labels == 1), 0.5 / np.sum(labels == 0)) / chains.length
+    w, trans = np.zeros(len(FEATURES)), np.zeros((2, 2))
+    for turn in range(rounds + 1):
+        if turn:
+            lines, pairs = chains.marginals(w, trans, PULL * (2 * labels - 1))
+        else:
+            lines, pairs = np.where(inside, labels, 0.0), None
+        moments = [np.zeros(len(FEATURES)), np.zeros((2, 2)), np.zeros(len(FEATURES)), np.zeros((2, 2))]
+        for step in range(1, (steps if turn else 8 * steps) + 1):
+            # Without pairs every line stands by itself.
+            content, model_pairs = chains.marginals(w, trans) if turn else (1 / (1 + np.exp(-(chains.x @ w))), None)
+            grad_w = np.einsum("tn,tnf->f", (lines - content) * weight * inside, chains.x) - ridge * w
+            grad_t = np.einsum("n,tnij->ij", weight, pairs - model_pairs) - ridge * trans if turn else np.zeros((2, 2))
+            for i, (value, grad) in enumerate(((w, grad_w), (trans, grad_t))):
+                moments[i] = 0.9 * moments[i] + 0.1 * grad
+                moments[i + 2] = 0.99 * moments[i + 2] + 0.01 * grad**2
+                value += rate * (moments[i] / (1 - 0.9**step)) / (np.sqrt(moments[i + 2] / (1 - 0.99**step)) + 1e-8)
     return LineModel(w, trans)
 
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text") -> LineModel:
-    """Model of a bounded sample: ``SAMPLE_DOCUMENTS`` labelled documents of up to ``SAMPLE_LINES`` lines."""
+    """Model of a bounded sample: ``SAMPLE_DOCUMENTS`` labelled documents, ``SAMPLE_LINES`` lines of each."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, data, offsets in chunks(batch.column(0)):
                 lines = Lines(data, offsets)
                 parts = np.split(lines.features, np.searchsorted(lines.doc, np.arange(1, high - low)))
-                fits = [0 < len(p) <= SAMPLE_LINES for p in parts]
+                parts = [p[max(len(p) - SAMPLE_LINES, 0) // 2 :][:SAMPLE_LINES] for p in parts]
+                fits = [len(p) > 0 for p in parts]
                 blocks = pa.array([p.tobytes() for p, ok in zip(parts, fits) if ok], pa.binary())
                 yield pa.RecordBatch.from_arrays([blocks, batch.column(1).slice(low, high - low).filter(pa.array(fits))], names=["lines", "label"])
 

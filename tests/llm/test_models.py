@@ -182,3 +182,53 @@ def test_samples_keep_their_bound(spark):
     assert sum(label == "rare" for _, _, label in found) == 3
     assert found == [tuple(r) for r in labelled_sample(docs.repartition(7), labels.repartition(3), "label", 200).collect()]
     assert len(labelled_sample(docs, labels, "label", 100_000).collect()) == 2999
+
+
+JUNK = ["### ||| $$$ %%% &&& *** ||| ### $$$ %%%", "| buy | now | *** | $$$ | ### | %%% |", "&&& ### click*** here$$$ free%%% win### now|||"]
+
+
+@pytest.fixture(scope="module")
+def line_model(spark):
+    docs, labels = (queries.table(spark, SF.replace("0.001", "0.01"), t) for t in ("documents", "labels"))
+    return line_quality.fit_on_labels(docs, labels)
+
+
+def labels_of(model, lines):
+    raw = "\n".join(lines).encode()
+    found = line_quality.Lines(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    scores = np.zeros((len(found.doc), 2))
+    scores[:, 1] = found.features @ model.weights
+    return line_quality.best_labels(scores, found.doc, model.transitions).tolist(), line_quality.judged(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), model)[7][0]
+
+
+@pytest.mark.parametrize("content,junk", [(9, 3), (3, 9), (6, 6)])
+def test_lines_of_mixed_documents(line_model, content, junk):
+    """Lines get labels of their own, runs of three or more the right ones: the share lies between 0 and 1."""
+    good = [f"The river runs under the old bridge number {i} and past the green house by the water." for i in range(content)]
+    bad = [JUNK[i % 3] + f" {i}" for i in range(junk)]
+    half = content // 2
+    orders = [(good + bad, [1] * content + [0] * junk), (bad + good, [0] * junk + [1] * content)]
+    if half >= 3:
+        orders.append((good[:half] + bad + good[half:], [1] * half + [0] * junk + [1] * (content - half)))
+    for lines, known in orders:
+        labels, share = labels_of(line_model, lines)
+        assert labels == known
+        chars = [sum(len(w) for w in line.split()) for line in lines]
+        assert 0 < share < 1 and abs(share - sum(c for c, k in zip(chars, known) if k) / sum(chars)) < 0.15
+
+
+def test_latent_labels_are_found():
+    """Half of the lines of each document are of the other kind; the fit parts the kinds all the same."""
+    rng = np.random.default_rng(1)
+    features, labels = [], []
+    for i in range(200):
+        quality = i % 2
+        kind = np.repeat([quality, quality, 1 - quality, quality], 3)
+        x = np.zeros((12, len(line_quality.FEATURES)))
+        x[:, 0], x[:, 2] = 1, np.where(kind == 0, 0.8, 0.0) + rng.normal(0, 0.05, 12)
+        features.append(x)
+        labels.append(quality)
+    model = line_quality.fit(features, np.array(labels))
+    scores = np.zeros((12, 2))
+    scores[:, 1] = features[1] @ model.weights
+    assert line_quality.best_labels(scores, np.zeros(12, int), model.transitions).tolist() == [1] * 6 + [0] * 3 + [1] * 3
