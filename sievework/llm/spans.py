@@ -29,6 +29,8 @@ TEXTS = ["key", "tag", "nulls", "sizes", "text", "rest"]
 #: Buckets for each shuffle partition at least, and bytes of text for which there is one at least; no effect on results.
 BUCKETS_EACH = 2
 BUCKET_BYTES = 16 << 20
+#: Documents up to which a list of them is sent to every task (24 bytes each).
+SENT_DOCUMENTS = 200_000
 #: Finished spans a task holds, and bytes of text it packs or works on at once; no effect on results.
 HELD_SPANS = 200_000
 PACKED_BYTES = 4 << 20
@@ -63,11 +65,14 @@ def tagged(df: DataFrame, key: str, text: str, rest: list[str] | None = None) ->
 
 
 def without(df: DataFrame, documents: DataFrame, key: str = "doc_id", text: str = "text", how: str = "left_anti") -> DataFrame:
-    """Rows of ``df`` that are none of the ``documents`` (``key``, ``tag``)."""
+    """Rows of ``df`` that are none of the ``documents`` (``key``, ``tag``; a written table).
+
+    Up to ``SENT_DOCUMENTS`` they go to every task, so that no text is shuffled; beyond, Spark joins by shuffle.
+    """
     names = {c: unused(df, f"other_{c}") for c in ("key", "tag")}
     other = documents.select(*(F.col(c).alias(n) for c, n in names.items()))
     same = (F.col(key).cast("long") == F.col(names["key"])) & (tag_of(F.col(text).cast("string")) == F.col(names["tag"]))
-    return df.join(other, same, how)
+    return df.join(F.broadcast(other) if documents.count() <= SENT_DOCUMENTS else other, same, how)
 
 
 def one_row_each(df: DataFrame, dropped: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
