@@ -12,10 +12,14 @@ from sievework.sources.delimited import (
 from sievework.sources.documents import document_check, document_counts, read_json_document, write_json_document
 from sievework.sources.inventory import file_checksums, file_inventory
 from sievework.sources.tables import (
+    PublishConflict,
+    current_path,
     head_sample,
     land_raw,
     latest_version,
     publish,
+    publish_version,
+    published_version,
     read_latest,
     read_processed,
     write_features,
@@ -23,7 +27,9 @@ from sievework.sources.tables import (
 )
 
 __all__ = [
+    "PublishConflict",
     "bad_line_count",
+    "current_path",
     "document_check",
     "document_counts",
     "file_checksums",
@@ -33,6 +39,8 @@ __all__ = [
     "land_raw",
     "latest_version",
     "publish",
+    "publish_version",
+    "published_version",
     "land_delimited",
     "landed_rows",
     "quarantined_lines",

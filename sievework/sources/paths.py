@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -39,3 +40,36 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     if not files.exists(target):
         return []
     return sorted(s.getPath().getName() for s in files.listStatus(target) if s.isDirectory())
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with ``text``; False if there is one already.  Of several callers one gets True."""
+    files, target = _hadoop(spark, path)
+    try:
+        out = files.create(target, False)
+    except Py4JJavaError as error:
+        if files.exists(target):
+            return False
+        raise error
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def move_folder(spark: SparkSession, source: str, path: str) -> bool:
+    """Move a folder to ``path`` in one step; False, and the folder is removed, if another one is there."""
+    files, target = _hadoop(spark, path)
+    origin = _hadoop(spark, source)[1]
+    files.mkdirs(target.getParent())
+    inside = f"{path.rstrip('/')}/{origin.getName()}"
+    moved = not files.exists(target) and files.rename(origin, target)
+    # Where another writer came first, the move may have ended inside of its folder.
+    if moved and not path_exists(spark, inside):
+        return True
+    remove(spark, inside if path_exists(spark, inside) else source)
+    return False
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = _hadoop(spark, path)
+    files.delete(target, True)

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.sources.paths import child_folders, write_committed
+from sievework.sources.paths import child_files, child_folders, create_new, move_folder, path_exists, remove, write_committed
 
 #: Columns that delimited rows land with: whether a row was accepted, why not, its line, its place in the files.
 ROWS, REASON, LINE, POSITIONED = "_rows", "_reason", "_line", "_position"
 ACCEPTED, QUARANTINED = "accepted", "quarantined"
 
+#: Folder of the pointers of a published table; Spark does not list it as data.
+_POINTERS = "_versions"
+
 #: Largest head that may be asked for: it is sorted in one task.
 MAX_HEAD = 1_000_000
 
@@ -24,12 +28,18 @@ def _version_path(root: str, version: str, ingest_date: str) -> str:
 def land_raw(df: DataFrame, root: str, version: str, ingest_date: str, partition_by: Sequence[str] = ()) -> str:
     """Write an immutable raw version and return its path; a landed version is left alone.
 
-    A version counts as landed once its write was committed.  What a failed write left
-    behind is replaced.
+    A version counts as landed once its write was committed.  It is written aside and moved to its place
+    in one step, so no reader meets a part of it, and of two writers the first one lands.  What a
+    failed write left behind is replaced.
     """
-    path = _version_path(root, version, ingest_date)
-    if not write_committed(df.sparkSession, path):
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    spark, path = df.sparkSession, _version_path(root, version, ingest_date)
+    if write_committed(spark, path):
+        return path
+    aside = f"{root.rstrip('/')}/_landing-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(aside)
+    if path_exists(spark, path) and not write_committed(spark, path):
+        remove(spark, path)
+    move_folder(spark, aside, path)
     return path
 
 
@@ -65,8 +75,8 @@ def read_latest(spark: SparkSession, root: str, version: str | None = None) -> D
 
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a processed table; its types were stored with it."""
-    return spark.read.parquet(path)
+    """Scan a processed or published table; its types were stored with it."""
+    return spark.read.parquet(current_path(spark, path))
 
 
 def write_processed(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -92,11 +102,51 @@ def write_features(df: DataFrame, path: str, columns: Sequence[str] | None = Non
     write_processed(df.select(*columns) if columns else df, path)
 
 
+class PublishConflict(RuntimeError):
+    """Another writer has published the table since this one began."""
+
+
+def _pointers(spark: SparkSession, place: str) -> list[tuple[int, str]]:
+    """Numbers and names of the pointers of a published table; one still being written is empty and none."""
+    return sorted((int(name), name) for name, size, _ in child_files(spark, f"{place}/{_POINTERS}") if name.isdigit() and size)
+
+
+def published_version(spark: SparkSession, place: str) -> int:
+    """Number of the version of a published table that readers get; 0 if there is none."""
+    return max((number for number, _ in _pointers(spark, place)), default=0)
+
+
+def current_path(spark: SparkSession, place: str) -> str:
+    """Folder of the rows of a table: where its newest pointer points, or ``place`` if it was never published."""
+    place = place.rstrip("/")
+    pointers = _pointers(spark, place)
+    if not pointers:
+        return place
+    return f"{place}/{spark.read.text(f'{place}/{_POINTERS}/{pointers[-1][1]}').first()[0]}"
+
+
+def publish_version(df: DataFrame, place: str, after: int | None = None) -> int:
+    """Publish a table as the version that follows ``after`` (default: the one there is now); its number.
+
+    The rows are written aside.  One small file then makes them the version that readers get; it can be
+    created once, so of two writers that follow the same version the second fails with ``PublishConflict``.
+    Readers keep what they resolved: nothing is replaced in place.
+    """
+    spark, place = df.sparkSession, place.rstrip("/")
+    after = published_version(spark, place) if after is None else after
+    folder = f"data-{uuid.uuid4().hex}"
+    df.write.parquet(f"{place}/{folder}")
+    if not create_new(spark, f"{place}/{_POINTERS}/{after + 1:010d}", folder):
+        remove(spark, f"{place}/{folder}")
+        raise PublishConflict(f"{place} has a version {after + 1} already")
+    return after + 1
+
+
 def publish(tables: dict[str, DataFrame], uri: str) -> dict[str, str]:
-    """Write each table below ``uri`` (any scheme Spark can reach), replacing what is there."""
+    """Publish each table below ``uri`` (any scheme Spark can reach) as its next version; ``read_processed`` resolves a place."""
     places = {name: f"{uri.rstrip('/')}/{name}" for name in tables}
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(places[name])
+        publish_version(df, places[name])
     return places
 
 

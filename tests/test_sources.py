@@ -123,3 +123,40 @@ def test_quoted_newlines_and_headers(spark, tmp_path, rows):
     (tmp_path / "mixed" / "two.csv").write_text("b,a,c\n2,1,3\n")
     with pytest.raises(Exception, match="header"):
         sources.read_delimited(spark, str(tmp_path / "mixed"), COLUMNS).collect()
+
+
+def test_of_two_writers_one_publishes(spark, tmp_path):
+    place = str(tmp_path / "table")
+    assert sources.publish_version(spark.range(3), place) == 1
+    assert sources.publish_version(spark.range(5), place, after=1) == 2
+    held = sources.read_processed(spark, place)
+    with pytest.raises(sources.PublishConflict):
+        sources.publish_version(spark.range(9), place, after=1)
+    assert sources.read_processed(spark, place).count() == 5 and sources.published_version(spark, place) == 2
+    assert sources.publish_version(spark.range(7), place) == 3
+    assert held.count() == 5 and sources.read_processed(spark, place).count() == 7
+    assert len(list((tmp_path / "table").glob("data-*"))) == 3
+
+
+def test_a_failed_publication_changes_nothing(spark, tmp_path):
+    place = str(tmp_path / "table")
+    sources.publish_version(spark.range(3), place)
+    with pytest.raises(Exception, match="broken"):
+        sources.publish_version(spark.range(10).select(F.when(F.col("id") > 5, F.raise_error(F.lit("broken"))).otherwise(F.col("id").cast("string")).alias("x")), place)
+    (tmp_path / "table" / "_versions" / "0000000002").write_text("")
+    assert sources.read_processed(spark, place).count() == 3
+
+
+def test_landings_are_moved_whole(spark, tmp_path):
+    from sievework.sources import paths
+
+    root = str(tmp_path / "raw")
+    with pytest.raises(Exception, match="broken"):
+        sources.land_raw(spark.range(10).select(F.when(F.col("id") > 5, F.raise_error(F.lit("broken"))).otherwise(F.col("id").cast("string")).alias("x")), root, "v1", "2026-01-01")
+    assert not (tmp_path / "raw" / "version=v1").exists()
+    path = sources.land_raw(spark.range(4), root, "v1", "2026-01-01")
+    # Another writer that ends later: its rows are put away, those that landed stay.
+    spark.range(9).write.parquet(f"{root}/_landing-late")
+    assert not paths.move_folder(spark, f"{root}/_landing-late", path)
+    assert not (tmp_path / "raw" / "_landing-late").exists()
+    assert sources.land_raw(spark.range(9), root, "v1", "2026-01-01") == path and sources.read_latest(spark, root).count() == 4
