@@ -37,6 +37,19 @@ def rows_after_steps(df: DataFrame, steps: Sequence[tuple[str, Column]], first_n
     return df.agg(F.array(*counters).alias("steps")).select(F.inline("steps"))
 
 
+def rows_after_failures(df: DataFrame, failed: Column, steps: Sequence[str], first_no: int = 1) -> DataFrame:
+    """Rows left after each step where ``failed`` names the first step that a row fails (NULL: none).
+
+    One grouped count over one scan; what follows works on a row per step.
+    """
+    counts = df.groupBy(failed.alias("step")).agg(F.count("*").alias("n"))
+    numbers = F.map_from_arrays(F.array(*[F.lit(s) for s in steps]), F.array(*[F.lit(i) for i in range(len(steps))]))
+    placed = counts.select(F.coalesce(F.element_at(numbers, F.col("step")), F.lit(len(steps))).alias("place"), "n")
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    left = [F.struct(F.lit(first_no + i).alias("step_no"), F.lit(s).alias("step"), (total - F.coalesce(F.sum(F.when(F.col("place") <= i, F.col("n"))), F.lit(0))).alias("rows_after")) for i, s in enumerate(steps)]
+    return placed.agg(F.array(*left).alias("steps")).select(F.inline("steps"))
+
+
 def rows_after_step(df: DataFrame, name: str, number: int) -> DataFrame:
     """Rows left after a step that is not a row test, such as a deduplication."""
     return df.agg(F.count("*").alias("rows_after")).select(

@@ -19,9 +19,14 @@ def _surplus(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     return sizes.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias(out))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """128-bit hash of a whole row."""
+    return F.unhex(F.md5(F.concat_ws("|", *[_field(df, c) for c in df.columns])))
+
+
 def row_hashes(df: DataFrame) -> DataFrame:
     """128-bit hash ``h`` of every row, so that whole rows need not be shuffled to be told apart."""
-    return df.select(F.unhex(F.md5(F.concat_ws("|", *[_field(df, c) for c in df.columns]))).alias("h"))
+    return df.select(row_hash(df).alias("h"))
 
 
 def duplicate_row_count(df: DataFrame) -> DataFrame:
@@ -49,9 +54,9 @@ def table_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     taken in 16-bit halves, which as 64-bit numbers hold 10^14 rows.  Use integer, text or date
     columns; the text form of a double is engine-specific.
     """
-    row_hash = F.md5(F.concat_ws("|", *[_field(df, c) for c in columns]))
+    digest = F.md5(F.concat_ws("|", *[_field(df, c) for c in columns]))
     words = [F.conv(F.substring("h", 8 * i + 1, 8), 16, 10).cast("bigint").alias(f"w{i}") for i in range(4)]
-    hashed = df.select(row_hash.alias("h")).select(*words)
+    hashed = df.select(digest.alias("h")).select(*words)
     total = lambda half: F.coalesce(F.sum(half), F.lit(0)).cast("decimal(38,0)")
 
     def summed(word: str) -> Column:

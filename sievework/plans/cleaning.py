@@ -7,10 +7,15 @@ what all other checks left.
 Physical shape: one shuffle for the deduplication, one written table, then narrow scans
 of that table for the class counts, the fences and the audit, and one full scan for the
 result.
+
+Every row of the written table carries the first step it fails, and a failing one what it was like
+before.  So rejected rows are data that can be read with their reason, and the audit is one grouped
+count of that table, which a stage that runs again cannot change.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,16 +31,20 @@ from sievework.sources.documents import write_json_document
 from sievework.sources.tables import write_processed
 
 _COMPLETE = "_complete"
+_FAILED = "_failed"
+_RAW = "_raw"
+OUTLIERS = "iqr_outliers"
 
 
 @dataclass(frozen=True)
 class Cleaned:
-    """Result of the flow: the table, its audit, the merged classes, the fences."""
+    """Result of the flow: the table, its audit, the merged classes, the fences, the rejected rows."""
 
     table: DataFrame
     audit: DataFrame
     rare: DataFrame
     fences: tuple[clean.Fence, ...]
+    rejects: DataFrame
 
 
 def first_rows(raw: DataFrame, spec: CleaningSpec) -> DataFrame:
@@ -50,8 +59,8 @@ def first_rows(raw: DataFrame, spec: CleaningSpec) -> DataFrame:
     return clean.dedup_keep_first(raw, spec.key, [F.expr(o).asc_nulls_last() for o in spec.order_by])
 
 
-def typed(df: DataFrame, spec: CleaningSpec) -> DataFrame:
-    """Fill, cast and standardise every column in one projection.
+def typed(df: DataFrame, spec: CleaningSpec, keep: Sequence[Column] = ()) -> DataFrame:
+    """Fill, cast and standardise every column in one projection; ``keep`` are further columns of it.
 
     ``_complete`` records whether the raw row had all critical values, which can no
     longer be told from the typed ones.
@@ -77,6 +86,7 @@ def typed(df: DataFrame, spec: CleaningSpec) -> DataFrame:
     return df.select(
         *[value(c).alias(c) for c in df.columns],
         (~clean.any_missing(spec.critical)).alias(_COMPLETE),
+        *keep,
     )
 
 
@@ -100,13 +110,47 @@ def passing(staged: DataFrame, spec: CleaningSpec) -> DataFrame:
     return staged.drop(_COMPLETE)
 
 
+def _as_text(df: DataFrame, columns: Sequence[str]) -> Column:
+    return F.struct(*[as_column(c).cast("string").alias(c) for c in columns])
+
+
+def judged(df: DataFrame, spec: CleaningSpec) -> DataFrame:
+    """The typed table with ``_failed``, the first step a row fails, and ``_raw``, what a failing row was like."""
+    rows = typed(df, spec, [_as_text(df, df.columns).alias(_RAW)])
+    first = F.coalesce(*[F.when(~F.coalesce(test, F.lit(False)), F.lit(name)) for name, test in row_tests(spec)])
+    rows = rows.withColumn(_FAILED, first)
+    return rows.withColumn(_RAW, F.when(F.col(_FAILED).isNotNull(), F.col(_RAW))).drop(_COMPLETE)
+
+
+def duplicates(raw: DataFrame, first: DataFrame) -> DataFrame:
+    """``step``, ``copies`` and ``row`` of the raw rows that deduplication leaves out; ``first`` are those it keeps.
+
+    Copies of a row are one row with their number, counted before anything is shuffled; the others are
+    found by a 128-bit hash, so a key that fills a third of the table is spread.
+    """
+    row = _as_text(raw, raw.columns).alias("row")
+    rows = raw.select(integrity.row_hash(raw).alias("h"), row).groupBy("h").agg(F.count("*").alias("n"), F.first("row").alias("row"))
+    rows = written(rows, "distinct-rows")
+    copies = rows.filter("n > 1").select(F.lit("drop_exact_duplicates").alias("step"), (F.col("n") - 1).alias("copies"), "row")
+    other = rows.join(first.select(integrity.row_hash(first).alias("h")), "h", "left_anti")
+    return copies.unionByName(other.select(F.lit("dedup_key").alias("step"), F.lit(1).cast("bigint").alias("copies"), "row"))
+
+
 def run_cleaning(raw: DataFrame, spec: CleaningSpec) -> Cleaned:
-    """Clean a raw table; ``raw`` should be a scan."""
-    staged = written(typed(first_rows(raw, spec), spec), "staged")
-    kept = passing(staged, spec)
+    """Clean a raw table; ``raw`` should be a scan.
+
+    ``rejects`` hold every row that is not in the table, with the step that rejected it: ``step``,
+    ``copies`` and ``row`` (as text; of outliers, the cleaned values).
+    """
+    first = first_rows(raw, spec)
+    staged = written(judged(first, spec), "staged")
+    kept = staged.where(F.col(_FAILED).isNull()).drop(_FAILED, _RAW)
     fences = clean.fit_fences(kept, spec.fence_columns, spec.fence_factor)
     merged = clean.merge_rare(kept, spec.category, spec.rare_threshold)
-    steps = [*row_tests(spec), ("iqr_outliers", clean.within_fences(fences))]
+    outside = ~F.coalesce(clean.within_fences(fences), F.lit(False))
+    failed = F.coalesce(_FAILED, F.when(outside, F.lit(OUTLIERS)))
+    late = staged.withColumn(_FAILED, failed).filter(F.col(_FAILED).isNotNull())
+    late = late.select(F.col(_FAILED).alias("step"), F.lit(1).cast("bigint").alias("copies"), F.coalesce(_RAW, _as_text(raw, raw.columns)).alias("row"))
     return Cleaned(
         table=merged.where(clean.within_fences(fences)),
         audit=audit.audit_table(
@@ -114,17 +158,20 @@ def run_cleaning(raw: DataFrame, spec: CleaningSpec) -> Cleaned:
             [
                 audit.rows_after_step(integrity.row_hashes(raw).distinct(), "drop_exact_duplicates", 1),
                 audit.rows_after_step(staged, "dedup_key", 2),
-                audit.rows_after_steps(staged, steps, first_no=3),
+                audit.rows_after_failures(staged, failed, [*(name for name, _ in row_tests(spec)), OUTLIERS], first_no=3),
             ],
         ),
         rare=clean.rare_categories(kept, spec.category, spec.rare_threshold),
         fences=tuple(fences),
+        rejects=duplicates(raw, first).unionByName(late),
     )
 
 
-def save_cleaning(result: Cleaned, processed_path: str, catalog_zone: str) -> None:
-    """Write the cleaned table, its audit with totals, and the list of merged classes."""
+def save_cleaning(result: Cleaned, processed_path: str, catalog_zone: str, rejects_path: str | None = None) -> None:
+    """Write the cleaned table, its audit with totals, the list of merged classes and, if asked, the rejected rows by step."""
     write_processed(result.table, processed_path)
+    if rejects_path:
+        result.rejects.write.mode("overwrite").partitionBy("step").parquet(rejects_path)
     zone = catalog_zone.rstrip("/")
     audited = written(result.audit, "audit")
     write_json_document(audited, f"{zone}/etl_report")

@@ -86,6 +86,34 @@ def test_cleaning_audit_balances(flow):
     assert result.table.columns == landed.table.columns
 
 
+def test_rejected_rows_are_data(flow, spark, tmp_path):
+    _, _, landed, spec, result = flow
+    steps = {r["step"]: r["rows_dropped"] for r in result.audit.collect() if r["rows_dropped"]}
+    rejects = result.rejects.collect()
+    counted = {}
+    for r in rejects:
+        counted[r["step"]] = counted.get(r["step"], 0) + r["copies"]
+    assert counted == steps
+    raw = {tuple(r) for r in landed.table.collect()}
+    assert all(tuple(r["row"]) in raw for r in rejects if r["step"] != "iqr_outliers")
+    box = [r["row"] for r in rejects if r["step"] == "bounding_box"]
+    assert [(r["ID"], r["Latitude"]) for r in box] == [("902", "10.0")]
+    cleaning.save_cleaning(result, str(tmp_path / "cleaned"), str(tmp_path / "catalog"), str(tmp_path / "rejects"))
+    assert spark.read.parquet(str(tmp_path / "rejects")).groupBy("step").agg(F.sum("copies")).count() == len(steps)
+
+
+def test_the_audit_is_one_scan_of_the_staged_rows(flow, capsys):
+    _, _, landed, spec, _ = flow
+    staged = cleaning.judged(landed.table, spec)
+    left = audit.rows_after_failures(staged, F.col("_failed"), ["drop_missing", "fix_types", "bounding_box"], first_no=3)
+    left.explain()
+    assert capsys.readouterr().out.count("FileScan") == 1
+    rows = left.orderBy("step_no").collect()
+    assert [r["step_no"] for r in rows] == [3, 4, 5] and rows[0]["rows_after"] >= rows[2]["rows_after"]
+    none = audit.rows_after_failures(staged.limit(0), F.col("_failed"), ["a", "b"])
+    assert [tuple(r) for r in none.collect()] == [(1, "a", 0), (2, "b", 0)]
+
+
 def test_exact_copies_go_without_the_key_column(flow):
     _, _, landed, spec, _ = flow
     result = cleaning.run_cleaning(landed.table.drop("Case Number"), spec)

@@ -32,6 +32,12 @@ def etl_audit(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.run_cleaning(raw_incidents(spark, sf), CLEANING).audit
 
 
+def rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Every raw incident that cleaning leaves out, with the first step that rejects it."""
+    found = cleaning.run_cleaning(raw_incidents(spark, sf), CLEANING).rejects
+    return found.select("step", "copies", F.col("row.id").alias("id"), F.col("row.case_no").alias("case_no"))
+
+
 def audit_totals(spark: SparkSession, sf: str) -> DataFrame:
     return audit.audit_totals(etl_audit(spark, sf))
 
@@ -264,6 +270,18 @@ SELECT * FROM (
     lag(rows_after) OVER (ORDER BY step_no) - rows_after AS rows_dropped
   FROM after_steps
 ) WHERE step_no > 0""",
+    ),
+    "rejects": (
+        rejects,
+        WITH_CLEANED
+        + """
+SELECT 'drop_exact_duplicates' AS step, n - 1 AS copies, id, case_no FROM (SELECT *, count(*) AS n FROM raw_incidents GROUP BY ALL) WHERE n > 1
+UNION ALL SELECT 'dedup_key', 1, id, case_no FROM distinct_rows WHERE id NOT IN (SELECT id FROM first_rows)
+UNION ALL SELECT 'drop_missing', 1, id, case_no FROM first_rows WHERE id NOT IN (SELECT id FROM complete)
+UNION ALL SELECT 'fix_types', 1, id, case_no FROM complete WHERE id NOT IN (SELECT id FROM parsed)
+UNION ALL SELECT 'bounding_box', 1, id, case_no FROM parsed WHERE id NOT IN (SELECT id FROM boxed)
+UNION ALL SELECT 'time_range', 1, id, case_no FROM boxed WHERE id NOT IN (SELECT id FROM ranged)
+UNION ALL SELECT 'iqr_outliers', 1, id, case_no FROM merged WHERE id NOT IN (SELECT id FROM cleaned)""",
     ),
     "audit_totals": (
         audit_totals,
