@@ -64,6 +64,25 @@ def tagged(df: DataFrame, key: str, text: str, rest: list[str] | None = None) ->
     return df.select(F.col(key).cast("long").alias("key"), tag_of(whole).alias("tag"), whole.alias("text"), *more)
 
 
+def identified(rows: DataFrame) -> DataFrame:
+    """Tagged rows whose tag is zeros where the key alone names the document.
+
+    Tags do not compress, and a record carries its document's; so only rows of keys with several texts keep theirs, and
+    those without a key.  Beyond ``SENT_DOCUMENTS`` such keys all rows do.
+    """
+    ends = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("tag").alias("low"), F.max("tag").alias("high"))
+    several = written(ends.filter("low <> high").select("key", F.lit(True).alias("several_texts")), "keys-of-several-texts")
+    n = several.count()
+    if n > SENT_DOCUMENTS:
+        return rows
+    kept = F.col("key").isNull()
+    marked = rows
+    if n:
+        marked, kept = rows.join(F.broadcast(several), "key", "left"), kept | F.coalesce("several_texts", F.lit(False))
+    tag = F.when(kept, F.col("tag")).otherwise(F.lit(bytes(TAG.itemsize))).alias("tag")
+    return marked.select(*(tag if c == "tag" else c for c in rows.columns))
+
+
 def without(df: DataFrame, documents: DataFrame, key: str = "doc_id", text: str = "text", how: str = "left_anti") -> DataFrame:
     """Rows of ``df`` that are none of the ``documents`` (``key``, ``tag``; a written table).
 

@@ -38,6 +38,7 @@ from sievework.llm.spans import (
     by_bucket,
     cuts_of,
     even_buckets,
+    identified,
     owned,
     owners,
     pack,
@@ -340,7 +341,7 @@ def _found(df: DataFrame, key: str, text: str, window: int, kmer: int, rest: lis
     """Tagged rows, the blocks of their repeated spans, and the destinations of these."""
     if kmer % TOKEN or not TOKEN <= kmer <= window:
         raise ValueError("kmer must be a multiple of 8, at most the window")
-    rows, dests = tagged(df, key, text, rest), even_buckets(df, 1)
+    rows, dests = identified(tagged(df, key, text, rest)), even_buckets(df, 1)
     keyed = rows.select("key", "tag", "text").filter("key IS NOT NULL")
     buckets = even_buckets(df, buckets_each(keyed))
     hashes = keyed.mapInArrow(route_hashes(buckets, dests, window, kmer), ROUTED)

@@ -27,6 +27,7 @@ from sievework.llm.spans import (
     by_bucket,
     cuts_of,
     even_buckets,
+    identified,
     owned,
     owners,
     pack,
@@ -212,7 +213,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", windo
     key.  Null, empty and short texts lose nothing.  Rows of one key and text are one document and get the
     same result each; rows with a null key lose nothing and make others lose nothing.
     """
-    rows, dests = tagged(df, key, text), even_buckets(df, 1)
+    rows, dests = identified(tagged(df, key, text)), even_buckets(df, 1)
     keyed = rows.filter("key IS NOT NULL")
     buckets = even_buckets(df, buckets_each(keyed))
     routed = keyed.mapInArrow(route(buckets, dests, window, kmer), ROUTED)

@@ -68,3 +68,17 @@ def test_texts_of_one_id_spread(spark):
     named = spans.tags(batch.column(0).combine_chunks())
     places = np.bincount(spans.dest_of(np.full(2000, 7), named, 50), minlength=50)
     assert places.min() > 15 and places.max() < 80
+
+
+def test_tags_travel_only_where_they_tell_texts_apart(spark, monkeypatch):
+    rows = [(1, "a"), (1, "a"), (2, "b"), (2, "c"), (3, None), (None, "x"), (4, None), (4, "")]
+    df = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, key int").repartition(2)
+    tagged = spans.tagged(df, "doc_id", "text", ["key"])
+    found = spans.identified(tagged)
+    assert found.columns == tagged.columns and found.count() == len(rows)
+    plain = {(r.key, r.text): bool(bytes(r.tag).strip(bytes(1))) for r in found.collect()}
+    assert plain == {(1, "a"): False, (2, "b"): True, (2, "c"): True, (3, None): False, (None, "x"): True, (4, None): False, (4, ""): True}
+    single = spans.identified(tagged.filter("key = 1 OR key IS NULL"))
+    assert {(r.key, any(r.tag)) for r in single.collect()} == {(1, False), (None, True)}
+    monkeypatch.setattr(spans, "SENT_DOCUMENTS", 1)
+    assert all(any(r.tag) == (r.text is not None) for r in spans.identified(tagged).collect())
