@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sievework.functions.temporal import hour_of, month_of, weekday_of, year_of
 from sievework.functions.text import as_column
 from sievework.operators.profile import value_counts
-from sievework.operators.quantiles import approximate_quantiles, exact_quantiles
+from sievework.operators.quantiles import approximate_quantiles, joint_quantiles
 
 _PARTS = {"hour": hour_of, "weekday": weekday_of, "month": month_of, "year": year_of}
 
@@ -74,13 +74,14 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str | Column], names: Se
 def box_stats(df: DataFrame, columns: Sequence[str], k: float = 1.5, approx: bool = False) -> DataFrame:
     """Per column: quartiles, whiskers (outermost values within the fences), outlier count.
 
-    The quartiles are fitted per column; whiskers and outliers of all columns take one
+    The quartiles of all columns are fitted together; whiskers and outliers of all columns take one
     more scan.
     """
-    quantiles = approximate_quantiles if approx else exact_quantiles
+    shares = [0.25, 0.5, 0.75]
+    quartiles = {c: approximate_quantiles(df, c, shares) for c in columns} if approx else joint_quantiles(df, columns, shares)
     boxes = []
     for c in columns:
-        q1, median, q3 = quantiles(df, c, [0.25, 0.5, 0.75])
+        q1, median, q3 = quartiles[c]
         value = as_column(c).cast("double")
         if q1 is None:
             inside = F.lit(False)

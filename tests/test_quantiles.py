@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sievework.operators import quantiles
 from sievework.operators.ordering import number_rows, running_total
-from sievework.operators.quantiles import approximate_quantiles, exact_quantiles, order_statistics
+from sievework.operators.quantiles import approximate_quantiles, exact_quantiles, joint_quantiles, order_statistics
 
 PROBABILITIES = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
 
@@ -94,3 +94,26 @@ def test_narrowing_ends_in_a_few_passes(spark, monkeypatch, numbers):
 def test_infinite_neighbours(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),)], "x double")
     assert exact_quantiles(df, "x", [0.0, 0.5, 1.0]) == [1.0, 2.0, float("inf")]
+
+
+def test_ten_columns_take_the_scans_of_one(spark, monkeypatch):
+    """All columns are narrowed in the same passes; the answers are those of each column alone."""
+    all_ = samples()
+    rng = random.Random(3)
+    columns = {f"c{i}": [rng.choice(list(all_["skewed"])) * (i + 1) if i % 3 else rng.choice(all_["ties"]) for _ in range(600)] for i in range(9)}
+    columns["empty"] = [None] * 600
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(3)
+    passes = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: passes.append(1) or narrow(*a))
+    got = joint_quantiles(df, list(columns), PROBABILITIES, sortable_rows=20)
+    together, alone = len(passes), []
+    for c, values in columns.items():
+        passes.clear()
+        assert got[c] == exact_quantiles(df, c, PROBABILITIES, sortable_rows=20)
+        alone.append(len(passes))
+        if values[0] is not None:
+            assert got[c] == pytest.approx([float(np.quantile(values, p)) for p in PROBABILITIES], rel=1e-12)
+    assert together <= max(alone) + 1 < sum(alone)
+    assert got["empty"] == [None] * len(PROBABILITIES)
+    assert joint_quantiles(df.limit(0), ["c0", "c1"], [0.5]) == {"c0": [None], "c1": [None]}

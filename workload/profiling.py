@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sievework.operators import explore, integrity, profile
 from sievework.plans.catalog import annotation_table
+from sievework.scratch import written
 from sievework.sources.tables import head_sample
 from workload.cleaning import _cleaned
 from workload.incidents import WITH_CLEANED, table
@@ -154,6 +155,33 @@ def box_stats(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Ten numbers of an order line.
+_MEASURES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "each", "share"]
+_MEASURES_SQL = "(SELECT *, l_extendedprice / l_quantity AS each, l_discount * l_quantity AS share FROM lineitem)"
+
+
+def box_stats_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Boxes of ten columns, fitted together; the columns made here are written first, as they are scanned several times."""
+    lines = table(spark, sf, "lineitem").withColumn("each", F.col("l_extendedprice") / F.col("l_quantity")).withColumn("share", F.col("l_discount") * F.col("l_quantity"))
+    boxes = explore.box_stats(written(lines.select(*_MEASURES), "measures"), _MEASURES)
+    return boxes.select("column_name", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")], "outliers")
+
+
+def _box_sql(source: str, columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, round(any_value(q1), 6) AS q1, round(any_value(q2), 6) AS median,
+  round(any_value(q3), 6) AS q3,
+  round(min(CASE WHEN {c} BETWEEN low AND high THEN CAST({c} AS DOUBLE) END), 6) AS whisker_low,
+  round(max(CASE WHEN {c} BETWEEN low AND high THEN CAST({c} AS DOUBLE) END), 6) AS whisker_high,
+  count(*) FILTER (NOT {c} BETWEEN low AND high) AS outliers
+FROM {source} AS rows_, (
+  SELECT q1, q2, q3, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high FROM (
+    SELECT quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q2, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3
+    FROM {source} AS of_all))"""
+        for c in columns
+    )
+
+
 def class_balance(spark: SparkSession, sf: str) -> DataFrame:
     balance = explore.class_balance(table(spark, sf, "events"), "event_type")
     return balance.withColumns({c: F.round(c, 9) for c in ("share", "imbalance")})
@@ -312,21 +340,8 @@ r AS (SELECT [
   [corr(l_tax, l_quantity), corr(l_tax, l_extendedprice), corr(l_tax, l_discount), 1.0]] AS m FROM lineitem)
 SELECT n1.x AS a, n2.x AS b, round(CAST(m[n1.a][n2.a] AS DOUBLE), 9) AS r FROM n n1, n n2, r""",
     ),
-    "box_stats": (
-        box_stats,
-        " UNION ALL ".join(
-            f"""SELECT '{c}' AS column_name, round(any_value(q1), 6) AS q1, round(any_value(q2), 6) AS median,
-  round(any_value(q3), 6) AS q3,
-  round(min(CASE WHEN {c} BETWEEN low AND high THEN CAST({c} AS DOUBLE) END), 6) AS whisker_low,
-  round(max(CASE WHEN {c} BETWEEN low AND high THEN CAST({c} AS DOUBLE) END), 6) AS whisker_high,
-  count(*) FILTER (NOT {c} BETWEEN low AND high) AS outliers
-FROM events, (
-  SELECT q1, q2, q3, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high FROM (
-    SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2, quantile_cont({c}, 0.75) AS q3
-    FROM events))"""
-            for c in ("value", "user_id")
-        ),
-    ),
+    "box_stats": (box_stats, _box_sql("events", ["value", "user_id"])),
+    "box_stats_many": (box_stats_many, _box_sql(_MEASURES_SQL, _MEASURES)),
     "class_balance": (
         class_balance,
         """SELECT event_type AS value, count(*) AS row_count,
