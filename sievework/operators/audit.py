@@ -117,6 +117,28 @@ def lineage(stages: Sequence[DataFrame]) -> DataFrame:
     )
 
 
+def lineage_reach(edges: DataFrame) -> DataFrame:
+    """Everything upstream of everything: ``source``, ``target``, ``steps``, ``path`` and ``rows_dropped`` of each way.
+
+    ``edges`` are a row for each step of a flow: ``input``, ``output``, ``rows_in``, ``rows_out``.  A way is a run of
+    steps that passes no table twice, and drops what its steps drop.  Flows are metadata: a row per step.
+    """
+    steps = edges.select("input", "output", (F.col("rows_in") - F.col("rows_out")).alias("dropped"))
+    return steps.sparkSession.sql(
+        """
+        WITH RECURSIVE reach(source, target, steps, path, rows_dropped) AS (
+          SELECT input, output, 1, array(input, output), dropped FROM {steps}
+          UNION ALL
+          SELECT r.source, s.output, r.steps + 1, array_append(r.path, s.output), r.rows_dropped + s.dropped
+          FROM reach r JOIN {steps} s ON s.input = r.target
+          WHERE NOT array_contains(r.path, s.output)
+        )
+        SELECT source, target, steps, array_join(path, ' > ') AS path, rows_dropped FROM reach
+        """,
+        steps=steps,
+    )
+
+
 def assumption_impacts(df: DataFrame, rules: Sequence[tuple[str, str, Column]]) -> DataFrame:
     """Rows each assumption touches; ``rules`` are (id, category, condition).  One scan."""
     counters = [

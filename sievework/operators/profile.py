@@ -156,7 +156,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, approx:
 
 #: Hand-written description of a column.
 ANNOTATION_SCHEMA = (
-    "column_name string, declared_type string, nullable boolean, zone string, role string, notes string"
+    "column_name string, declared_type string, nullable boolean, zone string, role string, notes string, description string"
 )
 
 

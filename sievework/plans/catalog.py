@@ -20,8 +20,9 @@ from sievework.sources.inventory import file_inventory
 
 
 def annotation_table(spark: SparkSession, annotations: Sequence[tuple]) -> DataFrame:
-    """Hand-written annotations as a table, one row per column."""
-    return spark.createDataFrame(list(annotations), ANNOTATION_SCHEMA)
+    """Hand-written annotations as a table, one row per column; what a short tuple leaves out is NULL."""
+    width = ANNOTATION_SCHEMA.count(",") + 1
+    return spark.createDataFrame([(*row, *[None] * (width - len(row))) for row in annotations], ANNOTATION_SCHEMA)
 
 
 def dataset_summary(df: DataFrame, category: str, timestamp: str) -> DataFrame:

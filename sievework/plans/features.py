@@ -38,11 +38,11 @@ def derive(cleaned: DataFrame, spec: FeatureSpec, label_map: DataFrame, area_map
 
 
 def score(cleaned: DataFrame, spec: FeatureSpec, label_map: DataFrame, area_map: DataFrame) -> DataFrame:
-    """Mutual information of every candidate with the label, on a sample of fixed size.
+    """Mutual information of every candidate with the label, on a sample of fixed size or on all rows.
 
     Rows are sampled before features are derived; the choice only reads the key column.
     """
-    sample = fixed_sample(cleaned, spec.sample_rows, spec.seed, spec.key)
+    sample = cleaned if spec.sample_rows is None else fixed_sample(cleaned, spec.sample_rows, spec.seed, spec.key)
     derived = derive(sample, spec, label_map, area_map)
     columns = [*dict.fromkeys([spec.key, spec.label, *spec.candidates])]
     filled = derived.select(*[as_column(c) for c in columns]).fillna(0, subset=list(spec.candidates))

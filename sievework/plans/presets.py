@@ -48,7 +48,7 @@ BUSY_PLACES = (
     "GAS STATION",
 )
 
-# Candidate features of the class model, and the nine that were published.
+# Candidate features of the class model.
 CANDIDATES = (
     "hour",
     "day_of_week",
@@ -88,7 +88,32 @@ _ANNOTATIONS = [
     ("Longitude", "float64", False, "both", "feature"),
     ("Location", "string", True, "both", "descriptive"),
 ]
-INCIDENT_ANNOTATIONS = [(*row, None) for row in _ANNOTATIONS]
+#: What a column holds, and what a reader should know of it.
+_DESCRIPTIONS = {
+    "ID": "Number of the record",
+    "Case Number": "Number of the case; the first record of a case stays",
+    "Date": "Local time at which the incident took place",
+    "Block": "Address, shortened to the block",
+    "IUCR": "Code of the offence in the state's uniform list",
+    "Primary Type": "Class of the offence; rare ones are merged",
+    "Description": "Kind of offence within its class",
+    "Location Description": "Kind of place",
+    "Arrest": "Whether an arrest followed; known only afterwards, so no feature",
+    "Domestic": "Whether the incident was domestic",
+    "Beat": "Smallest police area",
+    "District": "Police district, made of beats",
+    "Ward": "Ward of the city council; 0 if missing",
+    "Community Area": "One of the city's community areas; 0 if missing",
+    "FBI Code": "Code of the offence in the national list",
+    "X Coordinate": "Easting in the state's plane grid, feet",
+    "Y Coordinate": "Northing in the state's plane grid, feet",
+    "Year": "Year of the incident",
+    "Updated On": "When the record was last changed",
+    "Latitude": "Degrees north",
+    "Longitude": "Degrees east, negative",
+    "Location": "Latitude and longitude as text",
+}
+INCIDENT_ANNOTATIONS = [(*row, None, _DESCRIPTIONS[row[0]]) for row in _ANNOTATIONS]
 
 
 def incident_cleaning(as_of: dt.date) -> CleaningSpec:

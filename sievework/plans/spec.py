@@ -55,7 +55,8 @@ class FeatureSpec:
     label: str = "category_label"
     area_code: str = "area_enc"
     place_flag: str = "is_crowded"
-    sample_rows: int = 50_000
+    #: Rows to score on; None: all of them, which contingency tables can take.
+    sample_rows: int | None = 50_000
     seed: int = 42
     threshold: float = 0.005
     #: Candidates scored from their contingency table; the rest by nearest neighbours.

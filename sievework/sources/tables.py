@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievework.operators.ordering import number_rows
 from sievework.sources.paths import child_files, child_folders, create_new, move_folder, path_exists, remove, write_committed
 
 #: Columns that delimited rows land with: whether a row was accepted, why not, its line, its place in the files.
@@ -17,7 +18,7 @@ ACCEPTED, QUARANTINED = "accepted", "quarantined"
 #: Folder of the pointers of a published table; Spark does not list it as data.
 _POINTERS = "_versions"
 
-#: Largest head that may be asked for: it is sorted in one task.
+#: Rows of a head that one task may sort; a larger one is cut from numbered ranges.
 MAX_HEAD = 1_000_000
 
 
@@ -153,9 +154,10 @@ def publish(tables: dict[str, DataFrame], uri: str) -> dict[str, str]:
 def head_sample(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """First ``n`` rows in the order of ``order_by``, which must be unique.
 
-    Every task keeps its first ``n`` rows and these meet in one, so ``n`` is bounded.  Nothing
-    is written and nothing else is shuffled.
+    Every task keeps its first ``n`` rows and these meet in one.  A head beyond ``MAX_HEAD`` rows
+    would fill that task, so there the rows are numbered in ranges, and stay spread.
     """
-    if n > MAX_HEAD:
-        raise ValueError(f"a head has at most {MAX_HEAD} rows; filter or sample instead")
-    return df.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in order_by]).limit(n)
+    order = [F.col(f"`{c}`").asc_nulls_last() for c in order_by]
+    if n <= MAX_HEAD:
+        return df.orderBy(*order).limit(n)
+    return number_rows(df, order, "_number").filter(F.col("_number") <= n).drop("_number")

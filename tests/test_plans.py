@@ -238,3 +238,14 @@ def test_mixed_scoring_uses_both_estimators(flow, spark):
     spec = FeatureSpec(**{**base.__dict__, "discrete": ("hour", "is_night"), "candidates": ("hour", "is_night", "Latitude")})
     built = features.run_features(result.table, spec)
     assert {r["feature"] for r in built.scores.collect()} == {"hour", "is_night", "Latitude"}
+
+
+def test_ways_through_a_flow(spark):
+    edges = spark.createDataFrame(
+        [("a", "b", 10, 8), ("b", "c", 8, 5), ("a", "d", 10, 9), ("d", "c", 9, 9), ("c", "a", 14, 14)],
+        "input string, output string, rows_in bigint, rows_out bigint",
+    )
+    ways = {(r["source"], r["target"], r["path"]): r["rows_dropped"] for r in audit.lineage_reach(edges).collect()}
+    assert ways["a", "c", "a > b > c"] == 5 and ways["a", "c", "a > d > c"] == 1
+    assert ways["c", "d", "c > a > d"] == 1 and ("a", "a", "a > b > c > a") not in ways
+    assert audit.lineage_reach(edges.limit(0)).count() == 0

@@ -110,8 +110,16 @@ def test_head_sample(spark, n):
     for key in ("id", "name"):
         got = sorted(r["id"] for r in sources.head_sample(shuffled, n, [key]).collect())
         assert got == list(range(min(n, 4000)))
-    with pytest.raises(ValueError):
-        sources.head_sample(df, 10**7, ["id"])
+
+
+def test_a_large_head_stays_spread(spark, monkeypatch):
+    from sievework.sources import tables
+
+    monkeypatch.setattr(tables, "MAX_HEAD", 100)
+    df = spark.range(4000).select(F.when(F.col("id") < 3990, F.col("id")).alias("a"), F.col("id").alias("b")).repartition(7)
+    for n in (101, 3995, 10**7):
+        got = sources.head_sample(df, n, ["a", "b"])
+        assert got.columns == ["a", "b"] and sorted(r.b for r in got.collect()) == list(range(min(n, 4000)))
 
 
 def test_quoted_newlines_and_headers(spark, tmp_path, rows):

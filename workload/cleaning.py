@@ -59,6 +59,18 @@ def lineage_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def lineage_graph(spark: SparkSession, sf: str) -> DataFrame:
+    """Every way through the steps of the incident flow, and the rows that are lost on it."""
+    audited = written(etl_audit(spark, sf), "audit")
+    steps = audited.join(audited.select((F.col("step_no") + 1).alias("step_no"), F.col("step").alias("earlier")), "step_no", "left")
+    edges = steps.select(F.coalesce("earlier", F.lit("raw")).alias("input"), F.col("step").alias("output"), F.col("rows_before").alias("rows_in"), F.col("rows_after").alias("rows_out"))
+    events = table(spark, sf, "events").agg(F.count("*").alias("rows_in"))
+    ends = audit.audit_totals(audited)
+    first = events.select(F.lit("events").alias("input"), F.lit("raw").alias("output"), "rows_in", ends.select("rows_raw").scalar().alias("rows_out"))
+    last = ends.select(F.lit("iqr_outliers").alias("input"), F.explode(F.array(F.lit("features"), F.lit("published"))).alias("output"), F.col("rows_cleaned").alias("rows_in"), F.col("rows_cleaned").alias("rows_out"))
+    return audit.lineage_reach(written(edges.unionByName(first).unionByName(last), "lineage-edges"))
+
+
 def _assumptions(spark: SparkSession, sf: str) -> DataFrame:
     df = cleaning.typed(raw_incidents(spark, sf), CLEANING)
     return audit.assumption_impacts(
@@ -304,6 +316,24 @@ stages(stage, name, input, output, row_count) AS (
 SELECT *, lag(row_count) OVER (ORDER BY stage) - row_count AS rows_dropped,
   round(row_count * 100.0::DOUBLE / lag(row_count) OVER (ORDER BY stage), 2) AS retention_pct
 FROM stages""",
+    ),
+    "lineage_graph": (
+        lineage_graph,
+        _AUDIT.replace("WITH ", "WITH RECURSIVE ", 1)
+        + """,
+edges AS (
+  SELECT coalesce(lag(step) OVER (ORDER BY step_no), 'raw') AS input, step AS output, before AS rows_in, rows_after AS rows_out
+  FROM (SELECT *, lag(rows_after) OVER (ORDER BY step_no) AS before FROM after_steps) WHERE step_no > 0
+  UNION ALL SELECT 'events', 'raw', (SELECT count(*) FROM events), n FROM raw_rows
+  UNION ALL SELECT 'iqr_outliers', unnest(['features', 'published']), (SELECT count(*) FROM cleaned), (SELECT count(*) FROM cleaned)
+),
+reach(source, target, steps, path, rows_dropped) AS (
+  SELECT input, output, 1, [input, output], rows_in - rows_out FROM edges
+  UNION ALL
+  SELECT r.source, e.output, r.steps + 1, list_append(r.path, e.output), r.rows_dropped + e.rows_in - e.rows_out
+  FROM reach r JOIN edges e ON e.input = r.target WHERE NOT list_contains(r.path, e.output)
+)
+SELECT source, target, steps, array_to_string(path, ' > ') AS path, rows_dropped FROM reach""",
     ),
     "assumption_impacts": (
         assumption_impacts,

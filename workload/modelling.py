@@ -16,6 +16,8 @@ from sievework.plans.publishing import validate_published
 from sievework.scratch import fresh_path, written
 from sievework.sources.delimited import bad_line_count, land_delimited, landed_rows, quarantined_lines, read_delimited
 from sievework.sources.documents import document_counts, read_json_document, write_json_document
+from sievework.sources.inventory import file_inventory
+from sievework.sources.paths import create_new
 from sievework.sources.tables import land_raw, publish, read_latest, read_processed, write_processed
 from workload.cleaning import _cleaned, etl_audit
 from workload.incidents import COLUMNS, FEATURES, WITH_CLEANED, WITH_RAW, raw_incidents, table
@@ -266,7 +268,7 @@ def first_arrival(spark: SparkSession, sf: str) -> DataFrame:
 
 #: Candidates scored from contingency tables; the city is the same everywhere and says nothing.
 _SCORED = ("hour", "day_of_week", "city")
-_SELECTED = replace(FEATURES, candidates=_SCORED, discrete=_SCORED, threshold=1e-6, sample_rows=1_000_000)
+_SELECTED = replace(FEATURES, candidates=_SCORED, discrete=_SCORED, threshold=1e-6, sample_rows=None)
 
 
 def _feature_flow(spark: SparkSession, sf: str) -> tuple[Features, str]:
@@ -310,6 +312,17 @@ def published_validation(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def zone_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of a zone with their bytes, and which of the expected ones are there: one is, one is not."""
+    zone = fresh_path(spark, "zone")
+    statuses = table(spark, sf, "orders").groupBy("o_orderstatus").count().orderBy("o_orderstatus").collect()
+    create_new(spark, f"{zone}/statuses.txt", "".join(f"{r['o_orderstatus']} {r['count']}\n" for r in statuses))
+    found = file_inventory(spark, {"zone": zone, "nowhere": f"{zone}/nowhere"})
+    present = validate.expected_present(found, [("zone", "statuses.txt"), ("zone", "absent.txt"), ("nowhere", "statuses.txt")])
+    sizes = found.select("zone", "filename", "size_bytes")
+    return present.select("zone", "filename", "status").join(sizes, ["zone", "filename"], "left")
+
+
 def document_sizes(spark: SparkSession, sf: str) -> DataFrame:
     """Counts of the lists and maps of a document made from the orders."""
     orders = table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority").distinct()
@@ -603,6 +616,12 @@ SELECT 'incidents' AS dataset_name, 'v1.0' AS version, '2026-01-02' AS ingestion
 )
 SELECT rule, failures, failures = 0 AS passed FROM results""",
     ),
+    "zone_inventory": (
+        zone_inventory,
+        """SELECT 'zone' AS zone, 'statuses.txt' AS filename, 'ok' AS status, CAST(sum(strlen(o_orderstatus || ' ' || n) + 1) AS BIGINT) AS size_bytes
+        FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)
+        UNION ALL SELECT 'zone', 'absent.txt', 'missing', NULL UNION ALL SELECT 'nowhere', 'statuses.txt', 'missing', NULL""",
+    ),
     "document_sizes": (
         document_sizes,
         """SELECT count(*) AS stages_count, (SELECT count(DISTINCT o_orderstatus) FROM orders) AS categories_count,

@@ -15,7 +15,7 @@ from workload.incidents import WITH_CLEANED, table
 _EXPECTED_ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_clerk"]
 
 _LINEITEM_NOTES = [
-    ("l_orderkey", "int64", False, "both", "identifier", None),
+    ("l_orderkey", "int64", False, "both", "identifier", None, "order of the line"),
     ("l_partkey", "int64", False, "both", "identifier", None),
     ("l_suppkey", "int64", False, "both", "identifier", None),
     ("l_linenumber", "int32", False, "both", "identifier", None),
@@ -219,12 +219,12 @@ LINEITEM_PROFILE = _profile_sql(
 
 _NOTES_VALUES = ", ".join(
     "({})".format(", ".join("NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v).lower() for v in row))
-    for row in _LINEITEM_NOTES
+    for row in ((*row, *[None] * (7 - len(row))) for row in _LINEITEM_NOTES)
 )
 
 _CATALOG_SQL = f"""
 WITH profiled AS ({LINEITEM_PROFILE}),
-notes(column_name, declared_type, nullable, zone, role, notes) AS (VALUES {_NOTES_VALUES}),
+notes(column_name, declared_type, nullable, zone, role, notes, description) AS (VALUES {_NOTES_VALUES}),
 catalog AS (
   SELECT n.*, p.null_count, p.distinct_count, p.min_value, p.max_value
   FROM notes n LEFT JOIN profiled p ON n.column_name = p.column_name
