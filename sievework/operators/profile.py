@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework.functions.text import as_column
+from sievework.scratch import written
 
 
 def schema_check(df: DataFrame, expected: Sequence[str]) -> DataFrame:
@@ -95,6 +96,48 @@ def value_counts(df: DataFrame, column: str, k: int | None = None, sort: str | N
     return counts if k is None else counts.limit(k)
 
 
+#: Cells that values are hashed into, by two hashes; candidates for each wanted value, and items the sketch tracks at least.
+CELLS = 1 << 16
+CANDIDATES_EACH = 4
+TRACKED = 4_096
+
+
+def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
+    """The same as ``value_counts(df, column, k)``, for columns of very many different values.
+
+    Nothing is grouped by value but a few.  A sketch names candidates and one scan counts them exactly; the
+    k-th of them is a bound that no value below it can beat.  Another scan counts rows by two hashes of the
+    value.  A cell whose rows, less those of its candidates, stay under the bound holds no other
+    value that matters; where that is so for all cells of one hash, none is missed.  Values of which both
+    cells are undecided are counted exactly as well.  What is shuffled grows with ``k`` and
+    the cells, not with the number of values, unless values are so even that no bound tells them apart.
+    """
+    rows = df.select(as_column(column).alias("value")).where(F.col("value").isNotNull())
+    wanted = CANDIDATES_EACH * k
+    sketch = rows.selectExpr(f"approx_top_k(value, {wanted}, {max(TRACKED, 4 * wanted)}) AS found")
+    candidates = written(sketch.select(F.explode("found.item").alias("value")).where("value IS NOT NULL").distinct(), "candidates")
+    known = written(rows.join(F.broadcast(candidates), "value").groupBy("value").agg(F.count("*").alias("row_count")), "candidate-counts")
+    best = known.orderBy(F.desc("row_count")).limit(k).agg(F.count("*").alias("n"), F.min("row_count").alias("least")).first()
+    bound = best["least"] if best["n"] == k else 1
+
+    def placed(of: DataFrame, rows_: Column) -> DataFrame:
+        cells = [F.struct(F.lit(i).alias("hash"), F.pmod(F.xxhash64(F.lit(i), "value"), F.lit(CELLS)).cast("int").alias("cell")) for i in range(2)]
+        return of.select(F.explode(F.array(*cells)).alias("c"), rows_.alias("n")).groupBy("c.hash", "c.cell").agg(F.sum("n").alias("n"))
+
+    counted = placed(known, F.col("row_count")).withColumnRenamed("n", "counted")
+    left = F.col("n") - F.coalesce("counted", F.lit(0))
+    undecided = placed(rows, F.lit(1)).join(counted, ["hash", "cell"], "left").filter(left >= bound).select("hash", "cell")
+    undecided = written(undecided, "undecided-cells")
+    if undecided.select("hash").distinct().count() == 2:
+        rest = rows.join(F.broadcast(candidates), "value", "left_anti")
+        for i in range(2):
+            # At most ``CELLS`` numbers.
+            cells = undecided.filter(F.col("hash") == i).select("cell")
+            rest = rest.withColumn("cell", F.pmod(F.xxhash64(F.lit(i), "value"), F.lit(CELLS)).cast("int")).join(F.broadcast(cells), "cell", "left_semi").drop("cell")
+        known = known.unionByName(rest.groupBy("value").agg(F.count("*").alias("row_count")))
+    return known.orderBy(F.desc("row_count"), F.asc("value")).limit(k)
+
+
 def sample_values(df: DataFrame, column: str, n: int, order_by: Sequence[str]) -> DataFrame:
     """First ``n`` non-null values of a column in the order of a unique key."""
     keys = [as_column(c) for c in order_by]

@@ -114,6 +114,17 @@ def topk_sources(spark: SparkSession, sf: str) -> DataFrame:
     return profile.value_counts(table(spark, sf, "documents"), "source", 15)
 
 
+def topk_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The parts most often ordered: very many values, none of them frequent."""
+    return profile.top_values(table(spark, sf, "lineitem"), "l_partkey", 25)
+
+
+def topk_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The most frequent words of all documents: very many values, a few of them very frequent."""
+    words = table(spark, sf, "documents").select(F.explode(F.split("text", "[ \n]+")).alias("word")).where("word <> ''")
+    return profile.top_values(words, "word", 30)
+
+
 def hour_counts(spark: SparkSession, sf: str) -> DataFrame:
     return explore.temporal_counts(table(spark, sf, "events"), "ts", "hour")
 
@@ -299,6 +310,15 @@ UNION ALL SELECT 'o_orderpriority', count(*) FILTER (o_orderpriority IS NULL),
         topk_types,
         "SELECT p_type AS value, count(*) AS row_count FROM part GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
     ),
+    "topk_parts": (
+        topk_parts,
+        "SELECT l_partkey AS value, count(*) AS row_count FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25",
+    ),
+    "topk_words": (
+        topk_words,
+        """SELECT word AS value, count(*) AS row_count FROM (SELECT unnest(regexp_split_to_array(text, '[ \n]+')) AS word FROM documents)
+        WHERE word <> '' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 30""",
+    ),
     "topk_sources": (
         topk_sources,
         "SELECT source AS value, count(*) AS row_count FROM documents GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15",
