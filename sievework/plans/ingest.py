@@ -19,6 +19,7 @@ from sievework.operators.profile import (
     table_shape,
     value_counts,
 )
+from sievework.operators.summaries import save_summary
 from sievework.sources.delimited import header_columns, land_delimited, landed_rows, quarantined_lines
 from sievework.sources.documents import read_json_document, write_json_document
 from sievework.sources.inventory import CHECKSUM_SCHEMA, MEGABYTE, file_checksums, file_inventory
@@ -93,12 +94,13 @@ def run_ingest(
     file_md5: bool = False,
     arrival: bool = False,
     multi_line: bool | None = None,
+    summary: bool = False,
 ) -> Landed:
     """Land the source files, then describe what landed; the manifest is written last.
 
     Accepted rows and quarantined lines land from one parse under one commit.  With ``arrival`` the table
     also has ``_position``, by which its rows sort as they stood in the files.  ``multi_line`` is that of
-    ``read_delimited``.  ``file_md5`` adds the MD5 of every source file, each below 2 GiB, at the price of one more read.
+    ``read_delimited``.  ``summary`` stores the mergeable column summaries of the version in the catalogue.  ``file_md5`` adds the MD5 of every source file, each below 2 GiB, at the price of one more read.
     """
     if not path_exists(spark, dataset.source):
         raise FileNotFoundError(dataset.source)
@@ -119,6 +121,8 @@ def run_ingest(
     if year_column in table.columns:
         reports["years"] = value_counts(table.select(as_column(year_column)), year_column)
     catalog_zone = dataset.catalog_zone.rstrip("/")
+    if summary:
+        save_summary(table, f"{catalog_zone}/summaries", dataset.version, ingest_date.isoformat())
     if file_md5:
         write_json_document(file_checksums(spark, dataset.source), f"{catalog_zone}/file_checksums", single_file=False)
         reports["file_checksums"] = read_json_document(spark, f"{catalog_zone}/file_checksums", CHECKSUM_SCHEMA)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievework import sources
-from sievework.operators import audit, clean, integrity, validate
+from sievework.operators import audit, clean, integrity, summaries, validate
 from sievework.plans import catalog, cleaning, exploration, features, ingest, presets, publishing
 from sievework.plans.spec import FeatureSpec
 from sievework.sources import read_json_document
@@ -44,7 +44,7 @@ def flow(spark, tmp_path_factory):
         "incidents", "v1.0", str(source), str(root / "raw"), str(root / "processed"), str(root / "catalog")
     )
     landed = ingest.run_ingest(
-        spark, dataset, presets.INCIDENT_COLUMNS, ["Case Number"], "Primary Type", "Date", "Year", ["ID"], dt.date(2026, 1, 2), file_md5=True
+        spark, dataset, presets.INCIDENT_COLUMNS, ["Case Number"], "Primary Type", "Date", "Year", ["ID"], dt.date(2026, 1, 2), file_md5=True, summary=True
     )
     spec = presets.incident_cleaning(dt.date(2026, 1, 1))
     spec = type(spec)(**{**spec.__dict__, "rare_threshold": 5})
@@ -65,6 +65,8 @@ def test_ingest_reports(flow, spark):
     assert tuple(sources.read_latest(spark, dataset.raw_zone).columns) == tuple(landed.table.columns)
     assert sources.read_latest(spark, dataset.raw_zone).count() == 406
     manifest = read_json_document(spark, f"{dataset.catalog_zone}/ingestion_manifest").first()
+    stored = {r["column_name"]: r for r in summaries.estimates(summaries.read_summaries(spark, f"{dataset.catalog_zone}/summaries")).collect()}
+    assert stored["Case Number"]["row_count"] == 406 and abs(stored["ID"]["distinct_count"] - 405) < 10
     files = [p for p in (root / "raw").rglob("*.parquet")]
     assert (manifest["file_count"], manifest["size_bytes"]) == (len(files), sum(p.stat().st_size for p in files))
     assert (manifest["row_count"], manifest["column_count"], len(manifest["columns"])) == (406, 22, 22)

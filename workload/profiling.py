@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.operators import explore, integrity, profile
+from sievework.operators import explore, integrity, profile, summaries
 from sievework.plans.catalog import annotation_table
-from sievework.scratch import written
+from sievework.scratch import fresh_path, written
 from sievework.sources.tables import head_sample
 from workload.cleaning import _cleaned
 from workload.incidents import WITH_CLEANED, table
@@ -114,6 +114,34 @@ def topk_sources(spark: SparkSession, sf: str) -> DataFrame:
     return profile.value_counts(table(spark, sf, "documents"), "source", 15)
 
 
+_SUMMARISED = ["o_custkey", "o_totalprice", "o_orderstatus"]
+
+
+def merged_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders landed as two versions, each with its stored summary; the profile of both comes from the summaries.
+
+    Estimates are held against the rows: distinct counts within 4 %, quartiles within 3 % of the rows.
+    """
+    orders, root = table(spark, sf, "orders").select("o_orderkey", *_SUMMARISED), fresh_path(spark, "summaries")
+    for i in range(2):
+        summaries.save_summary(orders.filter(F.col("o_orderkey") % 2 == i).select(*_SUMMARISED), root, f"v{i}", "2026-01-01")
+    found = summaries.estimates(summaries.merged(summaries.read_summaries(spark, root)))
+    rows = orders.unpivot([], [F.col(c).cast("string").alias(c) for c in _SUMMARISED], "column_name", "text")
+    checked = rows.join(F.broadcast(found.select("column_name", "quantiles")), "column_name").groupBy("column_name").agg(
+        F.count_distinct("text").alias("distinct_true"), *[F.avg((F.expr("try_cast(text AS double)") <= F.get("quantiles", F.lit(i))).cast("int")).alias(f"rank{i}") for i in range(3)]
+    )
+    near = lambda i: F.coalesce(F.abs(F.col(f"rank{i}") - 0.25 * (i + 1)) <= 0.03, F.lit(True))
+    return found.join(checked, "column_name").select(
+        "column_name",
+        "row_count",
+        "null_count",
+        "min_value",
+        "max_value",
+        (F.abs(F.col("distinct_count") - F.col("distinct_true")) <= 0.04 * F.col("distinct_true")).alias("distinct_near"),
+        (near(0) & near(1) & near(2)).alias("quartiles_near"),
+    )
+
+
 def topk_parts(spark: SparkSession, sf: str) -> DataFrame:
     """The parts most often ordered: very many values, none of them frequent."""
     return profile.top_values(table(spark, sf, "lineitem"), "l_partkey", 25)
@@ -310,6 +338,15 @@ UNION ALL SELECT 'o_orderpriority', count(*) FILTER (o_orderpriority IS NULL),
         topk_types,
         "SELECT p_type AS value, count(*) AS row_count FROM part GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
     ),
+    "merged_profile": (
+        merged_profile,
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+  {f'CAST(min({c}) AS DOUBLE)' if c != 'o_orderstatus' else 'NULL::DOUBLE'} AS min_value,
+  {f'CAST(max({c}) AS DOUBLE)' if c != 'o_orderstatus' else 'NULL::DOUBLE'} AS max_value, true AS distinct_near, true AS quartiles_near FROM orders"""
+            for c in _SUMMARISED
+        ),
+    ),
     "topk_parts": (
         topk_parts,
         "SELECT l_partkey AS value, count(*) AS row_count FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25",
