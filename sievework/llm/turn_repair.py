@@ -19,7 +19,7 @@ import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -134,14 +134,18 @@ def undamaged(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: st
     )
 
 
-def _code(rows: DataFrame) -> Column:
-    """Fault and initial of every row; a repeated row counts from its second place in the conversation on."""
+def _coded(rows: DataFrame) -> DataFrame:
+    """Order of the rows and ``code``, their fault and initial; a repeated row is one from its second place in the
+    conversation on.  What texts say of themselves is read off first, so no text is shuffled."""
     same = F.md5(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"))
-    earlier = F.row_number().over(W.partitionBy("conv", same, "gone").orderBy(*_ORDER)) > 1
     last = F.regexp_extract("text", r"([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z", 1)
-    fault = F.when(last == "", BLANK).when(earlier, DUPLICATE).when(~last.isin(".", "!", "?"), TRUNCATED).otherwise(FINE)
+    fault = F.when(last == "", BLANK).when(~last.isin(".", "!", "?"), TRUNCATED).otherwise(FINE)
     initial = F.greatest(F.instr(F.lit(INITIALS[1:]), F.substring("role", 1, 1)), F.lit(0))
-    return fault * 4 + F.when(F.substring("role", 1, 1) == "", 0).otherwise(initial)
+    initial = F.when(F.substring("role", 1, 1) == "", 0).otherwise(initial)
+    read = rows.select("conv", *_ORDER, "gone", same.alias("same"), fault.alias("fault"), initial.alias("initial"))
+    earlier = F.row_number().over(W.partitionBy("conv", "same", "gone").orderBy(*_ORDER)) > 1
+    fault = F.when(earlier & (F.col("fault") != BLANK), DUPLICATE).otherwise(F.col("fault"))
+    return read.withColumn("code", (fault * 4 + F.col("initial")).cast("int"))
 
 
 def _grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[object, Iterator[tuple]]]:
@@ -209,9 +213,7 @@ def plans(rows: DataFrame) -> DataFrame:
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _in_batches(planned(batches), schema)
 
-    named = rows.filter("conv IS NOT NULL")
-    coded = named.select("conv", "turn", "was", "digest", "copy", "gone", _code(rows).cast("int").alias("code"))
-    ordered = coded.repartition("conv").sortWithinPartitions("conv", *_ORDER).select("conv", "turn", "code", "gone")
+    ordered = _coded(rows.filter("conv IS NOT NULL")).repartition("conv").sortWithinPartitions("conv", *_ORDER).select("conv", "turn", "code", "gone")
     return ordered.mapInArrow(work, f"conv {kind}, {PLAN}")
 
 
