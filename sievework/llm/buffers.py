@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; no effect on results.
 CHUNK_BYTES = 2 << 20
+#: The same where the tables of a chunk are very many times its text.
+SMALL_CHUNK_BYTES = 1 << 19
 
 #: ASCII white space: the complement of the word pattern ``[^\x20\x09-\x0D]``.
 SPACE = np.zeros(256, bool)

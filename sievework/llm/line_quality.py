@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.buffers import PrefixHash, chunks, covered, mixed, word_spans
+from sievework.llm.buffers import SMALL_CHUNK_BYTES, PrefixHash, chunks, covered, mixed, word_spans
 from sievework.llm.sample import labelled_sample
 
 SYMBOLS = np.zeros(256, bool)
@@ -233,7 +233,7 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, label: str = "quality", ke
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in chunks(batch.column(0)):
+            for low, high, data, offsets in chunks(batch.column(0), SMALL_CHUNK_BYTES):
                 lines = Lines(data, offsets)
                 parts = np.split(lines.features, np.searchsorted(lines.doc, np.arange(1, high - low)))
                 parts = [p[max(len(p) - SAMPLE_LINES, 0) // 2 :][:SAMPLE_LINES] for p in parts]
@@ -270,7 +270,7 @@ def assess(df: DataFrame, model: LineModel, key: str = "doc_id", text: str = "te
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in chunks(batch.column(1)):
+            for low, high, data, offsets in chunks(batch.column(1), SMALL_CHUNK_BYTES):
                 columns = [batch.column(0).slice(low, high - low), *map(pa.array, judged(data, offsets, model))]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", *(c.split()[0] for c in SCHEMA.split(", "))])
 
@@ -285,7 +285,7 @@ def passing(df: DataFrame, model: LineModel, text: str = "text") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [judged(data, offsets, model)[6] for _, _, data, offsets in chunks(batch.column(at))]
+            kept = [judged(data, offsets, model)[6] for _, _, data, offsets in chunks(batch.column(at), SMALL_CHUNK_BYTES)]
             yield batch.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool)))
 
     return df.mapInArrow(run, df.schema)

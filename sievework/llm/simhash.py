@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.buffers import chunks
+from sievework.llm.buffers import SMALL_CHUNK_BYTES, chunks
 from sievework.llm.graph import components
 from sievework.llm.spans import one_row_each, tagged
 from sievework.llm.words import joined_words
@@ -64,7 +64,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", words:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [chunk_fingerprints(data, offsets, words) for _, _, data, offsets in chunks(batch.column(1))]
+            found = [chunk_fingerprints(data, offsets, words) for _, _, data, offsets in chunks(batch.column(1), SMALL_CHUNK_BYTES)]
             values = np.concatenate(found) if found else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["key", "fp"])
 
