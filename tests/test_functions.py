@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievework import functions as fn
+from sievework.functions import holidays
 from sievework.functions.info import digamma
 
 
@@ -113,5 +114,35 @@ def test_whole_numbers_keep_all_digits(spark):
 def test_holiday_rules_start_with_their_first_year(spark):
     from sievework.operators.features import us_holidays
 
-    names = {r["name"] for r in us_holidays(spark, 1970, 1970).collect()}
-    assert "Memorial Day" not in names and "Veterans Day" not in names and {"Labor Day", "Thanksgiving Day"} <= names
+    names = {r["name"] for r in us_holidays(spark, 1880, 1880).collect()}
+    assert names & {"Memorial Day", "Veterans Day", "Labor Day", "Washington's Birthday"} == set() and {"Independence Day", "Thanksgiving Day"} <= names
+
+
+@pytest.mark.parametrize(
+    ("year", "days"),
+    [
+        (1926, "01-01 02-22 05-30 05-31 07-04 07-05 09-06 11-25 12-24 12-25 12-31"),
+        (1939, "01-01 01-02 02-22 05-30 07-04 09-04 10-12 11-10 11-11 11-23 12-25"),
+        (1970, "01-01 02-22 02-23 05-29 05-30 07-03 07-04 09-07 10-12 11-11 11-26 12-25"),
+        (1975, "01-01 02-17 05-26 07-04 09-01 10-13 10-27 11-27 12-25"),
+        (1985, "01-01 02-18 05-27 07-04 09-02 10-14 11-11 11-28 12-25"),
+    ],
+)
+def test_holidays_of_earlier_times(spark, year, days):
+    from sievework.operators.features import us_holidays
+
+    got = [r[0].strftime("%m-%d") for r in us_holidays(spark, year, year).orderBy("holiday_date").collect()]
+    assert got == days.split()
+
+
+def test_days_that_moved(spark):
+    written = {
+        "1863-11-26": "Thanksgiving Day", "1938-11-24": "Thanksgiving Day", "1939-11-23": "Thanksgiving Day", "1940-11-21": "Thanksgiving Day",
+        "1941-11-20": "Thanksgiving Day", "1942-11-26": "Thanksgiving Day", "1951-11-22": "Thanksgiving Day", "1951-11-29": None,
+        "1937-11-11": None, "1953-11-11": "Armistice Day", "1954-11-11": "Veterans Day", "1971-10-25": "Veterans Day", "1977-10-24": "Veterans Day",
+        "1975-11-11": None, "1978-11-11": "Veterans Day", "1968-02-22": "Washington's Birthday", "1971-02-15": "Washington's Birthday", "1971-02-22": None,
+        "1969-05-30": "Memorial Day", "1971-05-31": "Memorial Day", "1936-10-12": None, "1937-10-12": "Columbus Day", "1971-10-11": "Columbus Day",
+    }
+    df = spark.createDataFrame(list(written.items()), "day string, name string")
+    wrong = df.withColumn("found", holidays.us_holiday_name(F.to_date("day"))).filter("NOT found <=> name").collect()
+    assert wrong == []
