@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievework.operators import audit, explore, profile, validate
+from sievework.plans.catalog import annotation_table
 
 
 def test_null_summary_and_schema(spark, rows):
@@ -28,10 +29,8 @@ def test_profile(spark, rows, approx):
 
 
 def test_catalogue_keeps_columns_the_data_lacks(spark):
-    notes = spark.createDataFrame(
-        [("a", "int", True, "both", "feature", None), ("gone", "int", True, "raw", "excluded", None)],
-        profile.ANNOTATION_SCHEMA,
-    )
+    notes = annotation_table(spark, [("a", "int", True, "both", "feature", None, "first"), ("gone", "int", True, "raw", "excluded", None)])
+    assert [r["description"] for r in notes.orderBy("column_name").collect()] == ["first", None]
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     got = {r["column_name"]: r["null_count"] for r in profile.column_catalog(profile.profile_columns(df), notes).collect()}
     assert got == {"a": 0, "gone": None}
