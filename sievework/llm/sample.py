@@ -21,11 +21,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, k
     """
     known = labels.select(F.col(key).alias("key"), F.col(label).alias("label")).filter("key IS NOT NULL AND label IS NOT NULL")
     known = known.withColumn("place", F.xxhash64(F.col("key").cast("string")))
-    # Repeats of a key may take places of its label, so each label offers some more before they are made one.
-    rank = F.dense_rank().over(W.partitionBy("label").orderBy("place", "key"))
-    offered = known.dropDuplicates(["key", "label"]).withColumn("rank", rank).filter(F.col("rank") <= rows)
-    single = offered.groupBy("key", "place").agg(F.min(F.struct("label", "rank")).alias("l"))
-    chosen = single.select("key", "place", "l.label", "l.rank").orderBy(F.col("rank") > each, "place", "key").limit(rows)
+    single = known.groupBy("key", "place").agg(F.min("label").alias("label"))
+    # Only the first few of a label are ranked, and Spark cuts them down before the shuffle.
+    rank = F.row_number().over(W.partitionBy("label").orderBy("place", "key"))
+    first = single.withColumn("rank", rank).filter(F.col("rank") <= each).select("key", "place", "label", F.lit(0).alias("later"))
+    others = single.orderBy("place", "key").limit(rows).select("key", "place", "label", F.lit(1).alias("later"))
+    chosen = first.unionByName(others).groupBy("key", "place", "label").agg(F.min("later").alias("later")).orderBy("later", "place", "key").limit(rows)
     texts = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     found = texts.join(F.broadcast(chosen), "key")
     one = found.groupBy("key", "place", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
