@@ -363,7 +363,7 @@ def main_text(page: str | None, stop_words: frozenset[str] = STOP_WORDS) -> str:
 def learned_stop_words(df: DataFrame, page: str = "html") -> frozenset[str]:
     """Short words that at least ``STOP_PAGES`` of all pages hold, the ``STOP_COUNT`` most frequent of them."""
     plain = F.regexp_replace(F.col(page).cast("string"), r"(?is)<(script|style)\b.*?(</\1\s*>|\z)|<!--.*?-->|<[^>]*>|&[a-z0-9#]+;", " ")
-    words = F.array_distinct(F.regexp_extract_all(F.lower(plain), F.lit(rf"(?<!\p{{L}})\p{{L}}{{1,{STOP_LETTERS}}}(?!\p{{L}})"), F.lit(0)))
+    words = F.array_distinct(F.filter(F.split(F.lower(plain), r"[^\p{L}]+"), lambda w: F.length(w).between(1, STOP_LETTERS)))
     held = df.filter(F.col(page).isNotNull()).select(words.alias("words"))
     counts = held.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("pages"))
     least = held.count() * STOP_PAGES
