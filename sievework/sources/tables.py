@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,11 @@ from sievework.sources.paths import child_files, child_folders, create_new, move
 ROWS, REASON, LINE, POSITIONED = "_rows", "_reason", "_line", "_position"
 ACCEPTED, QUARANTINED = "accepted", "quarantined"
 
+#: Setting: files that one task writes side by side, a folder each; without it a task sorts its rows by folder first.
+_SIDE_BY_SIDE = "spark.sql.maxConcurrentOutputFileWriters"
+#: One more than the folders of a landing, accepted and quarantined: a task that reaches it sorts the rows still to come.
+_OPEN_FILES = 3
+
 #: Folder of the pointers of a published table; Spark does not list it as data.
 _POINTERS = "_versions"
 
@@ -26,6 +32,23 @@ def _version_path(root: str, version: str, ingest_date: str) -> str:
     return f"{root.rstrip('/')}/version={version}/ingest_date={ingest_date}"
 
 
+@contextmanager
+def _side_by_side(spark: SparkSession) -> Iterator[None]:
+    """Within, tasks write the rows of a few folders as they come and hold none of them for a sort."""
+    before = spark.conf.get(_SIDE_BY_SIDE, None)
+    if before is not None and int(before) >= _OPEN_FILES:
+        yield
+        return
+    spark.conf.set(_SIDE_BY_SIDE, str(_OPEN_FILES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SIDE_BY_SIDE)
+        else:
+            spark.conf.set(_SIDE_BY_SIDE, before)
+
+
 def land_raw(df: DataFrame, root: str, version: str, ingest_date: str, partition_by: Sequence[str] = ()) -> str:
     """Write an immutable raw version and return its path; a landed version is left alone.
 
@@ -37,7 +60,8 @@ def land_raw(df: DataFrame, root: str, version: str, ingest_date: str, partition
     if write_committed(spark, path):
         return path
     aside = f"{root.rstrip('/')}/_landing-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(aside)
+    with _side_by_side(spark):
+        df.write.partitionBy(*partition_by).parquet(aside)
     if path_exists(spark, path) and not write_committed(spark, path):
         remove(spark, path)
     move_folder(spark, aside, path)
