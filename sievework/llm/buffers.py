@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 2 << 20
 #: The same where the tables of a chunk are very many times its text.
 SMALL_CHUNK_BYTES = 1 << 19
+#: Values that ``ragged`` gathers at once: their places take eight bytes each, several times over.
+GATHERED = 1 << 18
 
 #: ASCII white space: the complement of the word pattern ``[^\x20\x09-\x0D]``.
 SPACE = np.zeros(256, bool)
@@ -36,7 +38,11 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """First row, end row, bytes and offsets of runs of whole documents."""
-    data, offsets = text_buffer(column)
+    yield from whole_documents(*text_buffer(column), size)
+
+
+def whole_documents(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The same of a buffer: ``size`` bytes at most, or one longer document."""
     low, n = 0, len(offsets) - 1
     while low < n:
         high = int(np.searchsorted(offsets, offsets[low] + size, "right")) - 1
@@ -83,10 +89,12 @@ class PrefixHash:
     def _grow(cls, n: int) -> None:
         if len(cls._powers) > n:
             return
-        n = max(n + 1, CHUNK_BYTES + 1)
+        n = next((size for size in (SMALL_CHUNK_BYTES, CHUNK_BYTES) if n <= size), n) + 1
         inverse = np.uint64(pow(int(cls._base), -1, 2**64))
-        cls._powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, cls._base))))
-        cls._inverse = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, inverse))))
+        cls._powers, cls._inverse = np.full(n, cls._base), np.full(n, inverse)
+        for table in (cls._powers, cls._inverse):
+            table[0] = 1
+            np.cumprod(table, out=table)
 
     def __init__(self, data: np.ndarray):
         n = len(data)
@@ -113,8 +121,16 @@ def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     total = int(lengths.sum())
     if not total:
         return values[:0]
-    first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    return values[np.arange(total) + np.repeat(starts - first, lengths)]
+    out, ends = np.empty(total, values.dtype), np.cumsum(lengths)
+    low, done = 0, 0
+    while low < len(lengths):
+        high = max(int(np.searchsorted(ends, done + GATHERED, "right")), low + 1)
+        size, stop = lengths[low:high], int(ends[high - 1])
+        at = np.repeat(starts[low:high] - (ends[low:high] - size), size)
+        at += np.arange(done, stop)
+        out[done:stop] = values[at]
+        low, done = high, stop
+    return out
 
 
 def covered(lows: np.ndarray, highs: np.ndarray, n: int) -> np.ndarray:

@@ -35,7 +35,7 @@ SEED = 42
 #: Children of an index node; no effect on results.
 FAN_OUT = 8
 #: Rows of index work in flight; no effect on results.
-FRONTIER = 400_000
+FRONTIER = 100_000
 #: Bucket size that the choice of blocks aims at for evenly spread fingerprints.
 BUCKET_ROWS = 1_000
 
@@ -53,8 +53,10 @@ def chunk_fingerprints(data: np.ndarray, offsets: np.ndarray, words: int) -> np.
     result = np.zeros(len(counts), np.uint64)
     some = np.flatnonzero(shingles)
     if len(some):
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        sums = np.add.reduceat(bits, (np.cumsum(shingles) - shingles)[some], axis=0, dtype=np.int64)
+        octets, begin = hashes.astype("<u8").view(np.uint8).reshape(-1, 8), (np.cumsum(shingles) - shingles)[some]
+        # Eight bits at a time: summing takes a copy of eight bytes for each bit.
+        bits = (np.unpackbits(octets[:, [i]], axis=1, bitorder="little") for i in range(8))
+        sums = np.concatenate([np.add.reduceat(b, begin, axis=0, dtype=np.int64) for b in bits], axis=1)
         result[some] = np.packbits(2 * sums > shingles[some, None], axis=1, bitorder="little").view("<u8").ravel()
     return result
 

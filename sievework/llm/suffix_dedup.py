@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.buffers import PrefixHash, binary_array, chunks, covered, ragged
+from sievework.llm.buffers import SMALL_CHUNK_BYTES, PrefixHash, binary_array, chunks, covered, ragged, whole_documents
 from sievework.llm.spans import (
     ROUTED,
     Found,
@@ -60,9 +60,11 @@ from sievework.llm.superkmer import first_holders, minimiser_runs
 SAMPLE_DOCUMENTS = 2_000
 SAMPLE_SUFFIXES = 32
 TOKEN = 8
-#: Records sorted, and expanded into strings, at once; no effect on results.
+#: Records sorted, and strings that they are expanded into, at once; no effect on results.
 SORTED = 40_000
-EXPANDED = 10_000
+EXPANDED = 100_000
+#: Tokens read at once; no effect on results.
+READ = 1 << 14
 #: Bits of an anchor hash that travel, beside those that choose the bucket; a bucket's share of the
 #: anchors is bounded by its bytes of text, so about one in twenty is a false hit at any size.
 HASH_BITS = 24
@@ -72,10 +74,25 @@ TEXT_FIELDS = ["key", "tag", "doc", "low", "anchor", "sizes", "text"]
 
 
 class Anchors:
-    """Runs of strings with one anchor, in a chunk of documents."""
+    """Runs of strings with one anchor, in a chunk of documents.
+
+    They are read off smaller chunks, as the tables of hashes are very many times their text.
+    """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, window: int, kmer: int):
+        found = [self._runs(some, ends, window, kmer, low, int(offsets[low])) for low, _, some, ends in whole_documents(data, offsets, SMALL_CHUNK_BYTES)]
+        found = found or [self._runs(data, offsets, window, kmer, 0, 0)]
+        #: Text of a run, its anchor, hashes of anchor and text, its document, its number and place in the document.
+        self.first, self.end, self.at, self.hash, self.content, self.doc = (np.concatenate(x) for x in zip(*found))
+        self.number = np.arange(len(self.doc)) - np.searchsorted(self.doc, self.doc)
+        self.inside = self.first - offsets[self.doc]
+
+    @staticmethod
+    def _runs(data: np.ndarray, offsets: np.ndarray, window: int, kmer: int, doc: int, place: int) -> tuple[np.ndarray, ...]:
         n = max(len(data) - window + 1, 0)
+        none = np.zeros(0, np.int64)
+        if not n:
+            return none, none, none, none.view(np.uint64), none.view(np.uint64), none
         inside = np.zeros(n, bool)
         starts = offsets[:-1]
         some = np.diff(offsets) >= window
@@ -83,28 +100,25 @@ class Anchors:
         steps[starts[some]] += 1
         steps[offsets[1:][some] - window + 1] -= 1
         inside[:] = np.cumsum(steps)[:n] > 0
-        self.prefix = PrefixHash(data)
-        hashes = self.prefix.windows(kmer)[: max(len(data) - kmer + 1, 0)]
-        if n:
-            self.first, end, self.at = minimiser_runs(hashes, inside, window - kmer + 1)
-        else:
-            self.first = end = self.at = np.zeros(0, np.int64)
-        #: Text of a run, its document, its number in the document.
-        self.end = end + window - 1
-        self.hash = hashes[self.at] if n else np.zeros(0, np.uint64)
-        self.doc = np.searchsorted(offsets, self.first, "right") - 1
-        self.number = np.arange(len(self.doc)) - np.searchsorted(self.doc, self.doc)
-        self.inside = self.first - offsets[self.doc]
+        prefix = PrefixHash(data)
+        hashes = prefix.windows(kmer)
+        first, end, at = minimiser_runs(hashes, inside, window - kmer + 1)
+        end = end + window - 1
+        return first + place, end + place, at + place, hashes[at], prefix.ranges(first, end), np.searchsorted(offsets, first, "right") - 1 + doc
 
 
 def tokens(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, count: int) -> np.ndarray:
     """``count`` tokens of 8 bytes from each start, big end first, zeros beyond the length."""
-    padded = np.concatenate((data, np.zeros(TOKEN * count, np.uint8)))
-    out = np.empty((count, len(starts)), np.uint64)
-    for i in range(count):
-        raw = padded[starts[:, None] + np.arange(i * TOKEN, (i + 1) * TOKEN)]
-        raw[np.arange(i * TOKEN, (i + 1) * TOKEN) >= lengths[:, None]] = 0
-        out[i] = raw.view(">u8").ravel()
+    out = np.zeros((count, len(starts)), np.uint64)
+    if not len(data):
+        return out
+    for low in range(0, len(starts), READ):
+        some = slice(low, low + READ)
+        for i in range(count):
+            place = np.arange(i * TOKEN, (i + 1) * TOKEN)
+            raw = data[np.minimum(starts[some, None] + place, len(data) - 1)]
+            raw[place >= lengths[some, None]] = 0
+            out[i, some] = raw.view(">u8").ravel()
     return out
 
 
@@ -220,7 +234,7 @@ def route_suffixes(buckets: np.ndarray, splitters: np.ndarray, dests: np.ndarray
             return
         first, size, doc = a.first[chosen], (a.end - a.first)[chosen], a.doc[chosen]
         inside, ids = a.inside[chosen], key[doc]
-        content = a.prefix.ranges(first, first + size)
+        content = a.content[chosen]
         order = np.lexsort((ids, content))
         copy = first_holders(order, runs_of(content[order]), ids, first, size, data)
         gone = order[copy]
@@ -276,7 +290,7 @@ def sort_suffixes(window: int, kmer: int):
         reach = best_with_any(suffix[:, lead], group) + best_with_any(before[:, lead], group)
         rest = order[~copy & ((np.bincount(group)[group] > 1) & (reach >= window))[run]]
         family = np.cumsum(runs_of(*head[:, rest]))
-        for piece in pieces(family, np.ones(len(rest), np.int64), EXPANDED):
+        for piece in pieces(family, sizes[rest] - window + 1, EXPANDED):
             r = rest[piece]
             count = sizes[r] - window + 1
             shift = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
